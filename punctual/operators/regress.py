@@ -125,18 +125,19 @@ def score_per_cluster(
     """``(cluster, split, rmse, mae, r2)`` of every split in one job."""
     result = None
     for split, df in frames.items():
-        part = predict_per_cluster(models, df, features, label, cluster).withColumn("split", F.lit(split))
+        table = by_cluster(df, features, label, cluster)
+        part = predict_per_cluster(models, table, features, label, cluster).withColumn("split", F.lit(split))
         result = part if result is None else result.unionByName(part)
     return regression_scores(result, label, [cluster, "split"], digits)
 
 
 def coefficients(models: Mapping[Any, PipelineModel], features: Features, df: DataFrame, digits: int = 4) -> DataFrame:
-    """``(cluster, term, coefficient)`` of linear models, with the intercept."""
+    """``(cluster, term, coefficient)`` of linear models, with the intercept. No value is a negative zero."""
     rows = []
     for value, model in models.items():
         linear = model.stages[-1]
         for f, c in zip(features_of(features, value), linear.coefficients.toArray()):
-            rows.append((int(value), f, round(float(c), digits)))
+            rows.append((int(value), f, round(float(c), digits) + 0.0))
         rows.append((int(value), "intercept", round(float(linear.intercept), digits)))
     return df.sparkSession.createDataFrame(rows, "cluster int, term string, coefficient double")
 
@@ -173,7 +174,7 @@ def linear_closed_form(
             cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
         slope = np.linalg.lstsq(cov[:p, :p], cov[:p, p], rcond=None)[0]
         intercept = r[f"m{p}"] - sum(s * r[f"m{i}"] for i, s in enumerate(slope))
-        rows += [(r[cluster], f, round(float(s), digits)) for f, s in zip(features, slope)]
+        rows += [(r[cluster], f, round(float(s), digits) + 0.0) for f, s in zip(features, slope)]
         rows.append((r[cluster], "intercept", round(float(intercept), digits)))
     return df.sparkSession.createDataFrame(rows, f"`{cluster}` int, term string, coefficient double")
 

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {"int": T.IntegerType(), "string": T.StringType(), "double": T.DoubleType()}
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    pairs = (field.split() for field in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind], True) for name, kind in pairs])
 
 
 # Column names and types of the flight data.
