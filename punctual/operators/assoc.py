@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from punctual.operators.encode import assembler
 from punctual.operators.joins import BROADCAST_ROWS, lookup
 from punctual.operators.keys import running_count
+from punctual.staging import stage
+
+
+# More correlations than this in one aggregate outgrow a compiled method.
+PAIR_BATCH = 40
 
 
 def _pairs(columns: Sequence[str]) -> list[tuple[int, int]]:
@@ -19,37 +24,41 @@ def _pairs(columns: Sequence[str]) -> list[tuple[int, int]]:
 
 def pearson_long(
     df: DataFrame, columns: Sequence[str], names: Sequence[str] | None = None, within: Sequence[str] = (),
-    digits: int | None = None,
+    digits: int | None = None, batch: int = PAIR_BATCH,
 ) -> DataFrame:
     """``(row_feature, column_feature, correlation)`` for every pair, both ways round.
 
-    A pair leaves out the rows where either side is null. All pairs come from one aggregate.
+    A pair leaves out the rows where either side is null. The pairs come from one aggregate per
+    ``batch``, the size up to which Spark compiles such an aggregate well.
     """
     names = list(names or columns)
-
-    def corr(i: int, j: int) -> Column:
-        value = F.corr(columns[i], columns[j])
-        return value if digits is None else F.round(value, digits)
-
-    wide = df.groupBy(*within).agg(*[corr(i, j).alias(f"r_{i}_{j}") for i, j in _pairs(columns)])
-    cells = []
-    for i, j in _pairs(columns):
-        for a, b in {(i, j), (j, i)}:
-            cells.append(
-                F.struct(
-                    F.lit(names[a]).alias("row_feature"), F.lit(names[b]).alias("column_feature"),
-                    F.col(f"r_{i}_{j}").alias("correlation"),
+    pairs = _pairs(columns)
+    result = None
+    for start in range(0, len(pairs), batch):
+        some = pairs[start:start + batch]
+        wide = df.groupBy(*within).agg(*[F.corr(columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in some])
+        cells = []
+        for i, j in some:
+            value = F.col(f"r_{i}_{j}") if digits is None else F.round(f"r_{i}_{j}", digits)
+            for a, b in sorted({(i, j), (j, i)}):
+                cells.append(
+                    F.struct(
+                        F.lit(names[a]).alias("row_feature"), F.lit(names[b]).alias("column_feature"),
+                        value.alias("correlation"),
+                    )
                 )
-            )
-    return wide.select(*within, F.inline(F.array(*cells)))
+        part = wide.select(*within, F.inline(F.array(*cells)))
+        result = part if result is None else result.unionByName(part)
+    return result
 
 
-def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The same table from the MLlib matrix; every value must be present."""
+def pearson_matrix(df: DataFrame, columns: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
+    """The same table from the MLlib matrix: one pass however many columns. Every value must be present."""
+    names = list(names or columns)
     vectors = assembler(columns).transform(df).select("features")
     matrix = Correlation.corr(vectors, "features", "pearson").head()[0].toArray()
     rows = [
-        (a, b, float(matrix[i][j])) for i, a in enumerate(columns) for j, b in enumerate(columns)
+        (a, b, float(matrix[i][j])) for i, a in enumerate(names) for j, b in enumerate(names)
     ]
     return df.sparkSession.createDataFrame(rows, "row_feature string, column_feature string, correlation double")
 
@@ -99,7 +108,13 @@ def spearman_long(
     ids = [within] if within else []
     complete = df.select(*ids, *columns).dropna(subset=[*ids, *columns])
     ranked = average_ranks(complete, columns, within)
-    return pearson_long(ranked, [f"{c}_rank" for c in columns], columns, ids, digits)
+    ranks = [f"{c}_rank" for c in columns]
+    if within:
+        # Each batch of pairs scans the ranks again, so they are written if there are several.
+        ranked = stage(ranked, "ranks") if len(_pairs(columns)) > PAIR_BATCH else ranked
+        return pearson_long(ranked, ranks, columns, ids, digits)
+    long = pearson_matrix(ranked, ranks, columns)
+    return long if digits is None else long.withColumn("correlation", F.round("correlation", digits))
 
 
 def high_pairs(long: DataFrame, features: Sequence[str], threshold: float = 0.8, digits: int = 4) -> DataFrame:
@@ -108,7 +123,8 @@ def high_pairs(long: DataFrame, features: Sequence[str], threshold: float = 0.8,
     kept = long.filter(F.col("row_feature").isin(*features) & F.col("column_feature").isin(*features))
     return (
         kept.filter(
-            (place[F.col("row_feature")] < place[F.col("column_feature")]) & (F.abs("correlation") > threshold)
+            (place[F.col("row_feature")] < place[F.col("column_feature")])
+            & (F.abs("correlation") > threshold) & ~F.isnan("correlation")
         )
         .select(
             F.col("row_feature").alias("first"), F.col("column_feature").alias("second"),
@@ -123,7 +139,7 @@ def prune_pairs(
     """For each high pair, the feature to drop: the one correlating less with the target, the second on a tie."""
     pairs = high_pairs(long, features, threshold, digits)
     strength = long.filter(F.col("column_feature") == target).select(
-        "row_feature", F.round(F.abs("correlation"), digits).alias("strength")
+        "row_feature", F.round(F.abs(F.nanvl("correlation", F.lit(0.0))), digits).alias("strength")
     )
     first = strength.select(F.col("row_feature").alias("first"), F.col("strength").alias("first_target"))
     second = strength.select(F.col("row_feature").alias("second"), F.col("strength").alias("second_target"))

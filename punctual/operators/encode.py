@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctual.functions.text import prefixed
-from punctual.operators.joins import lookup, rows_not_of
+from punctual.operators.joins import BROADCAST_ROWS, lookup, rows_not_of
 from punctual.operators.profile import share_of_total
 from punctual.operators.quantiles import quantiles
 
@@ -56,6 +57,16 @@ def vector_columns(df: DataFrame, vector: str, names: Sequence[str]) -> DataFram
 
 # --- many-valued columns ------------------------------------------------------------------------
 
+@dataclass(frozen=True)
+class FrequencyModel:
+    """Row share per value of a training column, and the share to use for values it lacks."""
+
+    column: str
+    table: DataFrame
+    fill: float | None
+    small: bool | None = None
+
+
 def frequency_table(df: DataFrame, column: str, digits: int = 6) -> DataFrame:
     """``(column, <column>_freq)``: share of rows per value, nulls being a value too."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
@@ -63,16 +74,49 @@ def frequency_table(df: DataFrame, column: str, digits: int = 6) -> DataFrame:
     return counts.select(column, F.round(F.col("count") / total, digits).alias(f"{column}_freq"))
 
 
+def fit_frequencies(
+    df: DataFrame, columns: Sequence[str], digits: int = 6, relative_error: float = 0.0
+) -> dict[str, FrequencyModel]:
+    """Frequencies of several columns from one scan and one shuffle of value counts.
+
+    The fill is the median over the distinct values of the column.
+    """
+    cells = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).cast("string").alias("_v")) for i, c in enumerate(columns)])
+    counts = df.select(F.inline(cells)).groupBy("_i", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.filter(F.col("_i") == 0).agg(F.sum("_n")).scalar()
+    # Kept while the tables are applied; a lost block is counted again with the same result.
+    shares = counts.withColumn("_f", F.round(F.col("_n") / total, digits)).persist()
+    sizes = {r["_i"]: r["k"] for r in shares.groupBy("_i").agg(F.count(F.lit(1)).alias("k")).collect()}
+    wide = shares.select(*[F.when(F.col("_i") == i, F.col("_f")).alias(c) for i, c in enumerate(columns)])
+    fills = quantiles(wide, {c: [0.5] for c in columns}, relative_error)
+    return {
+        c: FrequencyModel(
+            c,
+            shares.filter(F.col("_i") == i).select(
+                F.col("_v").cast(df.schema[c].dataType).alias(c), F.col("_f").alias(f"{c}_freq")
+            ),
+            fills[c, 0.5],
+            sizes.get(i, 0) <= BROADCAST_ROWS,
+        )
+        for i, c in enumerate(columns)
+    }
+
+
 def unseen_fill(frequencies: DataFrame, column: str, relative_error: float = 0.0) -> float:
     """Median over the distinct values, used for values the training frame lacks."""
     return quantiles(frequencies, {f"{column}_freq": [0.5]}, relative_error)[f"{column}_freq", 0.5]
 
 
-def apply_frequencies(df: DataFrame, frequencies: DataFrame, column: str, fill: float | None = None) -> DataFrame:
+def apply_frequencies(
+    df: DataFrame, frequencies: DataFrame | FrequencyModel, column: str | None = None, fill: float | None = None
+) -> DataFrame:
     """Attach the frequency of each row's value; with ``fill``, unknown values get that instead of null."""
+    small = None
+    if isinstance(frequencies, FrequencyModel):
+        column, fill, small, frequencies = frequencies.column, frequencies.fill, frequencies.small, frequencies.table
     out = f"{column}_freq"
     weighted = frequencies.withColumn("_share", F.col(out))
-    joined = lookup(df, weighted, column, weight="_share")
+    joined = lookup(df, weighted, column, weight="_share", small=small)
     return joined.fillna({out: fill}) if fill is not None else joined
 
 

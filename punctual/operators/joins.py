@@ -28,16 +28,19 @@ def lookup(
     on: str,
     weight: str | None = None,
     max_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Left join of a table with one row per ``on`` value.
 
+    Whether the table may be broadcast is measured, unless the caller has counted it (``small``).
+
     A small table is broadcast. Otherwise ``weight`` (the row share of each value, adding up to 1)
     tells the hot values: those above ``1 / max_rows`` can be at most ``max_rows`` many, so they are
     broadcast, and only the rows of the other values take part in the shuffle join. Rows already
     served, and rows with a null key, are spread over salts so that no task receives them together.
     """
     values = [c for c in table.columns if c != on]
-    if fits_broadcast(table, max_rows):
+    if fits_broadcast(table, max_rows) if small is None else small:
         return df.join(F.broadcast(table), on, "left").select(*df.columns, *[c for c in values if c != weight])
     carried = [c for c in values if c != weight]
     if weight is None:

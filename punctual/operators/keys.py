@@ -118,30 +118,36 @@ def stratified_split(
 
 
 def global_index(
-    df: DataFrame, order_by: Sequence[str], index: str = "index", partitions: int | None = None
+    df: DataFrame, order_by: Sequence[str], index: str = "index", within: str | None = None, partitions: int | None = None
 ) -> DataFrame:
-    """Dense index 1..n in the order of ``order_by``, put first; no task holds all rows.
+    """Dense index 1..n in the order of ``order_by``, put first, per ``within`` group if given.
 
     Range partitioning sorts across partitions and the position inside each is free, so the only
-    shuffle is the range exchange. The positions are staged before they are counted, because a
-    partition computed again must not get other numbers. ``order_by`` must be a total order.
+    shuffle is the range exchange and no task holds all rows or a whole group. The positions are staged
+    before they are counted, because a partition computed again must not get other numbers.
+    ``order_by`` must be a total order (inside the group).
     """
+    group = [within] if within else []
+    order = [*group, *order_by]
     tagged = (
-        (df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by))
-        .sortWithinPartitions(*order_by)
+        (df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order))
+        .sortWithinPartitions(*order)
         .withColumn("_tag", F.monotonically_increasing_id())
     )
-    staged = stage(tagged, "index")
+    staged = stage(tagged, "index", partition_by=within)
     part = F.shiftright("_tag", POSITION_BITS)
-    sizes = staged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per partition, so both the window and the broadcast are bounded by the partition count.
+    sizes = staged.groupBy(*group, part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    # One row per partition and group met in it: the windows and the broadcast are bounded by that.
+    earlier_parts = Window.partitionBy(*group).orderBy("_part")
+    earlier_groups = Window.partitionBy("_part").orderBy(*(group or ["_part"]))
     offsets = sizes.select(
-        "_part", (F.sum("_rows").over(Window.orderBy("_part")) - F.col("_rows")).alias("_offset")
+        *group, "_part",
+        (F.sum("_rows").over(earlier_parts) - F.sum("_rows").over(earlier_groups)).alias("_offset"),
     )
     position = F.col("_tag").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     return (
         staged.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part", "inner")
+        .join(F.broadcast(offsets), [*group, "_part"], "inner")
         .select((F.col("_offset") + position + 1).alias(index), *df.columns)
     )
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from punctual.functions import day_period, minutes_of_day, route, season, weekend_flag
 from punctual.operators import codes, encode, keys, outliers
 from punctual.operators.features import DELAY_LIMIT, with_known_delay
-from punctual.operators.profile import validate_schema
 from punctual.plans import columns as names
 from punctual.staging import stage
 
@@ -21,7 +20,7 @@ from punctual.staging import stage
 class PreparedSplits:
     frames: dict[str, DataFrame]
     one_hot: PipelineModel
-    frequencies: dict[str, DataFrame]
+    frequencies: dict[str, encode.FrequencyModel]
     cap: float | None
 
 
@@ -64,28 +63,27 @@ def prepare_splits(
     flight and ends the order of the index, which is dense within each split.
     """
     sampled = keys.stable_sample(flights, row_key, fraction)
-    # Written once, by split: each index reads its own folder.
-    labelled = stage(keys.stratified_split(sampled, "MONTH", row_key, label=label), "split", partition_by=label)
+    labelled = keys.stratified_split(sampled, "MONTH", row_key, label=label)
     order = list(dict.fromkeys([*names.INDEX_ORDER, *row_key]))
-    pairs = codes.preferred_labels(pairs).persist()
-    featured = {}
-    for name in keys.SPLIT_PERCENT:
-        indexed = keys.global_index(labelled.filter(F.col(label) == name).drop(label), order)
-        wide = indexed.withColumn("DISTANCE", F.col("DISTANCE").cast("double"))
-        featured[name] = engineer(repair_places(wide, pairs))
+    indexed = keys.global_index(labelled, order, within=label)
+    wide = indexed.withColumn("DISTANCE", F.col("DISTANCE").cast("double"))
+    featured = engineer(repair_places(wide, codes.preferred_labels(pairs)))
 
-    train = featured["train"]
+    train = featured.filter(F.col(label) == "train")
     cap = outliers.fit_cap(train, "DISTANCE", cap_quantile, relative_error)
     one_hot = encode.fit_one_hot(train, names.ONE_HOT)
-    frequencies = {c: encode.frequency_table(train, c).persist() for c in names.FREQUENCY}
+    frequencies = encode.fit_frequencies(train, names.FREQUENCY, relative_error=relative_error)
 
-    frames = {}
-    for name, frame in featured.items():
-        frame = one_hot.transform(outliers.cap_above(frame, "DISTANCE", cap))
-        for c in names.FREQUENCY:
-            fill = None if name == "train" else encode.unseen_fill(frequencies[c], c, relative_error)
-            frame = encode.apply_frequencies(frame, frequencies[c], c, fill)
-        frame = outliers.filter_min(frame, "DEPARTURE_DELAY", names.DELAY_FLOOR)
-        frames[name] = frame.drop(*names.TABLE_DROPS)
-    validate_schema(frames)
+    # All splits are encoded in one pass; only validation and test rows take the fill.
+    encoded = one_hot.transform(outliers.cap_above(featured, "DISTANCE", cap))
+    filled = {}
+    for c, model in frequencies.items():
+        encoded = encode.apply_frequencies(encoded, replace(model, fill=None))
+        known = F.col(f"{c}_freq")
+        filled[f"{c}_freq"] = F.when(F.col(label) == "train", known).otherwise(F.coalesce(known, F.lit(model.fill)))
+    encoded = encoded.withColumns(filled)
+    kept = outliers.filter_min(encoded, "DEPARTURE_DELAY", names.DELAY_FLOOR).drop(*names.TABLE_DROPS)
+    # The finished rows are written by split: the paths behind this one read them many times.
+    table = stage(kept, "prepared", partition_by=label)
+    frames = {name: table.filter(F.col(label) == name).drop(label) for name in keys.SPLIT_PERCENT}
     return PreparedSplits(frames, one_hot, frequencies, cap)

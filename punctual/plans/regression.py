@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from punctual.operators import assoc, encode, selection
 from punctual.operators.cluster import attach_label
 from punctual.plans import columns as names
+from punctual.staging import stage
 
 FREQUENCIES = [f"{c}_freq" for c in names.FREQUENCY]
 
@@ -38,7 +39,8 @@ def prepare_regression(
         wide = encode.scaled_columns(df, scaler, numbers)
         for v, columns in slots.items():
             wide = encode.vector_columns(wide, v, columns)
-        result[name] = wide.select("cluster", key, *features, target)
+        # Written here: the correlations, the selectors and the models each read it again.
+        result[name] = stage(wide.select("cluster", key, *features, target), f"regression-{name}")
     return result, features
 
 
