@@ -79,7 +79,7 @@ def _(spark, sf_dir):
 @query("freq_encode", "N3 J4", f"with {_SPLIT} select {LINE_KEY_SQL}, l_orderkey_freq from lines join freq using (l_orderkey) where train")
 def _(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
-    return encode.apply_frequencies(train, encode.frequency_table(train, "l_orderkey"), "l_orderkey")
+    return encode.apply_frequencies(train, encode.fit_frequencies(train, ["l_orderkey"])["l_orderkey"])
 
 
 @query(
@@ -89,8 +89,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     train, held = _split(spark, sf_dir)
-    frequencies = encode.frequency_table(train, "l_orderkey").persist()
-    return encode.apply_frequencies(held, frequencies, "l_orderkey", encode.unseen_fill(frequencies, "l_orderkey"))
+    return encode.apply_frequencies(held, encode.fit_frequencies(train, ["l_orderkey"])["l_orderkey"])
 
 
 @query(

@@ -14,6 +14,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from punctual.operators.assoc import PAIR_BATCH
 from punctual.operators.encode import assembler, cast_stage
 from punctual.staging import stage
 
@@ -155,27 +156,31 @@ def importances(models: Mapping[Any, PipelineModel], features: Features, df: Dat
 def linear_closed_form(
     df: DataFrame, features: Sequence[str], label: str, cluster: str = "cluster", digits: int = 4
 ) -> DataFrame:
-    """Least squares of every cluster from one aggregate of covariances.
+    """Least squares of all clusters at once, from aggregates of means and covariances.
 
     Only means and covariances come to the driver: (p + 1)(p + 2) / 2 numbers per cluster.
     """
     complete = df.dropna(subset=[cluster, *features, label])
     columns = [*features, label]
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    sums = complete.groupBy(cluster).agg(
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.covar_pop(F.col(columns[i]).cast("double"), F.col(columns[j]).cast("double")).alias(f"c{i}_{j}") for i, j in pairs],
-    )
     p = len(features)
+    pairs = [(i, j) for i in range(p + 1) for j in range(i, p + 1)]
+    means = complete.groupBy(cluster).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)])
+    mean = {r[cluster]: [r[f"m{i}"] for i in range(p + 1)] for r in means.collect()}
+    cov = {value: np.zeros((p + 1, p + 1)) for value in mean}
+    for start in range(0, len(pairs), PAIR_BATCH):
+        some = pairs[start:start + PAIR_BATCH]
+        sums = complete.groupBy(cluster).agg(
+            *[F.covar_pop(F.col(columns[i]).cast("double"), F.col(columns[j]).cast("double")).alias(f"c{i}_{j}") for i, j in some]
+        )
+        for r in sums.collect():
+            for i, j in some:
+                cov[r[cluster]][i, j] = cov[r[cluster]][j, i] = r[f"c{i}_{j}"]
     rows = []
-    for r in sums.collect():
-        cov = np.zeros((p + 1, p + 1))
-        for i, j in pairs:
-            cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
-        slope = np.linalg.lstsq(cov[:p, :p], cov[:p, p], rcond=None)[0]
-        intercept = r[f"m{p}"] - sum(s * r[f"m{i}"] for i, s in enumerate(slope))
-        rows += [(r[cluster], f, round(float(s), digits) + 0.0) for f, s in zip(features, slope)]
-        rows.append((r[cluster], "intercept", round(float(intercept), digits)))
+    for value in sorted(mean):
+        slope = np.linalg.lstsq(cov[value][:p, :p], cov[value][:p, p], rcond=None)[0]
+        intercept = mean[value][p] - sum(s * m for s, m in zip(slope, mean[value]))
+        rows += [(value, f, round(float(s), digits) + 0.0) for f, s in zip(features, slope)]
+        rows.append((value, "intercept", round(float(intercept), digits)))
     return df.sparkSession.createDataFrame(rows, f"`{cluster}` int, term string, coefficient double")
 
 
