@@ -11,45 +11,65 @@ from pyspark.sql import functions as F
 from punctual.operators.encode import assembler
 from punctual.operators.joins import BROADCAST_ROWS, lookup
 from punctual.operators.keys import running_count
-from punctual.staging import stage
 
 
-# More correlations than this in one aggregate outgrow a compiled method.
-PAIR_BATCH = 40
+def correlation(x: str, y: str) -> Column:
+    """Pearson correlation over the rows where both sides are present; null if either side is constant there.
 
+    Unlike the built-in ``corr`` it does not fail on a constant column in ANSI mode, and a spread that is
+    only rounding noise counts as none.
+    """
+    left, right = F.when(F.col(y).isNotNull(), F.col(x)), F.when(F.col(x).isNotNull(), F.col(y))
+    varies = (F.min(left) < F.max(left)) & (F.min(right) < F.max(right))
+    return F.when(varies, F.try_divide(F.covar_pop(x, y), F.stddev_pop(left) * F.stddev_pop(right)))
+
+
+def column_pairs(df: DataFrame, columns: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """Each row's value pairs ``(_i, _j, _x, _y)`` for all column pairs ``_i <= _j``, ready to be aggregated.
 
-def _pairs(columns: Sequence[str]) -> list[tuple[int, int]]:
-    return [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    An aggregate over these has the number of pairs as groups and combines them map-side, so its code
+    stays small and its shuffle tiny however many columns there are.
+    """
+    p = len(columns)
+    rows = df.select(*within, F.array(*[F.col(c).cast("double") for c in columns]).alias("_a"))
+    first = rows.select(*within, "_a", F.posexplode("_a").alias("_i", "_x"))
+    rest = F.slice("_a", F.col("_i") + 1, F.lit(p))
+    return first.select(*within, "_i", "_x", F.posexplode(rest).alias("_d", "_y")).select(
+        *within, "_i", (F.col("_i") + F.col("_d")).alias("_j"), "_x", "_y"
+    )
 
 
 def pearson_long(
     df: DataFrame, columns: Sequence[str], names: Sequence[str] | None = None, within: Sequence[str] = (),
-    digits: int | None = None, batch: int = PAIR_BATCH,
+    digits: int | None = None,
 ) -> DataFrame:
-    """``(row_feature, column_feature, correlation)`` for every pair, both ways round.
+    """``(row_feature, column_feature, correlation)`` for every pair, both ways round, from one scan.
 
-    A pair leaves out the rows where either side is null. The pairs come from one aggregate per
-    ``batch``, the size up to which Spark compiles such an aggregate well.
+    A pair leaves out the rows where either side is null.
     """
-    names = list(names or columns)
-    pairs = _pairs(columns)
-    result = None
-    for start in range(0, len(pairs), batch):
-        some = pairs[start:start + batch]
-        wide = df.groupBy(*within).agg(*[F.corr(columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in some])
-        cells = []
-        for i, j in some:
-            value = F.col(f"r_{i}_{j}") if digits is None else F.round(f"r_{i}_{j}", digits)
-            for a, b in sorted({(i, j), (j, i)}):
-                cells.append(
-                    F.struct(
-                        F.lit(names[a]).alias("row_feature"), F.lit(names[b]).alias("column_feature"),
-                        value.alias("correlation"),
-                    )
-                )
-        part = wide.select(*within, F.inline(F.array(*cells)))
-        result = part if result is None else result.unionByName(part)
-    return result
+    label = F.array(*[F.lit(n) for n in (names or columns)])
+    cells = column_pairs(df, columns, within).groupBy(*within, "_i", "_j").agg(correlation("_x", "_y").alias("_r"))
+    value = F.col("_r") if digits is None else F.round("_r", digits)
+
+    def cell(a: str, b: str) -> Column:
+        return F.struct(
+            F.get(label, F.col(a)).alias("row_feature"), F.get(label, F.col(b)).alias("column_feature"),
+            value.alias("correlation"),
+        )
+
+    both_ways = F.when(F.col("_i") == F.col("_j"), F.array(cell("_i", "_j"))).otherwise(
+        F.array(cell("_i", "_j"), cell("_j", "_i"))
+    )
+    return cells.select(*within, F.inline(both_ways))
+
+
+def correlations_with(
+    df: DataFrame, columns: Sequence[str], target: str, within: Sequence[str] = ()
+) -> DataFrame:
+    """``(within..., place, correlation)`` of each column (by its place in the list) with the target."""
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    long = df.select(*within, F.col(target).cast("double").alias("_y"), F.posexplode(values).alias("place", "_x"))
+    return long.groupBy(*within, "place").agg(correlation("_x", "_y").alias("correlation"))
 
 
 def pearson_matrix(df: DataFrame, columns: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
@@ -108,13 +128,7 @@ def spearman_long(
     ids = [within] if within else []
     complete = df.select(*ids, *columns).dropna(subset=[*ids, *columns])
     ranked = average_ranks(complete, columns, within)
-    ranks = [f"{c}_rank" for c in columns]
-    if within:
-        # Each batch of pairs scans the ranks again, so they are written if there are several.
-        ranked = stage(ranked, "ranks") if len(_pairs(columns)) > PAIR_BATCH else ranked
-        return pearson_long(ranked, ranks, columns, ids, digits)
-    long = pearson_matrix(ranked, ranks, columns)
-    return long if digits is None else long.withColumn("correlation", F.round("correlation", digits))
+    return pearson_long(ranked, [f"{c}_rank" for c in columns], columns, ids, digits)
 
 
 def high_pairs(long: DataFrame, features: Sequence[str], threshold: float = 0.8, digits: int = 4) -> DataFrame:
@@ -139,7 +153,7 @@ def prune_pairs(
     """For each high pair, the feature to drop: the one correlating less with the target, the second on a tie."""
     pairs = high_pairs(long, features, threshold, digits)
     strength = long.filter(F.col("column_feature") == target).select(
-        "row_feature", F.round(F.abs(F.nanvl("correlation", F.lit(0.0))), digits).alias("strength")
+        "row_feature", F.round(F.abs(F.coalesce(F.nanvl("correlation", F.lit(0.0)), F.lit(0.0))), digits).alias("strength")
     )
     first = strength.select(F.col("row_feature").alias("first"), F.col("strength").alias("first_target"))
     second = strength.select(F.col("row_feature").alias("second"), F.col("strength").alias("second_target"))

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.operators.profile import numeric_columns
+from punctual.operators.profile import numeric_columns, percent
 from punctual.operators.quantiles import quantiles
 
 # Quantiles of the tail report and the whisker length of a box plot.
@@ -39,7 +39,7 @@ def quartile_report(df: DataFrame, column: str, relative_error: float = 0.0) ->
     n = F.count(F.lit(1))
 
     def above(p: float):
-        return F.round(F.count_if(F.col(column) > F.lit(q[p])) * 100 / n, 2)
+        return percent(F.count_if(F.col(column) > F.lit(q[p])), n)
 
     def value(p: float):
         return F.lit(q[p]).cast("double")

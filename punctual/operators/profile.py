@@ -25,7 +25,8 @@ def missing(df: DataFrame, column: str) -> Column:
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    return F.round(part * 100 / whole, digits)
+    """Rounded percentage; null when there is nothing to divide by."""
+    return F.round(F.try_divide(part * 100, whole), digits)
 
 
 def missing_profile(df: DataFrame, columns: Sequence[str] | None = None, denominator: int | None = None) -> DataFrame:

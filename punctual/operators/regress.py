@@ -14,7 +14,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.operators.assoc import PAIR_BATCH
+from punctual.operators.assoc import column_pairs
 from punctual.operators.encode import assembler, cast_stage
 from punctual.staging import stage
 
@@ -108,13 +108,13 @@ def predict_per_cluster(
 
 
 def regression_scores(predictions: DataFrame, label: str, by: Sequence[str] = (), digits: int = 4) -> DataFrame:
-    """RMSE, MAE and R² per group from one aggregate."""
+    """RMSE, MAE and R² per group from one aggregate. R² is null where the label is constant."""
     y, error = F.col(label).cast("double"), F.col(label) - F.col("prediction")
     n = F.count(error)
     values: dict[str, Column] = {
         "rmse": F.sqrt(F.avg(error * error)),
         "mae": F.avg(F.abs(error)),
-        "r2": 1 - F.sum(error * error) / (F.var_pop(y) * n),
+        "r2": 1 - F.try_divide(F.sum(error * error), F.var_pop(y) * n),
     }
     return predictions.groupBy(*by).agg(*[F.round(v, digits).alias(k) for k, v in values.items()])
 
@@ -156,25 +156,23 @@ def importances(models: Mapping[Any, PipelineModel], features: Features, df: Dat
 def linear_closed_form(
     df: DataFrame, features: Sequence[str], label: str, cluster: str = "cluster", digits: int = 4
 ) -> DataFrame:
-    """Least squares of all clusters at once, from aggregates of means and covariances.
+    """Least squares of all clusters at once, from one aggregate of means and covariances.
 
     Only means and covariances come to the driver: (p + 1)(p + 2) / 2 numbers per cluster.
     """
     complete = df.dropna(subset=[cluster, *features, label])
     columns = [*features, label]
     p = len(features)
-    pairs = [(i, j) for i in range(p + 1) for j in range(i, p + 1)]
-    means = complete.groupBy(cluster).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)])
-    mean = {r[cluster]: [r[f"m{i}"] for i in range(p + 1)] for r in means.collect()}
-    cov = {value: np.zeros((p + 1, p + 1)) for value in mean}
-    for start in range(0, len(pairs), PAIR_BATCH):
-        some = pairs[start:start + PAIR_BATCH]
-        sums = complete.groupBy(cluster).agg(
-            *[F.covar_pop(F.col(columns[i]).cast("double"), F.col(columns[j]).cast("double")).alias(f"c{i}_{j}") for i, j in some]
-        )
-        for r in sums.collect():
-            for i, j in some:
-                cov[r[cluster]][i, j] = cov[r[cluster]][j, i] = r[f"c{i}_{j}"]
+    pairs = column_pairs(complete, columns, [cluster]).groupBy(cluster, "_i", "_j").agg(
+        F.covar_pop("_x", "_y").alias("c"), F.avg("_x").alias("m")
+    )
+    mean: dict[Any, np.ndarray] = {}
+    cov: dict[Any, np.ndarray] = {}
+    for r in pairs.collect():
+        matrix = cov.setdefault(r[cluster], np.zeros((p + 1, p + 1)))
+        matrix[r["_i"], r["_j"]] = matrix[r["_j"], r["_i"]] = r["c"]
+        if r["_i"] == r["_j"]:
+            mean.setdefault(r[cluster], np.zeros(p + 1))[r["_i"]] = r["m"]
     rows = []
     for value in sorted(mean):
         slope = np.linalg.lstsq(cov[value][:p, :p], cov[value][:p, p], rcond=None)[0]

@@ -9,7 +9,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctual.operators.assoc import average_ranks
+from punctual.operators.assoc import average_ranks, correlations_with
 from punctual.operators.encode import assembler
 from punctual.operators.regress import by_cluster, cluster_labels, cluster_rows, map_clusters
 from punctual.operators.tables import pivot_first
@@ -94,20 +94,13 @@ def spearman_ranking(
     columns = [*features, label]
     complete = df.select(cluster, *columns).dropna()
     ranked = average_ranks(complete, columns, within=cluster)
-    wide = ranked.groupBy(cluster).agg(
-        *[F.corr(f"{f}_rank", f"{label}_rank").alias(f"r{i}") for i, f in enumerate(features)]
+    strengths = correlations_with(ranked, [f"{f}_rank" for f in features], f"{label}_rank", [cluster])
+    named = strengths.select(
+        cluster, "place", F.get(F.array(*[F.lit(f) for f in features]), F.col("place")).alias("feature"),
+        F.round(F.coalesce(F.col("correlation"), F.lit(0.0)), digits).alias("correlation"),
     )
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("_place"), F.lit(f).alias("feature"),
-                F.round(F.coalesce(F.nanvl(F.col(f"r{i}"), F.lit(0.0)), F.lit(0.0)), digits).alias("correlation"),
-            )
-            for i, f in enumerate(features)
-        ]
-    )
-    order = Window.partitionBy(cluster).orderBy(F.abs("correlation").desc(), "_place")
-    return wide.select(cluster, F.inline(cells)).withColumn("rank", F.row_number().over(order)).drop("_place")
+    order = Window.partitionBy(cluster).orderBy(F.abs("correlation").desc(), "place")
+    return named.withColumn("rank", F.row_number().over(order)).drop("place")
 
 
 # --- matrices and vote --------------------------------------------------------------------------

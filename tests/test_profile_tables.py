@@ -121,3 +121,11 @@ def test_time_order_rules(spark):
     assert sorted(r["id"] for r in kept.collect()) == [0, 2]
     early = spark.createDataFrame([(-1, 9, 5), (0, 5, 5), (3, 4, 5)], "d int, a int, s int")
     assert [tuple(r) for r in coherence.drop_early_departures(early, "d", "a", "s").collect()] == [(0, 5, 5)]
+
+
+def test_empty_frames(spark):
+    empty = spark.createDataFrame([], "a int, b string")
+    assert {r["missing_percent"] for r in profile.missing_profile(empty).collect()} == {None}
+    assert profile.retention(empty, F.col("a") > 0).first()["dropped_percent"] is None
+    assert profile.stratum_share(empty, ["b"]).count() == 0
+    assert tables.top_groups(empty, ["b"], 3).count() == 0
