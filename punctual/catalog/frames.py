@@ -16,13 +16,22 @@ LINE_KEY_SQL = ", ".join(LINE_KEY)
 NULLED = "R"  # rows with this return flag have no known causes
 
 
-def _hhmm(minutes: Column, midnight: int) -> Column:
-    value = F.floor(minutes / 60) * 100 + minutes % 60
-    return F.when(minutes == 0, F.lit(midnight)).otherwise(value).cast("int")
+def _hhmm(minutes: Column) -> Column:
+    """Clock value of a minute; each hour adds 40 to the minute count. Minute 1440 is 2400."""
+    return (minutes + F.call_function("div", minutes, F.lit(60)) * 40).cast("int")
 
 
-def _hhmm_sql(minutes: str, midnight: int) -> str:
-    return f"cast(case when {minutes} = 0 then {midnight} else ({minutes} // 60) * 100 + {minutes} % 60 end as integer)"
+def _hhmm_sql(minutes: str) -> str:
+    return f"cast({minutes} + ({minutes} // 60) * 40 as integer)"
+
+
+def _actual(minutes: Column) -> Column:
+    """Minute 1 to 1440: an actual time at midnight reads 2400."""
+    return (minutes + 1439) % 1440 + 1
+
+
+def _actual_sql(minutes: str) -> str:
+    return f"({minutes} + 1439) % 1440 + 1"
 
 
 def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,11 +64,16 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("l_tax") * 100).cast("int").alias("tax"),
         F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
     )
-    steps = steps.withColumn("departed", (F.col("scheduled") + F.col("delay") + 1440) % 1440)
-    steps = steps.withColumn("off", (F.col("departed") + F.col("taxi_out")) % 1440)
-    steps = steps.withColumn("on_ground", (F.col("off") + F.col("air")) % 1440)
-    steps = steps.withColumn("arrived", (F.col("on_ground") + F.col("taxi_in")) % 1440)
-    due = (F.col("scheduled") + F.col("air") + 15 + F.col("zone") + 1440) % 1440
+    departed = F.col("scheduled") + F.col("delay")
+    off = departed + F.col("taxi_out")
+    landed = off + F.col("air")
+    minutes = F.struct(
+        F.col("scheduled").alias("scheduled_at"), _actual(departed).alias("departed_at"), _actual(off).alias("off_at"),
+        _actual(landed).alias("landed_at"), _actual(landed + F.col("taxi_in")).alias("arrived_at"),
+        ((F.col("scheduled") + F.col("air") + 15 + F.col("zone") + 1440) % 1440).alias("due_at"),
+    )
+    # Unfolding a one-element array keeps filters on clock values above it, so each minute is computed once.
+    steps = steps.select("*", F.inline(F.array(minutes)))
 
     def cause(value: Column) -> Column:
         return F.when(F.col("l_returnflag") != NULLED, value).cast("int")
@@ -72,19 +86,19 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").cast("int").alias("FLIGHT_NUMBER"),
         F.concat(F.lit("N"), F.col("l_partkey").cast("string")).alias("TAIL_NUMBER"),
         F.col("origin").alias("ORIGIN_AIRPORT"), F.col("destination").alias("DESTINATION_AIRPORT"),
-        _hhmm(F.col("scheduled"), 0).alias("SCHEDULED_DEPARTURE"),
-        _hhmm(F.col("departed"), 2400).alias("DEPARTURE_TIME"),
+        _hhmm(F.col("scheduled_at")).alias("SCHEDULED_DEPARTURE"),
+        _hhmm(F.col("departed_at")).alias("DEPARTURE_TIME"),
         F.col("delay").alias("DEPARTURE_DELAY"),
         F.col("taxi_out").cast("int").alias("TAXI_OUT"),
-        _hhmm(F.col("off"), 2400).alias("WHEELS_OFF"),
+        _hhmm(F.col("off_at")).alias("WHEELS_OFF"),
         (F.col("air") + 15).cast("int").alias("SCHEDULED_TIME"),
         (F.col("taxi_out") + F.col("air") + F.col("taxi_in")).cast("int").alias("ELAPSED_TIME"),
         F.col("air").cast("int").alias("AIR_TIME"),
         F.floor(F.col("l_extendedprice") / 100).cast("int").alias("DISTANCE"),
-        _hhmm(F.col("on_ground"), 2400).alias("WHEELS_ON"),
+        _hhmm(F.col("landed_at")).alias("WHEELS_ON"),
         F.col("taxi_in").cast("int").alias("TAXI_IN"),
-        _hhmm(due, 0).alias("SCHEDULED_ARRIVAL"),
-        _hhmm(F.col("arrived"), 2400).alias("ARRIVAL_TIME"),
+        _hhmm(F.col("due_at")).alias("SCHEDULED_ARRIVAL"),
+        _hhmm(F.col("arrived_at")).alias("ARRIVAL_TIME"),
         (F.col("delay") + F.col("taxi_out") + F.col("taxi_in") - 15).cast("int").alias("ARRIVAL_DELAY"),
         F.lit(0).alias("DIVERTED"), F.lit(0).alias("CANCELLED"), F.lit(None).cast("string").alias("CANCELLATION_REASON"),
         cause(F.col("tax")).alias("AIR_SYSTEM_DELAY"),
@@ -112,28 +126,27 @@ with steps as (
   from lineitem join orders on l_orderkey = o_orderkey join supplier on l_suppkey = s_suppkey
   join customer on o_custkey = c_custkey join nation fn on fn.n_nationkey = s_nationkey
   join nation tn on tn.n_nationkey = c_nationkey),
-steps2 as (select *, (scheduled + delay + 1440) % 1440 as departed,
+steps2 as (select *, {_actual_sql('scheduled + delay')} as departed, {_actual_sql('scheduled + delay + taxi_out')} as off,
+  {_actual_sql('scheduled + delay + taxi_out + air')} as on_ground,
+  {_actual_sql('scheduled + delay + taxi_out + air + taxi_in')} as arrived,
   (scheduled + air + 15 + zone + 1440) % 1440 as due from steps),
-steps3 as (select *, (departed + taxi_out) % 1440 as off from steps2),
-steps4 as (select *, (off + air) % 1440 as on_ground from steps3),
-steps5 as (select *, (on_ground + taxi_in) % 1440 as arrived from steps4),
 movements as (
   select {LINE_KEY_SQL}, cast(year(o_orderdate) as integer) as YEAR, cast(month(o_orderdate) as integer) as MONTH,
     cast(day(o_orderdate) as integer) as DAY, cast(isodow(o_orderdate) as integer) as DAY_OF_WEEK,
     o_orderpriority as AIRLINE, cast(l_suppkey as integer) as FLIGHT_NUMBER, 'N' || l_partkey as TAIL_NUMBER,
     origin as ORIGIN_AIRPORT, destination as DESTINATION_AIRPORT,
-    {_hhmm_sql('scheduled', 0)} as SCHEDULED_DEPARTURE, {_hhmm_sql('departed', 2400)} as DEPARTURE_TIME,
-    delay as DEPARTURE_DELAY, cast(taxi_out as integer) as TAXI_OUT, {_hhmm_sql('off', 2400)} as WHEELS_OFF,
+    {_hhmm_sql('scheduled')} as SCHEDULED_DEPARTURE, {_hhmm_sql('departed')} as DEPARTURE_TIME,
+    delay as DEPARTURE_DELAY, cast(taxi_out as integer) as TAXI_OUT, {_hhmm_sql('off')} as WHEELS_OFF,
     cast(air + 15 as integer) as SCHEDULED_TIME, cast(taxi_out + air + taxi_in as integer) as ELAPSED_TIME,
     cast(air as integer) as AIR_TIME, cast(floor(l_extendedprice / 100) as integer) as DISTANCE,
-    {_hhmm_sql('on_ground', 2400)} as WHEELS_ON, cast(taxi_in as integer) as TAXI_IN,
-    {_hhmm_sql('due', 0)} as SCHEDULED_ARRIVAL, {_hhmm_sql('arrived', 2400)} as ARRIVAL_TIME,
+    {_hhmm_sql('on_ground')} as WHEELS_ON, cast(taxi_in as integer) as TAXI_IN,
+    {_hhmm_sql('due')} as SCHEDULED_ARRIVAL, {_hhmm_sql('arrived')} as ARRIVAL_TIME,
     cast(delay + taxi_out + taxi_in - 15 as integer) as ARRIVAL_DELAY, 0 as DIVERTED, 0 as CANCELLED,
     cast(null as varchar) as CANCELLATION_REASON,
     {_cause_sql('tax')} as AIR_SYSTEM_DELAY, {_cause_sql('discount % 2')} as SECURITY_DELAY,
     {_cause_sql('greatest(delay, 0) % 5')} as AIRLINE_DELAY, {_cause_sql('discount')} as LATE_AIRCRAFT_DELAY,
     {_cause_sql('l_linenumber % 3')} as WEATHER_DELAY
-  from steps5)
+  from steps2)
 """
 
 

@@ -19,7 +19,7 @@ def hour_of_day(hhmm: Column | str) -> Column:
 def minutes_of_day(hhmm: Column | str, wrap: bool = True) -> Column:
     """Minutes after midnight of an HHMM value. 2400 gives 0 when wrapped and 1440 otherwise."""
     hhmm = _col(hhmm)
-    minutes = F.floor(hhmm / 100) * 60 + hhmm % 100
+    minutes = hhmm - F.floor(hhmm / 100) * 40  # an hour is 100 on the clock and 60 minutes
     return minutes % DAY if wrap else minutes
 
 

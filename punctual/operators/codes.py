@@ -80,7 +80,7 @@ def resolve_fanout(df: DataFrame, columns: Sequence[str], suffix: str = "_clean"
     keep = F.lit(True)
     for i, c in enumerate(columns):
         preferred = df.groupBy(F.col(c).alias(f"_raw{i}")).agg(F.min(f"{c}{suffix}").alias(f"_preferred{i}"))
-        result = result.join(checked_broadcast(preferred), F.col(c) == F.col(f"_raw{i}"), "left")
+        result = result.join(checked_broadcast(preferred, keep=True), F.col(c) == F.col(f"_raw{i}"), "left")
         keep = keep & (F.col(f"{c}{suffix}") == F.col(f"_preferred{i}"))
     return result.filter(keep).select(*df.columns)
 

@@ -17,8 +17,12 @@ def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return small.limit(max_rows + 1).count() <= max_rows
 
 
-def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint if the measured size allows it, else the frame as it is (AQE then decides)."""
+def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, keep: bool = False) -> DataFrame:
+    """Broadcast hint if the measured size allows it, else the frame as it is (AQE then decides).
+
+    ``keep`` caches an aggregated frame, so that measuring and joining compute it once.
+    """
+    small = small.persist() if keep else small
     return F.broadcast(small) if fits_broadcast(small, max_rows) else small
 
 

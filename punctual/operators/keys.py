@@ -38,7 +38,7 @@ def rank_in_stratum(df: DataFrame, stratum: Sequence[str], order_by: Sequence, r
     )
 
 
-def split_bounds(df: DataFrame, stratum: str, keys: Sequence[str], percents: Sequence[int], bits: int = 16) -> DataFrame:
+def split_bounds(df: DataFrame, stratum: str, keys: Sequence[str], percents: Sequence[int], bits: int = 14) -> DataFrame:
     """Per stratum, the ordering key of the last row of each share.
 
     Rows are ordered by their hash. Counting rows per (stratum, leading hash bits) finds the bucket
@@ -153,7 +153,7 @@ def global_index(
 
 
 def running_count(
-    counts: DataFrame, group: str, value: str, amount: str, before: str, window_rows: int = 1_000_000
+    counts: DataFrame, group: str, value: str, amount: str, before: str, window_rows: int = 4_000_000
 ) -> DataFrame:
     """For each (group, value) row, the sum of ``amount`` over smaller values of its group.
 

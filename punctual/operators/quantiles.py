@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SKETCH_ACCURACY = 10_000
-INTERIOR_ROWS = 200_000
+INTERIOR_ROWS = 1_000_000
 
 
 @dataclass
@@ -65,22 +65,26 @@ def order_statistics(
 
 
 def _narrow(df: DataFrame, targets: list[_Target]) -> None:
-    sketches = []
+    margin = 3.0 / SKETCH_ACCURACY
+    # Targets of one column sharing an interior share a sketch.
+    interiors: dict[tuple, list[int]] = {}
     for i, t in enumerate(targets):
-        share = (t.rank - t.upto_low) / t.interior
-        margin = 3.0 / SKETCH_ACCURACY
-        value = _value(df, t.column)
-        sketches.append(
-            F.percentile_approx(
-                F.when(_interior(value, t), value),
-                [max(0.0, share - margin), min(1.0, share + margin)],
-                SKETCH_ACCURACY,
-            ).alias(f"s{i}")
-        )
-    brackets = df.agg(*sketches).first()
+        interiors.setdefault((t.column, t.low, t.high), []).append(i)
+    sketches = []
+    for g, members in enumerate(interiors.values()):
+        shares = [(targets[i].rank - targets[i].upto_low) / targets[i].interior for i in members]
+        value = _value(df, targets[members[0]].column)
+        ends = [e for s in shares for e in (max(0.0, s - margin), min(1.0, s + margin))]
+        inside = F.when(_interior(value, targets[members[0]]), value)
+        sketches.append(F.percentile_approx(inside, ends, SKETCH_ACCURACY).alias(f"s{g}"))
+    row = df.agg(*sketches).first()
+    brackets = {}
+    for g, members in enumerate(interiors.values()):
+        for n, i in enumerate(members):
+            brackets[i] = (row[f"s{g}"][2 * n], row[f"s{g}"][2 * n + 1])
     counts = []
     for i, t in enumerate(targets):
-        low, high = brackets[f"s{i}"]
+        low, high = brackets[i]
         value = _value(df, t.column)
         counts += [
             F.count_if(value < F.lit(low)).alias(f"b{i}"),
@@ -90,7 +94,7 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> None:
         ]
     row = df.agg(*counts).first()
     for i, t in enumerate(targets):
-        low, high = brackets[f"s{i}"]
+        low, high = brackets[i]
         below, at_low, middle, at_high = (row[f"{k}{i}"] for k in "blmh")
         if t.rank <= below:                    # the sketch overshot: keep what lies under the bracket
             t.high, t.interior = low, below - t.upto_low

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from punctual.operators import coherence, features, keys, outliers
 from punctual.plans import columns as names
 from punctual.plans.preparation import engineer, repair_places
+from punctual.staging import stage
 
 
 def edge_table(
@@ -24,7 +25,8 @@ def edge_table(
 
     Clock minutes are not wrapped here, so that 2400 stays behind 2359.
     """
-    sampled = keys.stable_sample(flights, row_key, fraction)
+    # Written once: the quantile passes and the result read the sample, not all flights.
+    sampled = stage(keys.stable_sample(flights, row_key, fraction), "sample")
     featured = engineer(repair_places(sampled, pairs), wrap=False)
     featured = featured.withColumn("DISTANCE", F.col("DISTANCE").cast("double"))
     capped = outliers.cap_at_quantile(featured, "DISTANCE", cap_quantile, relative_error)

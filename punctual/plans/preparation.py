@@ -62,7 +62,8 @@ def prepare_splits(
     Caps, categories and frequencies are fitted on the training rows only. ``row_key`` identifies a
     flight and ends the order of the index, which is dense within each split.
     """
-    sampled = keys.stable_sample(flights, row_key, fraction)
+    # The sample is written once, so that the passes below read it and not all flights.
+    sampled = stage(keys.stable_sample(flights, row_key, fraction), "sample")
     labelled = keys.stratified_split(sampled, "MONTH", row_key, label=label)
     order = list(dict.fromkeys([*names.INDEX_ORDER, *row_key]))
     indexed = keys.global_index(labelled, order, within=label)
