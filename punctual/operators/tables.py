@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.operators.joins import checked_broadcast
+from punctual.operators.joins import BROADCAST_ROWS
 
 
 def top_groups(
@@ -39,7 +39,8 @@ def top_values_overall(counts: DataFrame, column: str, k: int, count: str = "cou
 def counts_of_top_values(df: DataFrame, group: str, column: str, k: int) -> DataFrame:
     """Counts per (group, value), kept for the ``k`` values that are most frequent overall."""
     counts = df.groupBy(group, column).agg(F.count(F.lit(1)).alias("count"))
-    return counts.join(checked_broadcast(top_values_overall(counts, column, k)), column, "left_semi")
+    tops = top_values_overall(counts, column, k)
+    return counts.join(F.broadcast(tops) if k <= BROADCAST_ROWS else tops, column, "left_semi")
 
 
 def share_inside_group(df: DataFrame, group: str, column: str, k: int, digits: int = 6) -> DataFrame:
