@@ -31,8 +31,10 @@ def read_csv(
         .option("multiLine", multi_line)
         .option("mode", mode)
     )
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    # Spark matches a given schema by position; this makes it compare the header names as well.
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
 def read_csv_header_only(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -40,7 +42,7 @@ def read_csv_header_only(spark: SparkSession, path: str, schema: T.StructType |
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.csv(path)
-    raw = reader.schema(as_strings(schema)).csv(path)
+    raw = reader.schema(as_strings(schema)).option("enforceSchema", False).csv(path)
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 

@@ -17,6 +17,13 @@ def test_csv_with_bom_crlf_quotes_and_line_break(spark, tmp_path):
     assert inferred.columns == COORDINATES.names and dict(inferred.dtypes)["LATITUDE"] == "double"
 
 
+def test_csv_header_must_match_the_schema(spark, tmp_path):
+    path = tmp_path / "b.csv"
+    path.write_text("cluster,index\n1,2\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(path), CLUSTER_MAP).collect()
+
+
 def test_header_only_csv(spark, tmp_path):
     path = tmp_path / "map.csv"
     path.write_text("index,cluster\n1,2\n2,x\n")
