@@ -103,31 +103,24 @@ def features() -> dict[str, Column]:
     }
 
 
-def inverse_form(cov: Sequence[Sequence[Column]], names: Sequence[str]) -> list[tuple[str, Column]]:
-    """Columns, in the order of computing them, of the inverse Cholesky factor of a small covariance matrix."""
-    p, out = len(names), []
-    low = {(i, j): F.col(f"low_{i}_{j}") for i in range(p) for j in range(i + 1)}
-    for i in range(p):
+def factor_sql(floors: Sequence[float]) -> list[str]:
+    """Cholesky factor of cov_i_j plus the floors, entry by entry; later entries use earlier ones."""
+    out = []
+    for i in range(len(floors)):
         for j in range(i + 1):
-            rest = cov[i][j]
-            for k in range(j):
-                rest = rest - low[i, k] * low[j, k]
-            out.append((f"low_{i}_{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / low[j, j]))
+            rest = f"coalesce(cov_{i}_{j}, 0D)" + (f" + {floors[i]}D" if i == j else "")
+            rest += "".join(f" - low_{i}_{k} * low_{j}_{k}" for k in range(j))
+            out.append(f"sqrt(greatest({rest}, 1e-12D)) as low_{i}_{j}" if i == j else f"({rest}) / low_{j}_{j} as low_{i}_{j}")
     return out
 
 
-def _distance(names: Sequence[str]) -> list[tuple[str, Column]]:
-    """Forward substitution: the squared Mahalanobis distance from mean_* and low_*."""
+def distance_sql() -> list[str]:
+    """Forward substitution from mean_i and low_i_j: z_i, and the squared Mahalanobis distance d2."""
     out = []
-    for i, name in enumerate(names):
-        rest = F.col(name) - F.col(f"mean_{i}")
-        for k in range(i):
-            rest = rest - F.col(f"low_{i}_{k}") * F.col(f"z_{k}")
-        out.append((f"z_{i}", rest / F.col(f"low_{i}_{i}")))
-    total = F.lit(0.0)
-    for i in range(len(names)):
-        total = total + F.col(f"z_{i}") * F.col(f"z_{i}")
-    return [*out, ("d2", total)]
+    for i, name in enumerate(FEATURES):
+        rest = f"{name} - mean_{i}" + "".join(f" - low_{i}_{k} * z_{k}" for k in range(i))
+        out.append(f"({rest}) / low_{i}_{i} as z_{i}")
+    return [*out, " + ".join(f"z_{i} * z_{i}" for i in range(len(FEATURES))) + " as d2"]
 
 
 def _bin_quantile(df: DataFrame, group: list[str], value: Column, share: float, name: str) -> DataFrame:
@@ -149,12 +142,6 @@ def _with(rows: DataFrame, small: DataFrame, group: list[str]) -> DataFrame:
     return rows.join(right, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group]).select(*rows.columns, *columns)
 
 
-def _add(df: DataFrame, columns: list[tuple[str, Column]]) -> DataFrame:
-    for name, column in columns:
-        df = df.withColumn(name, column)
-    return df
-
-
 def _moments(rows: DataFrame, group: list[str], floors: Sequence[float], inside: Column, label: str) -> DataFrame:
     """Mean and inverse factor of the rows inside, per group, written."""
     p = len(FEATURES)
@@ -163,9 +150,8 @@ def _moments(rows: DataFrame, group: list[str], floors: Sequence[float], inside:
         *[F.avg(x[i]).alias(f"mean_{i}") for i in range(p)],
         *[F.covar_pop(x[i], x[j]).alias(f"cov_{i}_{j}") for i in range(p) for j in range(i + 1)],
     )
-    cov = [[F.coalesce(F.col(f"cov_{i}_{j}"), F.lit(0.0)) + (F.lit(floors[i]) if i == j else F.lit(0.0)) for j in range(i + 1)] for i in range(p)]
-    names = [f"mean_{i}" for i in range(p)] + [f"low_{i}_{j}" for i in range(p) for j in range(i + 1)]
-    return stage(_add(sums, inverse_form(cov, FEATURES)).select(*group, *[F.coalesce(n, F.lit(0.0)).alias(n) for n in names]), label)
+    means = [f"coalesce(mean_{i}, 0D) as mean_{i}" for i in range(p)]
+    return stage(sums.selectExpr(*group, *means, *factor_sql(floors)), label)
 
 
 def estimates(vectors: DataFrame, group: list[str], support: float = SUPPORT, steps: int = STEPS, floors: Sequence[float] = FLOORS) -> DataFrame:
@@ -189,11 +175,11 @@ def estimates(vectors: DataFrame, group: list[str], support: float = SUPPORT, st
     )
     params = stage(params, "mcd-start")
     for step in range(steps):
-        near = _add(_with(vectors, params, group), _distance(FEATURES))
+        near = _with(vectors, params, group).selectExpr("*", *distance_sql())
         edge = stage(_bin_quantile(near, group, log2_of(F.col("d2")), support, "edge"), "mcd-edge")
         params = _moments(_with(near, edge, group), group, floors, log2_of(F.col("d2")) <= F.col("edge"), f"mcd-step-{step}")
     # Scatter of the central part is too small; its median distance shows by how much.
-    near = _add(_with(vectors, params, group), _distance(FEATURES))
+    near = _with(vectors, params, group).selectExpr("*", *distance_sql())
     middle = stage(_bin_quantile(near, group, log2_of(F.col("d2")), 0.5, "middle"), "mcd-middle")
     weight = F.greatest(F.pow(F.lit(2.0), F.col("middle")) / CHI_MEDIAN, F.lit(1.0))
     return _moments(_with(near, middle, group), group, floors, F.col("d2") <= CHI_975 * weight, "mcd-reweighted")
@@ -227,7 +213,7 @@ def judged(counts: DataFrame, lang: str, source: str, cut: float = CUT) -> DataF
     judges = stage(named.select(*group, F.coalesce("own", "all").alias("judge")).select(*group, "judge.*"), "mcd-judges")
     rows = counts.withColumns({"base_failed": base_failed(), **features()})
     chosen = rows.join(judges, F.col(lang).eqNullSafe(F.col("g_lang")) & F.col(source).eqNullSafe(F.col("g_source")), "left")
-    measured = _add(chosen, _distance(FEATURES)).withColumn("distance", F.col("d2"))
+    measured = chosen.selectExpr("*", *distance_sql()).withColumn("distance", F.col("d2"))
     return measured.withColumn("kept", ~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cut)).select(
         *counts.columns, "base_failed", "distance", "kept")
 
