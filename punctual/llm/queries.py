@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm import apportion, chat, extendible, grace_dedup, jaccard_join, outlier_rules, pieces, secrets
+from punctual.llm import apportion, chat, extendible, grace_dedup, jaccard_join, kneser_ney, outlier_rules, pieces, quality_cnn, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -75,6 +75,16 @@ def sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(documents(spark, sf_dir))
 
 
+@query("op2_quality_cnn")
+def quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cnn.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op4_kneser_ney")
+def kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.train_and_score(documents(spark, sf_dir))
+
+
 SQL_CHAT = r"""
 with turns as (
   select conv_id, turn, role, coalesce(text, '') as text from conversations
