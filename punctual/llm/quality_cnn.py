@@ -23,7 +23,9 @@ WIDTH, FILTERS, HIDDEN = 6, 24, 16
 CHUNK, HOP = 128, 64
 #: Bounds of the training sample: texts per label, and bytes of a text (cut from evenly spread places if it is longer).
 PER_CLASS, SAMPLE_BYTES = 1500, 8192
-EPOCHS, RATE, BATCH, SEED = 14, 0.004, 16, 3
+EPOCHS, RATE, BATCH, SEED = 12, 0.004, 16, 3
+#: A small sample is gone through more often, for at least so many steps.
+MIN_STEPS = 1500
 SEGMENT = 1 << 16
 THRESHOLD = 0.3
 
@@ -102,18 +104,19 @@ def probability(text: bytes, net: Network, tables: list[np.ndarray]) -> float:
 
 
 def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int = SEED) -> Network:
-    """Adam on the log loss. Gradients flow through the two maxima only, so they touch few rows of the filters."""
+    """Adam on the log loss, both labels with equal weight. Gradients flow through the two maxima only, so they touch few rows of the filters."""
     net, r = start_network(seed), np.random.default_rng(seed)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.params()]
     raw = [pair_codes(t).view(np.uint8) for t in texts]
-    step = 0
+    step, epochs = 0, max(epochs, -(-MIN_STEPS * BATCH // len(texts)))
+    weight = [len(labels) / (2 * max(1, labels.count(k))) for k in (0, 1)]
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
         order = r.permutation(len(texts))
         for a in range(0, len(order), BATCH):
             grads = [np.zeros_like(p) for p in net.params()]
             for i in order[a:a + BATCH]:
-                _backward(raw[i], labels[i], net, grads, min(BATCH, len(order) - a))
+                _backward(raw[i], labels[i], net, grads, weight[labels[i]] / min(BATCH, len(order) - a))
             step += 1
             for p, g, (m, v) in zip(net.params(), grads, moments):
                 m += 0.1 * (g - m)
@@ -122,7 +125,7 @@ def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int
     return net
 
 
-def _backward(raw: np.ndarray, label: int, net: Network, grads: list[np.ndarray], n_batch: int) -> None:
+def _backward(raw: np.ndarray, label: int, net: Network, grads: list[np.ndarray], weight: float) -> None:
     n = len(raw) // 2 - WIDTH // 2 + 1
     answers = net.table[0][raw[0:2 * n:2]]
     for k in range(1, WIDTH):
@@ -135,7 +138,7 @@ def _backward(raw: np.ndarray, label: int, net: Network, grads: list[np.ndarray]
     best = units.argmax(0)
     pooled = np.maximum(units[best, np.arange(HIDDEN)], 0)
     p = 1 / (1 + np.exp(-np.clip(pooled @ net.out + net.out_bias[0], -30, 30)))
-    d = np.float32((p - label) / n_batch)
+    d = np.float32((p - label) * weight)
     grads[5][0] += d
     grads[4] += d * pooled
     d_units = np.where(pooled > 0, d * net.out, 0)
