@@ -4,7 +4,7 @@
    shared again. Sorted by cap per weight, the sources that stop are a prefix, so running sums settle it at once.
 2. Seats: the blocks of ``block_tokens`` in all tokens go to sources by highest quotient target / (2k + 1). Each
    source first gets the seats that it has for certain; only the last few are ranked, so that seats are never listed.
-3. Each source is cut into shards by a hash of the row (about ``shard_rows`` rows each, so a hot source has many),
+3. Each source is cut into shards by a hash of the row (``shard_rows`` rows each at most on average, so a hot source has many),
    and its seats go to its shards by the same rule over their sizes: integer quotas.
 4. In a shard, rows are laid end to end in a seeded order and cut into blocks. Every block is taken as often as the
    quota allows for all of them, and the rest of the quota takes blocks evenly spread from a seeded start.
@@ -20,7 +20,7 @@ from punctual.staging import stage
 
 SEED = 20
 BLOCK_TOKENS = 64
-SHARD_ROWS = 20_000
+SHARD_ROWS = 4_000
 MAX_REPEATS = 3
 #: Seats below the exact share which a source surely gets, and those above which it may still get.
 SURE, MORE = 2, 5
@@ -106,10 +106,11 @@ def mix(
     Order inside a shard is (seeded hash, id, size): rows tied in all of them are alike, so reruns agree. No row is
     taken more than ``max_repeats`` times its size. Other columns are not looked at.
     """
-    sized = df.select(
+    # Written: words are counted once, and three passes follow.
+    sized = stage(df.select(
         F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{source_column}`").cast("string").alias("source"),
         word_count(text_or_empty(text_column)).alias("size"), *([carry.alias("row")] if carry is not None else []),
-    )
+    ), "mix-sizes")
     by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
     wanted = targets(by_source, max_repeats).withColumns({
         "all": F.lit(0), "seats_in_all": F.expr(f"total div {block_tokens}"), "shards": F.expr(f"source_rows div {shard_rows} + 1"),
