@@ -206,10 +206,11 @@ def judged(counts: DataFrame, lang: str, source: str, cut: float = CUT) -> DataF
     found = estimates(twice, [*group, "every"])
     # The estimate for each pair of language and source in the table: its own, or that of all texts.
     names = [c for c in found.columns if c not in (*group, "every")]
-    pairs = counts.select(F.col(lang).alias("g_lang"), F.col(source).alias("g_source")).distinct().withColumn("every", F.lit(True))
+    pairs = counts.select(F.col(lang).alias("g_lang"), F.col(source).alias("g_source")).distinct()
     own = found.filter(~F.col("every")).select(*[F.col(c).alias(f"o_{c}") for c in group], F.struct(*names).alias("own"))
-    named = pairs.join(own, [F.col(c).eqNullSafe(F.col(f"o_{c}")) for c in group], "left").join(
-        found.filter("every").select("every", F.struct(*names).alias("all")), "every", "left")
+    whole = found.filter("every").select(*names).first()  # one row of numbers
+    of_all = F.struct(*[F.lit(float(whole[n]) if whole else None).cast("double").alias(n) for n in names])
+    named = pairs.join(own, [F.col(c).eqNullSafe(F.col(f"o_{c}")) for c in group], "left").withColumn("all", of_all)
     judges = stage(named.select(*group, F.coalesce("own", "all").alias("judge")).select(*group, "judge.*"), "mcd-judges")
     rows = counts.withColumns({"base_failed": base_failed(), **features()})
     chosen = rows.join(judges, F.col(lang).eqNullSafe(F.col("g_lang")) & F.col(source).eqNullSafe(F.col("g_source")), "left")
