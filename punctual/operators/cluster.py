@@ -25,18 +25,14 @@ SWEEP = range(2, 11)
 # Longitude and latitude limits of the route map, ends excluded.
 MAP_BOX = {"lon": (-130, -60), "lat": (20, 50)}
 
-ROWS_PER_TRAINER = 250_000
+#: Part of the model's settings, like the seed: another number gives other vectors. Raise it for large frames, for all runs alike.
+TRAINERS = 1
 
 
 def fit_embedding(
-    df: DataFrame, tokens: str = "tokens", out: str = "category_vec", partitions: int | None = None, **settings
+    df: DataFrame, tokens: str = "tokens", out: str = "category_vec", partitions: int = TRAINERS, **settings
 ) -> Word2VecModel:
-    """Word vectors of category tokens. Training is spread over as many partitions as the rows need.
-
-    MLlib trains in one partition unless told otherwise, which would bring the whole frame into one task.
-    """
-    if partitions is None:
-        partitions = max(1, -(-df.count() // ROWS_PER_TRAINER))
+    """Word vectors of category tokens, trained in ``partitions`` parts. The number never follows the size of the data."""
     model = Word2Vec(
         inputCol=tokens, outputCol=out, seed=SEED, numPartitions=partitions, **{**EMBEDDING, **settings}
     )

@@ -13,8 +13,8 @@ SPREAD = 1024
 
 
 def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``max_rows + 1`` rows to see whether the frame may be broadcast."""
-    return small.limit(max_rows + 1).count() <= max_rows
+    """Count the rows, per task and then in sum, to see whether the frame may be broadcast."""
+    return small.count() <= max_rows
 
 
 def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, keep: bool = False) -> DataFrame:

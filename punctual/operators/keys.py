@@ -134,7 +134,8 @@ def global_index(
         .sortWithinPartitions(*order)
         .withColumn("_tag", F.monotonically_increasing_id())
     )
-    staged = stage(tagged, "index", partition_by=within)
+    # Not partitioned by the group: folder names would turn empty text into null.
+    staged = stage(tagged, "index")
     part = F.shiftright("_tag", POSITION_BITS)
     sizes = staged.groupBy(*group, part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     # One row per partition and group met in it: the windows and the broadcast are bounded by that.
@@ -147,11 +148,23 @@ def global_index(
     position = F.col("_tag").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     return (
         staged.withColumn("_part", part)
-        .join(F.broadcast(offsets), [*group, "_part"], "inner")
+        .join(_keyed(offsets, [*group, "_part"]), _matches([*group, "_part"]), "inner")
         .select((F.col("_offset") + position + 1).alias(index), *df.columns)
     )
 
 
+def _keyed(small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rename keys for a null-safe join; broadcast if its measured size allows it."""
+    return checked_broadcast(small.withColumnsRenamed({k: f"_right_{k}" for k in keys}))
+
+
+def _matches(keys: Sequence[str]):
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return match
+
+
 def running_count(
     counts: DataFrame, group: str, value: str, amount: str, before: str, window_rows: int = 4_000_000
 ) -> DataFrame:
@@ -174,7 +187,7 @@ def running_count(
     w_inside = Window.partitionBy(group, "_part").orderBy(value)
     return (
         staged.withColumn("_inside", F.sum(amount).over(w_inside) - F.col(amount))
-        .join(checked_broadcast(offsets), [group, "_part"], "inner")
+        .join(_keyed(offsets, [group, "_part"]), _matches([group, "_part"]), "inner")
         .select(*counts.columns, (F.col("_inside") + F.col("_offset")).alias(before))
     )
 

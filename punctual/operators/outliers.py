@@ -63,7 +63,8 @@ def box_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         if q1 is None:
             continue
         low, high = q1 - WHISKER * (q3 - q1), q3 + WHISKER * (q3 - q1)
-        inside = F.col(c).between(low, high)
+        present = F.when(~F.isnan(F.col(c).cast("double")), F.col(c))  # quartiles leave NaN out, and so do the rest
+        inside = present.between(low, high)
         boxes.append(
             F.struct(
                 *[F.lit(float(x)).alias(n) for n, x in (("q1", q1), ("median", q2), ("q3", q3))],

@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from fractions import Fraction
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -194,8 +195,6 @@ def quantiles(
 
 
 def disc_rank(p: float, n: int) -> int:
-    """Rank of the discrete quantile, safe against ``p * n`` landing just above a whole number."""
-    exact = p * n
-    nearest = round(exact)
-    rank = nearest if abs(exact - nearest) < 1e-9 * max(1.0, exact) else math.ceil(exact)
-    return min(max(rank, 1), n)
+    """Rank of the discrete quantile: ``p * n`` rounded up, in whole numbers, with ``p`` as the decimal it is written as."""
+    share = Fraction(str(p))
+    return min(max(-(-share.numerator * n // share.denominator), 1), n)

@@ -95,3 +95,16 @@ def test_sample_and_limit_are_stable(events, rows):
     for df in layouts(events):
         assert rows(keys.stable_sample(df, ["id"], 0.2)) == sample
         assert rows(keys.stable_limit(df, ["id"], 50)) == first
+
+
+def test_index_and_running_count_keep_rows_of_null_and_empty_groups(spark):
+    rows = [(g, i) for i, g in enumerate([None, "", "a", "b"] * 10)]
+    df = spark.createDataFrame(rows, "g string, v int")
+    indexed = keys.global_index(df, ["v"], within="g").collect()
+    assert sorted((r.g is None, r.g or "", r["index"]) for r in indexed) == sorted(
+        (g is None, g or "", k) for g in (None, "", "a", "b") for k in range(1, 11))
+    counts = df.withColumn("n", F.lit(1))
+    for window_rows in (1000, 5):
+        got = keys.running_count(counts, "g", "v", "n", "before", window_rows=window_rows).collect()
+        assert len(got) == 40
+        assert all(r.before == r.v // 4 for r in got)

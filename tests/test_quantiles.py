@@ -73,3 +73,12 @@ def test_box_stats_match_numpy(spark):
     inside = [v for v in values if low <= v <= high]
     assert (row["q1"], row["median"], row["q3"]) == pytest.approx((q1, q2, q3))
     assert (row["whisker_low"], row["whisker_high"], row["outliers"]) == (min(inside), max(inside), len(values) - len(inside))
+
+
+def test_ranks_are_rounded_up_at_any_size():
+    from punctual.operators.quantiles import disc_rank
+
+    assert disc_rank(0.5, 1_000_000_001) == 500_000_001
+    assert disc_rank(0.25, 3_000_000_001) == 750_000_001
+    assert disc_rank(0.9, 10 ** 12) == 9 * 10 ** 11
+    assert disc_rank(0.1, 10) == 1
