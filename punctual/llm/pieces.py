@@ -5,8 +5,9 @@ depend on a key and not on a random generator. Merges wait on an agenda, best sc
 is taken up, a keyed hash of (seed, variant of the document, word, place, merged piece) decides whether it is skipped
 for good. Other merges go on, so one word has many segmentations, and every rerun gives the same ones.
 
-No piece crosses a space or a line break (checked when the vocabulary is read), so words are encoded one by one and
-their ids are kept in a bounded cache. Characters outside the vocabulary become byte pieces; so does a literal
+No piece crosses a space or a line break (checked when the vocabulary is read), so words are encoded on their own and
+their ids are kept in a bounded cache. The new words of a chunk are segmented together: their agendas are the rows of one
+array, and each step takes up the best merge of every row. Words beyond ``WIDTHS`` have an agenda of their own. Characters outside the vocabulary become byte pieces; so does a literal
 U+2581, which as a piece would read as a space. Decoding is therefore exact for every text.
 """
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,8 +33,12 @@ DROPOUT = 0.1
 SEED = 7
 #: Documents are dealt over so many keys; the same word is segmented alike under one key.
 VARIANTS = 8
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 CHUNK_BYTES = 4 << 20
+#: Words up to these lengths share an array, ``BLOCK_WORDS`` at a time.
+WIDTHS = (6, 9, 12, 16, 24, 48)
+BLOCK_WORDS = 8192
+NEVER = np.iinfo(np.int32).max
 MARK = "▁"
 _UNITS = re.compile("\n|▁*[^▁\n]+|▁+")
 
@@ -69,9 +75,127 @@ class Pieces:
                 self.bytes.append(piece.replace(MARK, " ").encode())
         if not all(self.byte_ids):
             raise ValueError("the model has no byte pieces, so decoding can't be lossless")
+        self._tables()
+
+    def _tables(self) -> None:
+        """Merges as arrays. Symbols are piece ids; a character that is no piece is the number of pieces and its code point."""
+        size = len(self.bytes)
+        symbol = np.arange(size, size + 0x110000, dtype=np.int64)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                symbol[ord(piece)] = i
+        part = lambda x: self.ids.get(x, int(symbol[ord(x)]) if len(x) == 1 else None)
+        steps = {s: k for k, s in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        merges = sorted(
+            (left << 32 | right, i, steps[self.scores[piece]])
+            for piece, i in self.ids.items() for cut in range(1, len(piece))
+            if (left := part(piece[:cut])) is not None and (right := part(piece[cut:])) is not None)
+        pairs, into, order = zip(*merges) if merges else ((), (), ())
+        self.symbol, self.size = symbol, size
+        self.into, self.order = np.array([*into, 0], np.int64), np.array([*order, NEVER], np.int32)
+        # Open addressing: an empty slot holds no pair and the last, empty merge.
+        bits = max(8, 3 + len(pairs).bit_length())
+        self.shift, self.slots = np.uint64(64 - bits), np.full(1 << bits, -1, np.int64)
+        self.places = np.full(1 << bits, len(pairs), np.int32)
+        for place, (pair, slot) in enumerate(zip(pairs, self._slot(np.array(pairs, np.int64)).tolist())):
+            while self.slots[slot] >= 0:
+                slot = (slot + 1) & (1 << bits) - 1
+            self.slots[slot], self.places[slot] = pair, place
+        self.byte_array = np.array(self.byte_ids, np.int32)
+
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        return (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def _find(self, pairs: np.ndarray) -> np.ndarray:
+        """Place of each pair's merge; the last place where there is none."""
+        slot = self._slot(pairs)
+        held = self.slots[slot]
+        while len(on := np.flatnonzero((held != pairs) & (held >= 0))):
+            slot[on] = (slot[on] + 1) & len(self.slots) - 1
+            held[on] = self.slots[slot[on]]
+        return self.places[slot]
+
+    def segment_all(self, words: list[str], bases: np.ndarray, dropout: float) -> list[bytes]:
+        """Packed ids of each word, as ``segment`` gives them. ``bases``: the words' keyed hashes."""
+        out = [b""] * len(words)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        low = 0
+        for width in WIDTHS:
+            rows = np.flatnonzero((lengths > low) & (lengths <= width))
+            for start in range(0, len(rows), BLOCK_WORDS):
+                at = rows[start:start + BLOCK_WORDS]
+                for i, ids in zip(at.tolist(), self._block([words[i] for i in at.tolist()], lengths[at], bases[at], width, dropout)):
+                    out[i] = ids
+            low = width
+        for i in np.flatnonzero(lengths > low).tolist():
+            out[i] = np.array(self.segment(words[i], int(bases[i]), dropout), np.int32).tobytes()
+        return out
 
-    def segment(self, word: str, key: int, dropout: float) -> list[int]:
-        """Ids of one word (spaces as marks)."""
+    def _block(self, words: list[str], lengths: np.ndarray, bases: np.ndarray, width: int, dropout: float) -> list[bytes]:
+        limit = np.uint64(int(dropout * (1 << 32)))
+        n = len(words)
+        inside = np.arange(width) < lengths[:, None]
+        symbols = np.full((n, width), -1, np.int64)
+        symbols[inside] = self.symbol[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        symbols = symbols.ravel()
+        after, before = np.tile(np.arange(1, width + 1), n), np.tile(np.arange(-1, width - 1), n)
+        ends = np.repeat(lengths, width)
+        order, into = np.full(n * width, NEVER, np.int32), np.zeros(n * width, np.int64)
+
+        def put(at: np.ndarray, right: np.ndarray) -> None:
+            """Merge of ``at`` with the symbol at ``right`` on the agenda, unless there is none or its hash skips it."""
+            found = self._find(symbols[at] << 32 | symbols[right])
+            hit = found < len(self.into) - 1
+            order[at] = NEVER
+            at, found = at[hit], found[hit]
+            merged = self.into[found]
+            if limit:
+                h = bases[at // width] ^ ((at % width).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) \
+                    ^ (merged.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+                h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+                taken = h >> np.uint64(32) >= limit
+                at, found, merged = at[taken], found[taken], merged[taken]
+            order[at], into[at] = self.order[found], merged
+
+        first = np.flatnonzero((np.arange(1, width + 1) < lengths[:, None]).ravel())
+        put(first, first + 1)
+        agenda, alive = order.reshape(n, width), np.arange(n)
+        while True:
+            best = agenda[alive].argmin(axis=1)
+            at = alive * width + best
+            some = order[at] < NEVER
+            alive, at = alive[some], at[some]
+            if not len(alive):
+                break
+            start = alive * width
+            gone = start + after[at]
+            symbols[at] = into[at]
+            symbols[gone], order[gone], order[at] = -1, NEVER, NEVER
+            after[at] = after[gone]
+            k = after[at]
+            more = k < ends[at]
+            right = start[more] + k[more]
+            before[right] = at[more] - start[more]
+            put(at[more], right)
+            k = before[at]
+            more = k >= 0
+            put(start[more] + k[more], at[more])
+        kept = symbols >= 0
+        ids, per_word = symbols[kept], kept.reshape(n, width).sum(axis=1)
+        unknown = ids >= self.size
+        if unknown.any():
+            codes = ids[unknown] - self.size
+            spread = np.ones(len(ids), np.int64)
+            spread[unknown] = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
+            text = codes.astype(np.uint32).tobytes().decode("utf-32-le").encode()
+            per_word = np.add.reduceat(spread, np.cumsum(per_word) - per_word)
+            ids, unknown = np.repeat(ids, spread), np.repeat(unknown, spread)
+            ids[unknown] = self.byte_array[np.frombuffer(text, np.uint8)]
+        packed, stops = ids.astype(np.int32).tobytes(), (4 * np.cumsum(per_word)).tolist()
+        return [packed[a:b] for a, b in zip([0, *stops], stops)]
+
+    def segment(self, word: str, base: int, dropout: float) -> list[int]:
+        """Ids of one word (spaces as marks). ``base``: the word's keyed hash."""
         parts: list[str | None] = list(word)
         n = len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -82,7 +206,6 @@ class Pieces:
             if s is not None:
                 agenda.append((-s, i, parts[i], parts[i + 1]))
         heapq.heapify(agenda)
-        base = xxhash.xxh3_64_intdigest(word.encode(), key) if dropout else 0
         limit = int(dropout * (1 << 32))
         while agenda:
             _, i, left, right = heapq.heappop(agenda)
@@ -120,41 +243,59 @@ class Pieces:
         return whole[1:] if whole[:1] == b" " else whole
 
 
-class _Cache(dict):
-    """Words of one key -> their ids as packed int32."""
-
-    def __init__(self, pieces: Pieces, key: int, dropout: float):
-        super().__init__()
-        self.pieces, self.key, self.dropout = pieces, key, dropout
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_WORDS // VARIANTS:
-            self.clear()
-        value = self[word] = np.array(self.pieces.segment(word, self.key, self.dropout), np.int32).tobytes()
-        return value
-
-
 @lru_cache(maxsize=4)
 def load(path: str) -> Pieces:
     return Pieces(path)
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str, dropout: float, seed: int, variants: int) -> Encoder:
+    """One encoder for all tasks of a worker, so that its cached words are used again."""
+    return Encoder(path, dropout, seed, variants)
+
+
 class Encoder:
     def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
         self.pieces = load(path)
         keys = [xxhash.xxh3_64_intdigest(f"{seed}-{v}".encode()) for v in range(variants)]
-        self.caches = [_Cache(self.pieces, key, dropout) for key in keys]
+        self.keys, self.dropout = keys, dropout
         self.mark = np.array([self.pieces.byte_ids[b] for b in MARK.encode()], np.int32).tobytes()
+        #: For each variant: words -> packed ids; a literal mark is None.
+        self.caches: list[dict[str | None, bytes]] = [{None: self.mark} for _ in keys]
 
-    def packed(self, text: str, variant: int) -> bytes:
-        """Ids of a whole text as packed int32. An empty text has none; any other starts with a mark."""
+    @staticmethod
+    def _units(text: str) -> list[str | None]:
+        """Words of a text with spaces as marks, and None for each literal mark. An empty text has none; any other starts with a mark."""
         if not text:
-            return b""
-        words = self.caches[variant % len(self.caches)]
+            return []
         if MARK not in text:
-            return b"".join(map(words.__getitem__, _UNITS.findall((" " + text).replace(" ", MARK))))
-        spans = (" " + text).split(MARK)
-        return self.mark.join(b"".join(map(words.__getitem__, _UNITS.findall(span.replace(" ", MARK)))) for span in spans)
+            return _UNITS.findall((" " + text).replace(" ", MARK))
+        units: list[str | None] = []
+        for span in (" " + text).split(MARK):
+            units += [*_UNITS.findall(span.replace(" ", MARK)), None]
+        return units[:-1]
+
+    def packed(self, texts: list[str], variants: list[int]) -> list[bytes]:
+        """Ids of whole texts as packed int32."""
+        units = list(map(self._units, texts))
+        variants = [v % len(self.caches) for v in variants]
+        words: list[str] = []
+        bases: list[int] = []
+        new: list[tuple[int, int]] = []
+        for v, (cache, key) in enumerate(zip(self.caches, self.keys)):
+            met = set(itertools.chain.from_iterable(u for u, of in zip(units, variants) if of == v))
+            fresh = met - cache.keys()
+            if len(cache) + len(fresh) > CACHE_WORDS // len(self.caches) and len(fresh):
+                cache.clear()
+                cache[None] = self.mark
+                fresh = met - {None}
+            words += fresh
+            bases += [xxhash.xxh3_64_intdigest(w.encode(), key) for w in fresh] if self.dropout else [0] * len(fresh)
+            new.append((v, len(fresh)))
+        ids = iter(zip(words, self.pieces.segment_all(words, np.array(bases, np.uint64), self.dropout)))
+        for v, n in new:
+            self.caches[v].update(itertools.islice(ids, n))
+        return [b"".join(map(self.caches[v].__getitem__, u)) for u, v in zip(units, variants)]
 
 
 def _variant(id_column: str, variants: int) -> Column:
@@ -183,9 +324,9 @@ def encode(
     given = df.select(row.alias("row"), *_given(df, id_column, text_column, variants))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, dropout, seed, variants)
+        encoder = encoder_of(path, dropout, seed, variants)
         for chunk in chunks(batches, CHUNK_BYTES):
-            parts = [encoder.packed(t, v) for t, v in zip(chunk.column(1).to_pylist(), chunk.column(2).to_pylist())]
+            parts = encoder.packed(chunk.column(1).to_pylist(), chunk.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([chunk.column(0), _lists(parts)], names=["row", "ids"])
 
     out = given.mapInArrow(run, f"row {given.schema['row'].dataType.simpleString()}, ids array<int>")
@@ -218,13 +359,13 @@ def round_trip(
     given = df.select(F.col(f"`{id_column}`").alias("doc_id"), *_given(df, id_column, text_column, variants))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, dropout, seed, variants)
+        encoder = encoder_of(path, dropout, seed, variants)
         is_byte = np.zeros(len(encoder.pieces.bytes), bool)
         is_byte[encoder.pieces.byte_ids] = True
         for chunk in chunks(batches, CHUNK_BYTES):
             rows = []
-            for text, variant in zip(chunk.column(1).to_pylist(), chunk.column(2).to_pylist()):
-                packed = encoder.packed(text, variant)
+            texts = chunk.column(1).to_pylist()
+            for text, packed in zip(texts, encoder.packed(texts, chunk.column(2).to_pylist())):
                 ids = np.frombuffer(packed, np.int32)
                 back = encoder.pieces.decode(ids.tolist())
                 rows.append((len(ids), int(is_byte[ids].sum()), hashlib.sha256(packed).hexdigest(), hashlib.sha256(back).hexdigest(),

@@ -1,10 +1,13 @@
 """Edge cases and brute-force comparisons of the training-data operators on small tables."""
 
 import hashlib
+import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -173,3 +176,23 @@ def test_stages_take_odd_and_empty_tables(spark, name, stage):
         out = stage(spark, df, "")
         assert out.columns[:5] == list(corpus_pipeline.COLUMNS)
         assert out.count() <= 3 * df.count()
+
+
+def test_shared_agendas_segment_like_single_ones():
+    tool, rnd = pieces.load(pieces.model_path()), random.Random(5)
+    words = ["".join(rnd.choice("▁theingao é漢😀0z") for _ in range(rnd.randint(1, 70))) for _ in range(400)]
+    bases = np.array([xxhash.xxh3_64_intdigest(w.encode(), 3) for w in words], np.uint64)
+    for dropout in (0.0, 0.1, 0.6, 1.0):
+        want = [np.array(tool.segment(w, int(b), dropout), np.int32).tobytes() for w, b in zip(words, bases)]
+        assert tool.segment_all(words, bases, dropout) == want
+
+
+def test_encoding_does_not_depend_on_chunks_or_caches(monkeypatch):
+    texts = ["", "one two", "a ▁ mark", "tail ▁", "▁", "  spaces \n\n lines", "one two three " * 50] * 3
+    variants = [i % 5 for i in range(len(texts))]
+    whole = pieces.Encoder(pieces.model_path()).packed(texts, variants)
+    monkeypatch.setattr(pieces, "CACHE_WORDS", 16)
+    small = pieces.Encoder(pieces.model_path())
+    assert whole == [small.packed([t], [v])[0] for t, v in zip(texts, variants)]
+    back = [small.pieces.decode(np.frombuffer(p, np.int32).tolist()).decode() for p in whole]
+    assert back == texts
