@@ -37,7 +37,8 @@ def _months(spark, sf_dir):
 @query("rank_in_stratum", "W1 W2", f"with {_MONTHS} select {LINE_KEY_SQL}, month, cast(rn as integer) as rn, n from ranked")
 def _(spark, sf_dir):
     df = _months(spark, sf_dir)
-    return keys.rank_in_stratum(df, ["month"], [keys.stable_hash(*LINE_KEY), *LINE_KEY], "rn", "n")
+    ranked = keys.rank_in_stratum(df, ["month"], [keys.stable_hash(*LINE_KEY), *LINE_KEY], "rn", "n")
+    return ranked.withColumn("rn", F.col("rn").cast("int"))
 
 
 @query("stratified_split", "W1 W2 C7 F16", f"with {_MONTHS} select {LINE_KEY_SQL}, month, {_LABEL} as split from ranked")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 # A lookup of a few short columns and this many rows stays in the tens of megabytes.
 BROADCAST_ROWS = 500_000
-SPREAD = 1024
 
 
 def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -40,8 +39,8 @@ def lookup(
 
     A small table is broadcast. Otherwise ``weight`` (the row share of each value, adding up to 1)
     tells the hot values: those above ``1 / max_rows`` can be at most ``max_rows`` many, so they are
-    broadcast, and only the rows of the other values take part in the shuffle join. Rows already
-    served, and rows with a null key, are spread over salts so that no task receives them together.
+    broadcast, and only the rows of the other values are shuffled. Rows served by the broadcast, and rows
+    with a null key, stay where they are. ``df`` is read once for each of the two, so stage a costly one.
     """
     values = [c for c in table.columns if c != on]
     if fits_broadcast(table, max_rows) if small is None else small:
@@ -50,31 +49,14 @@ def lookup(
     if weight is None:
         return df.join(table.select(on, *carried), on, "left").select(*df.columns, *carried)
 
-    hot = table.filter(F.col(weight) > 1.0 / max_rows).select(
-        on, F.struct(*carried).alias("_hot")
-    )
-    cold = table.filter(F.col(weight) <= 1.0 / max_rows).select(
-        on, F.struct(*carried).alias("_cold"), F.lit(0).cast("long").alias("_salt")
-    )
-    served = F.col("_hot").isNotNull() | F.col(on).isNull()
-    salt = F.when(served, 1 + F.pmod(F.xxhash64(*[F.col(c) for c in _hashable(df)]), F.lit(SPREAD))).otherwise(0)
-    joined = (
-        df.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", salt.cast("long"))
-        .withColumn("_key", F.when(served, F.lit(None)).otherwise(F.col(on)))
-    )
-    # Served rows keep a non-null composite key through the salt; the value part is matched null-safely.
-    cold = cold.withColumnRenamed(on, "_cold_key").withColumnRenamed("_salt", "_cold_salt")
-    merged = joined.join(
-        cold, (F.col("_salt") == F.col("_cold_salt")) & F.col("_key").eqNullSafe(F.col("_cold_key")), "left"
-    )
-    picked = F.coalesce("_hot", "_cold")
-    return merged.select(*df.columns, *[picked[c].alias(c) for c in carried])
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    plain = {"string", "int", "bigint", "double", "float", "smallint", "tinyint", "date", "timestamp", "timestamp_ntz"}
-    return [c for c, t in df.dtypes if t in plain]
+    is_hot = F.coalesce(F.col(weight) > 1.0 / max_rows, F.lit(False))
+    hot = table.filter(is_hot).select(on, F.struct(*carried).alias("_hot"))
+    cold = table.filter(~is_hot).select(on, *carried)
+    tried = df.join(F.broadcast(hot), on, "left")
+    done = F.col("_hot").isNotNull() | F.col(on).isNull()
+    served = tried.filter(done).select(*df.columns, *[F.col("_hot")[c].alias(c) for c in carried])
+    rest = tried.filter(~done).select(*df.columns).join(cold, on, "left").select(*df.columns, *carried)
+    return served.union(rest)
 
 
 def rows_of(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -31,11 +31,15 @@ def stable_limit(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
 
 
 def rank_in_stratum(df: DataFrame, stratum: Sequence[str], order_by: Sequence, rank: str, size: str) -> DataFrame:
-    """Rank and stratum size beside each row. Each stratum is sorted in one task: for small strata only."""
-    group = Window.partitionBy(*stratum)
-    return df.withColumns(
-        {rank: F.row_number().over(group.orderBy(*order_by)), size: F.count(F.lit(1)).over(group)}
-    )
+    """Rank (long) and stratum size beside each row.
+
+    Positions come from one range exchange over the stratum and the order, so a stratum holding most rows is spread over
+    many tasks. ``order_by`` must be a total order inside the stratum. Null is a stratum like any other.
+    """
+    staged, offsets = _positions(df, list(stratum), order_by, None)
+    keyed = _keyed(offsets, [*stratum, "_part"])
+    return staged.join(keyed, _matches([*stratum, "_part"]), "inner").select(
+        *df.columns, (F.col("_offset") + F.col("_place") + 1).alias(rank), F.col("_all").alias(size))
 
 
 def split_bounds(df: DataFrame, stratum: str, keys: Sequence[str], percents: Sequence[int], bits: int = 14) -> DataFrame:
@@ -128,6 +132,16 @@ def global_index(
     ``order_by`` must be a total order (inside the group).
     """
     group = [within] if within else []
+    staged, offsets = _positions(df, group, order_by, partitions)
+    return (
+        staged.join(_keyed(offsets, [*group, "_part"]), _matches([*group, "_part"]), "inner")
+        .select((F.col("_offset") + F.col("_place") + 1).alias(index), *df.columns)
+    )
+
+
+def _positions(df: DataFrame, group: list[str], order_by: Sequence, partitions: int | None) -> tuple[DataFrame, DataFrame]:
+    """Staged rows with partition ``_part`` and position ``_place``, and per group and partition what to add (``_offset``)
+    for a rank inside the group, with the group's rows (``_all``)."""
     order = [*group, *order_by]
     tagged = (
         (df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order))
@@ -139,18 +153,14 @@ def global_index(
     part = F.shiftright("_tag", POSITION_BITS)
     sizes = staged.groupBy(*group, part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     # One row per partition and group met in it: the windows and the broadcast are bounded by that.
-    earlier_parts = Window.partitionBy(*group).orderBy("_part")
+    whole = Window.partitionBy(*group)
     earlier_groups = Window.partitionBy("_part").orderBy(*(group or ["_part"]))
     offsets = sizes.select(
-        *group, "_part",
-        (F.sum("_rows").over(earlier_parts) - F.sum("_rows").over(earlier_groups)).alias("_offset"),
+        *group, "_part", F.sum("_rows").over(whole).alias("_all"),
+        (F.sum("_rows").over(whole.orderBy("_part")) - F.sum("_rows").over(earlier_groups)).alias("_offset"),
     )
     position = F.col("_tag").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
-    return (
-        staged.withColumn("_part", part)
-        .join(_keyed(offsets, [*group, "_part"]), _matches([*group, "_part"]), "inner")
-        .select((F.col("_offset") + position + 1).alias(index), *df.columns)
-    )
+    return staged.withColumns({"_part": part, "_place": position}), offsets
 
 
 def _keyed(small: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -22,11 +22,14 @@ def test_lookup_paths_agree(spark, rows):
     assert got["hot"] == round(1000 / 3000, 6) and got["v5"] is None and got[None] is None
 
 
-def test_large_lookup_spreads_the_hot_rows(spark):
-    df = skewed(spark)
+def test_large_lookup_shuffles_only_unserved_rows(spark):
+    df = skewed(spark).select("k")
     table = encode.frequency_table(df, "k").withColumn("share", F.col("k_freq"))
-    plan = lookup(df, table, "k", weight="share", max_rows=10)._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan and "strategy=broadcast" in plan
+    plan = lookup(df, table, "k", weight="share", max_rows=10)._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union"
+    served, rest = (plan.children().apply(i).toString() for i in (0, 1))
+    assert served.count("Join ") == served.count("strategy=broadcast") == 1
+    assert "Filter isnull(_hot" in rest and "isnotnull(" in rest
 
 
 CODES = [("10397",), ("ATL",), ("12A",), (None,), ("99999",)]

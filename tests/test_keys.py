@@ -108,3 +108,16 @@ def test_index_and_running_count_keep_rows_of_null_and_empty_groups(spark):
         got = keys.running_count(counts, "g", "v", "n", "before", window_rows=window_rows).collect()
         assert len(got) == 40
         assert all(r.before == r.v // 4 for r in got)
+
+
+def test_rank_in_stratum_spreads_a_hot_stratum(spark):
+    stratum = F.when(F.col("id") % 3 > 0, F.lit("hot")).when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.lit(""))
+    df = spark.range(300).withColumn("g", stratum).withColumn("v", F.pmod(F.col("id") * 7, F.lit(50)))
+    ranked = keys.rank_in_stratum(df, ["g"], [F.col("v").desc(), "id"], "rank", "size")
+    got = {r["id"]: (r["rank"], r["size"]) for r in ranked.collect()}
+    groups = {}
+    for r in df.collect():
+        groups.setdefault(r["g"], []).append((-r["v"], r["id"]))
+    want = {i: (n, len(rows)) for rows in groups.values() for n, (_, i) in enumerate(sorted(rows), 1)}
+    assert got == want
+    assert keys.rank_in_stratum(df.limit(0), ["g"], ["v", "id"], "rank", "size").count() == 0
