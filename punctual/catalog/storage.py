@@ -25,7 +25,7 @@ def _(spark, sf_dir):
     note = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"\n'), F.col("c_nationkey").cast("string"))
     quoted = table(spark, sf_dir, "customer").select("c_custkey", note.alias("note"))
     write_csv(quoted, path)
-    return read_csv(spark, path, quoted.schema)
+    return read_csv(spark, path, quoted.schema, multi_line=True)
 
 
 @query(

@@ -14,13 +14,13 @@ def read_csv(
     path: str,
     schema: T.StructType | None = None,
     sep: str = ",",
-    multi_line: bool = True,
+    multi_line: bool = False,
     mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Quoted CSV with a header. Bad fields become null in the permissive mode.
 
-    With ``multi_line`` a quoted field may hold a line break, and then each file is one unit of
-    parallelism; pass ``multi_line=False`` for large files without such fields, which Spark splits.
+    With ``multi_line=True`` a quoted field may hold a line break, and then each file is one unit of
+    parallelism. Without it a file is split, and its fields must not hold line breaks.
     Without a schema the types are inferred, which reads the input twice.
     """
     reader = (

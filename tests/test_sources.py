@@ -11,9 +11,9 @@ def test_csv_with_bom_crlf_quotes_and_line_break(spark, tmp_path):
     path = tmp_path / "a.csv"
     text = '﻿IATA_CODE,AIRPORT,CITY,STATE,COUNTRY,LATITUDE,LONGITUDE\r\nA,"x, ""y""\nz",C,S,U,1.5,-2\r\nB,n,C,S,U,,bad'
     path.write_bytes(text.encode("utf-8"))
-    got = [tuple(r) for r in read_csv(spark, str(path), COORDINATES).collect()]
+    got = [tuple(r) for r in read_csv(spark, str(path), COORDINATES, multi_line=True).collect()]
     assert got == [("A", 'x, "y"\nz', "C", "S", "U", 1.5, -2.0), ("B", "n", "C", "S", "U", None, None)]
-    inferred = read_csv(spark, str(path))
+    inferred = read_csv(spark, str(path), multi_line=True)
     assert inferred.columns == COORDINATES.names and dict(inferred.dtypes)["LATITUDE"] == "double"
 
 
@@ -36,7 +36,7 @@ def test_csv_round_trip_is_a_folder(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, 'a "b", c'), (2, "line\nbreak")], "i int, s string")
     write_csv(df, str(tmp_path / "out.csv"))
     assert (tmp_path / "out.csv").is_dir()
-    assert rows(read_csv(spark, str(tmp_path / "out.csv"), df.schema)) == rows(df)
+    assert rows(read_csv(spark, str(tmp_path / "out.csv"), df.schema, multi_line=True)) == rows(df)
 
 
 def test_table_overwrite_replaces_the_schema(spark, tmp_path, rows):
