@@ -49,7 +49,8 @@ def statistics(df: DataFrame, text: Column, *keep: Column) -> DataFrame:
     """
     names = [f"k{i}" for i in range(len(keep))]
     base = df.select(*[c.alias(n) for c, n in zip(keep, names)], text.alias("text"))
-    trimmed = F.expr(r"trim(BOTH ' \t\n\u000B\f\r' FROM text)")
+    # SQL strings have no \f: it would be the letter f.
+    trimmed = F.expr(r"trim(BOTH ' \t\n\u000B\u000C\r' FROM text)")
     words = base.withColumns({
         "words": F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"{SPACE}+")),
         "lines": F.filter(F.split("text", "\n"), lambda x: x.rlike(NOT_SPACE)),
