@@ -15,6 +15,8 @@ from punctual.llm import apportion, grace_dedup, jaccard_join, outlier_rules, pi
 from punctual.staging import delete_tables, listed_tables, stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Near duplicates share 80 % of their shingles of five words; operator 7 alone has its own contract (3 and 90).
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 #: Working tables by the place of their stage.
 _working: dict[int, list[str]] = {}
@@ -51,7 +53,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage(2)
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of linked shingle sets."""
-    return jaccard_join.one_of_each(docs.select(*COLUMNS))
+    return jaccard_join.one_of_each(docs.select(*COLUMNS), words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 @_stage(3)
