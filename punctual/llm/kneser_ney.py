@@ -1,21 +1,27 @@
-"""Interpolated modified Kneser-Ney model of word pairs: counted in Spark, stored as sorted arrays, mapped by the workers.
+"""Interpolated modified Kneser-Ney model of words: counted in Spark, stored as sorted arrays, mapped by the workers.
 
 1. Words are counted by 63-bit hashes and written as one sorted array; a word's number is its place there.
 2. Pairs become one integer (number of the first word, number of the second), counted per task and dealt out in key order.
    The cut between shards follows the words' counts, also inside one frequent first word, so shards have equal work and none
    depends on a hot word. A task streams its sorted rows into one file per shard, and passes on sums per first word and per
    second word, from which discounts, back-off weights and continuation counts come.
-3. Workers map the files and look up whole chunks of texts at a time; nothing of the model is held in memory or broadcast.
+3. Triples become one integer too (place of the pair ahead, number of the word). Tasks pass them on as packed blocks of sorted keys;
+   a task of the other side merges the blocks of a shard into one file, and counts the pair's followers and the distinct words before
+   each pair, which the level of pairs is made of.
+4. Workers map the files and look up whole chunks of texts at a time; nothing of the model is held in memory or broadcast, and
+   maps are closed after each lookup, so pages don't add up.
 
 The files lie in the folder of ``spark.checkpoint.dir``, which workers must be able to open as a local or mounted path. Every
 file or part is written by one task and is the same whenever it is written again, so lost executors do no harm.
 
-Order 2 is the order of this model: pairs of the words themselves, with continuation counts below and a uniform base.
+``ORDER`` is 3: triples of the words themselves, with continuation counts below and a uniform base. Pairs that start a text have
+nothing before them and keep their own counts. Order 2 can be chosen.
 """
 
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from urllib.parse import urlparse
@@ -34,6 +40,8 @@ COUNT_TOKENS = 4_000_000
 SHARD_TOKENS = 2_000_000
 WORD_SHARD_BITS = 6
 PAIR_BITS = 31
+PLACE_BLOCK_BITS = 20
+ORDER = 3
 END = b"\n"  # no word holds white space
 
 
@@ -89,6 +97,17 @@ class Model:
     word_back: float = 1.0
     first_keys: list[int] = field(default_factory=list)
     shards: list[int] = field(default_factory=list)
+    #: Pairs and tokens before each shard of pairs.
+    places: list[int] = field(default_factory=list)
+    mass: list[int] = field(default_factory=list)
+    order: int = 2
+    d_triple: tuple = (0.5, 0.5, 0.5)
+    first_triples: list[int] = field(default_factory=list)
+    triple_shards: list[int] = field(default_factory=list)
+
+    @property
+    def word_bits(self) -> int:
+        return self.words.bit_length()
 
 
 class Mapped:
@@ -99,7 +118,6 @@ class Mapped:
         self.keys, self.counts, self.before = (self._open(n, np.int64, model.words) for n in ("words", "counts", "before"))
         self.continuations, self.context = self._open("continuations", np.int64, model.words), self._open("context", np.int64, model.words + 1)
         self.back = self._open("back", np.float64, model.words + 1)
-        self.pair_files: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def _open(self, name: str, kind, n: int) -> np.ndarray:
         path = f"{self.model.folder}/{name}"
@@ -113,22 +131,40 @@ class Mapped:
         at = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
         return np.where(self.keys[at] == distinct, at, -1)[back]
 
-    def pair_counts(self, keys: np.ndarray) -> np.ndarray:
-        """Training counts of pairs."""
-        distinct, back = np.unique(keys, return_inverse=True)
-        out = np.zeros(len(distinct), np.int64)
-        cuts = np.searchsorted(distinct, self.model.first_keys)
-        for i, shard in enumerate(self.model.shards):
+    def _found(self, distinct: np.ndarray, first_keys: list[int], shards: list[int], name: str) -> Iterator[tuple[int, slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per shard that is asked: its index, the part of ``distinct``, whether each key is there, its place in the shard and its count."""
+        cuts = np.searchsorted(distinct, first_keys)
+        for i, shard in enumerate(shards):
             a, b = cuts[i], cuts[i + 1] if i + 1 < len(cuts) else len(distinct)
             if a < b:
-                if shard not in self.pair_files:
-                    self.pair_files[shard] = (np.memmap(f"{self.model.folder}/pairs-{shard}.keys", np.int64, "r"),
-                                              np.memmap(f"{self.model.folder}/pairs-{shard}.counts", np.int32, "r"))
-                have, n = self.pair_files[shard]
+                path = f"{self.model.folder}/{name}-{shard}"
+                have = np.memmap(f"{path}.keys", np.int64, "r")
+                n = np.memmap(f"{path}.counts", f"u{os.path.getsize(f'{path}.counts') // len(have)}", "r")
                 at = np.minimum(np.searchsorted(have, distinct[a:b]), len(have) - 1)
-                out[a:b] = np.where(have[at] == distinct[a:b], n[at], 0)
+                yield i, slice(a, b), have[at] == distinct[a:b], at, n[at].astype(np.int64)
+
+    def pairs(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of pairs among all pairs, -1 for those not met in training, and their training counts."""
+        distinct, back = np.unique(keys, return_inverse=True)
+        place, count = np.full(len(distinct), -1, np.int64), np.zeros(len(distinct), np.int64)
+        for i, part, met, at, n in self._found(distinct, self.model.first_keys, self.model.shards, "pairs"):
+            place[part], count[part] = np.where(met, at + self.model.places[i], -1), np.where(met, n, 0)
+        return place[back], count[back]
+
+    def triple_counts(self, keys: np.ndarray) -> np.ndarray:
+        """Training counts of triples."""
+        distinct, back = np.unique(keys, return_inverse=True)
+        out = np.zeros(len(distinct), np.int64)
+        for _, part, met, _, n in self._found(distinct, self.model.first_triples, self.model.triple_shards, "triples"):
+            out[part] = np.where(met, n, 0)
         return out[back]
 
+    def of_pairs(self, name: str, place: np.ndarray) -> np.ndarray:
+        """Values of a file with one number per pair; 0 at place -1."""
+        distinct, back = np.unique(place, return_inverse=True)
+        file = self._open(name, np.int32, self.model.pairs)
+        return np.where(distinct >= 0, file[np.maximum(distinct, 0)], 0).astype(np.int64)[back]
+
     def log_scores(self, h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per token: log10 of the model's probability, of the base's, and whether it is known."""
         m = self.model
@@ -144,11 +180,23 @@ class Mapped:
         v = np.r_[-1, w[:-1]]
         v[starts] = m.words
         total = np.where(v >= 0, self.context[np.maximum(v, 0)], 0)
-        c = np.zeros(len(h), np.int64)
+        place, c = np.full(len(h), -1, np.int64), np.zeros(len(h), np.int64)
         asked = known & (total > 0)
-        c[asked] = self.pair_counts((v[asked] << PAIR_BITS) | w[asked])
+        place[asked], c[asked] = self.pairs((v[asked] << PAIR_BITS) | w[asked])
+        met = c
+        if m.order > 2:
+            c = np.where(v == m.words, met, self.of_pairs("pair-before", place))
         kept = np.maximum(c - _discount(c, m.d_pair), 0)
         p = np.where(total > 0, kept / np.maximum(total, 1) + np.where(total > 0, self.back[np.maximum(v, 0)], 1.0) * lower, lower)
+        if m.order > 2:
+            ahead, whole = np.r_[-1, place[:-1]], np.r_[0, met[:-1]]
+            ahead[starts], whole[starts] = -1, 0
+            c = np.zeros(len(h), np.int64)
+            asked = known & (ahead >= 0)
+            c[asked] = self.triple_counts((ahead[asked] << m.word_bits) | w[asked])
+            left = sum(d * self.of_pairs(f"pair-after-{k}", ahead) for k, d in enumerate(m.d_triple, 1))
+            kept = np.maximum(c - _discount(c, m.d_triple), 0)
+            p = np.where(ahead >= 0, (kept + left * p) / np.maximum(whole, 1), p)
         return np.log10(p), base, known
 
 
@@ -164,6 +212,41 @@ def _replace(path: str, array: np.ndarray) -> None:
     os.replace(temporary, path)
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Differences of sorted or small integers, byte plane by byte plane, compressed."""
+    steps = np.diff(values, prepend=np.int64(0)).astype(np.int64)
+    return zlib.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
+
+
+def _summed(keys: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of packed blocks in order, with the sums of their counts."""
+    key, n = np.concatenate([_unpack(k) for k in keys]), np.concatenate([_unpack(c) for c in counts])
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return key[first], np.add.reduceat(n, first)
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[bytes]]]:
+    """Rows (shard, keys, counts) sorted by shard: what belongs to each shard."""
+    current, keys, counts = None, [], []
+    for batch in batches:
+        for s, k, c in zip(*(x.to_pylist() for x in batch.columns)):
+            if current is not None and s != current:
+                yield current, keys, counts
+                keys, counts = [], []
+            current = s
+            keys.append(k)
+            counts.append(c)
+    if current is not None:
+        yield current, keys, counts
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes, end, parts, held = WordHashes(), end_hash(), [], 0
 
@@ -181,8 +264,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield count()
 
 
-def fit(df: DataFrame, text_column: str = "text", shard_tokens: int = SHARD_TOKENS) -> Model:
-    """Count all texts of ``df`` and write the model."""
+def fit(df: DataFrame, text_column: str = "text", shard_tokens: int = SHARD_TOKENS, order: int = ORDER) -> Model:
+    """Count all texts of ``df`` and write the model of order 2 or 3."""
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: 2 and 3 are built")
     spark = df.sparkSession
     texts = df.select(F.col(f"`{text_column}`").cast("string").alias("text"))
     folder = shared_folder(spark, "pair-model")
@@ -193,7 +278,7 @@ def fit(df: DataFrame, text_column: str = "text", shard_tokens: int = SHARD_TOKE
     for s, rows, n in sizes:  # 2 ** WORD_SHARD_BITS rows at most
         places[s], sums[s] = at, mass
         at, mass = at + rows, mass + n
-    model = Model(folder, at, mass)
+    model = Model(folder, at, mass, order=order)
     if not at:
         return model
     if at >= 1 << PAIR_BITS:
@@ -273,7 +358,7 @@ def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens
             yield rows(0, v[at], np.add.reduceat(n, at), *(np.add.reduceat(x.astype(np.int64), at) for x in (n == 1, n == 2, n >= 3)))
             yield rows(1, *np.unique(key & ((1 << PAIR_BITS) - 1), return_counts=True))
             yield rows(2, np.arange(1, 5), [int((n == k).sum()) for k in range(1, 5)])
-            yield rows(3, [shard], [len(key)], [int(key[0])])
+            yield rows(3, [shard], [len(key)], [int(key[0])], [int(n.sum())])
 
         current, keys, counts = None, [], []
         for batch in batches:
@@ -297,8 +382,13 @@ def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens
         _fill(f"{folder}/{name}", kind, n)
     of_counts = {r.id: r.n for r in sums.filter("kind = 2").groupBy("id").agg(F.sum("x1").alias("n")).collect()}
     model.d_pair = d = discounts(of_counts)
-    shards = sorted((r.x2, r.id, r.x1) for r in sums.filter("kind = 3").collect())  # one short row per file
+    shards = sorted((r.x2, r.id, r.x1, r.x3) for r in sums.filter("kind = 3").collect())  # one short row per file
     model.first_keys, model.shards, model.pairs = [x[0] for x in shards], [x[1] for x in shards], sum(x[2] for x in shards)
+    model.places, model.mass = ([sum(x[k] for x in shards[:i]) for i in range(len(shards))] for k in (2, 3))
+    of_words = sums.filter("kind = 0")
+    if model.order > 2:
+        of_words, of_counts = _fit_triples(spark, texts, model, shard_tokens)
+        model.d_pair = d = discounts(of_counts)
 
     def write_by_number(*names: str):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +404,7 @@ def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens
         return run
 
     by_block = F.shiftright("id", 20)
-    contexts = sums.filter("kind = 0").groupBy("id").agg(*[F.sum(f"x{k}").alias(f"x{k}") for k in range(1, 5)])
+    contexts = of_words.groupBy("id").agg(*[F.sum(f"x{k}").alias(f"x{k}") for k in range(1, 5)])
     back = (F.lit(d[0]) * F.col("x2") + F.lit(d[1]) * F.col("x3") + F.lit(d[2]) * F.col("x4")) / F.col("x1")
     stage(contexts.select("id", "x1", back.alias("back")).repartition(by_block).sortWithinPartitions("id")
           .mapInArrow(write_by_number("context", "back"), "done long"), "contexts-written")
@@ -327,6 +417,141 @@ def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens
     return model
 
 
+def _fit_triples(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens: int) -> tuple[DataFrame, dict[int, int]]:
+    """Count triples and write their files; rows (id, x1..x4) of first words, and counts of counts, of the level of pairs."""
+    folder, n_words, n_tokens, bits = model.folder, model.words, model.tokens, model.word_bits
+    n_shards = n_tokens // shard_tokens + 1
+    if model.pairs.bit_length() + bits > 63:
+        raise ValueError(f"{model.pairs} pairs and {n_words} words don't fit 63 bits")
+    after = [f"pair-after-{k}" for k in (1, 2, 3)]
+    for name in (*after, "pair-before"):
+        _fill(f"{folder}/{name}", np.int32, model.pairs)
+    ends = [*model.places[1:], model.pairs]
+
+    def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, end, mapped, parts, held = WordHashes(), end_hash(), Mapped(model), [], 0
+
+        def count() -> pa.RecordBatch:
+            key, n = np.unique(np.concatenate(parts), return_counts=True)
+            share = np.empty(len(key))
+            cuts = np.searchsorted(key, np.array([*model.places, model.pairs], np.int64) << bits)
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                if a < b:  # tokens before the pair, and of the pair's own the share before the word
+                    c = np.fromfile(f"{folder}/pairs-{model.shards[i]}.counts", np.int32).astype(np.int64)
+                    at = (key[a:b] >> bits) - model.places[i]
+                    share[a:b] = model.mass[i] + (np.cumsum(c) - c)[at] + c[at] * ((key[a:b] & ((1 << bits) - 1)) / n_words)
+            shard = np.minimum((share / n_tokens * n_shards).astype(np.int64), n_shards - 1)
+            cuts = [*np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]), len(key)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(shard[cuts[:-1]]), *(pa.array([_pack(x[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()) for x in (key, n))],
+                names=["shard", "keys", "counts"])
+
+        for chunk in chunks(batches, CHUNK_BYTES):
+            h, starts = tokens(binaries(chunk.column(0)), hashes, end)
+            if not len(h):
+                continue
+            w = mapped.numbers(h)
+            v = np.r_[0, w[:-1]]
+            v[starts] = n_words
+            place, _ = mapped.pairs((v << PAIR_BITS) | w)
+            key = (np.r_[0, place[:-1]] << bits) | w
+            parts.append(np.delete(key, starts))
+            held += len(parts[-1])
+            if held >= COUNT_TOKENS:
+                yield count()
+                parts, held = [], 0
+        if held:
+            yield count()
+
+    def write_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A file per shard; rows of the pairs at its edges (kind 0), counts of counts (2), the file (3), and packed pairs with the words before them (1)."""
+        def rows(kind: int, ids, *xs, keys=None, counts=None) -> pa.RecordBatch:
+            full = [np.asarray(x, np.int64) for x in xs] + [np.zeros(len(ids), np.int64)] * (3 - len(xs))
+            none = [None] * len(ids)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(ids), kind, np.int32)), pa.array(np.asarray(ids, np.int64)), *map(pa.array, full),
+                 pa.array(keys or none, pa.binary()), pa.array(counts or none, pa.binary())],
+                names=["kind", "id", "x1", "x2", "x3", "keys", "counts"])
+
+        mapped = Mapped(model)
+        for shard, keys, counts in _by_shard(batches):
+            key, n = _summed(keys, counts)
+            _replace(f"{folder}/triples-{shard}.keys", key)
+            _replace(f"{folder}/triples-{shard}.counts", n.astype(np.min_scalar_type(int(n.max()))))
+            place, w = key >> bits, key & ((1 << bits) - 1)
+            at = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+            low, high = int(place[0]), int(place[-1])
+            edges = [low, high][:1 + (high > low)]
+            of_edges = []
+            for name, x in zip(after, (n == 1, n == 2, n >= 3)):
+                whole = np.zeros(high - low + 1, np.int32)
+                whole[place[at] - low] = np.add.reduceat(x.astype(np.int32), at)
+                if high - low > 1:  # pairs inside are in no other shard
+                    file = np.memmap(f"{folder}/{name}", np.int32, "r+")
+                    file[low + 1:high] = whole[1:-1]
+                    file.flush()
+                of_edges.append([int(whole[e - low]) for e in edges])
+            yield rows(0, edges, *of_edges)
+            second = np.empty(len(at), np.int64)
+            cuts = np.searchsorted(place[at], [*model.places, model.pairs])
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                if a < b:
+                    second[a:b] = np.memmap(f"{folder}/pairs-{model.shards[i]}.keys", np.int64, "r")[place[at][a:b] - model.places[i]]
+            v = np.repeat(second & ((1 << PAIR_BITS) - 1), np.diff(np.r_[at, len(key)]))
+            pair, times = np.unique(mapped.pairs((v << PAIR_BITS) | w)[0], return_counts=True)
+            block = pair >> PLACE_BLOCK_BITS
+            cuts = [*np.flatnonzero(np.r_[True, block[1:] != block[:-1]]), len(pair)]
+            for a, b in zip(cuts, cuts[1:]):
+                yield rows(1, [block[a]], keys=[_pack(pair[a:b])], counts=[_pack(times[a:b])])
+            yield rows(2, np.arange(1, 5), [int((n == k).sum()) for k in range(1, 5)])
+            yield rows(3, [shard], [int(key[0])])
+
+    dealt = texts.mapInArrow(count_triples, "shard long, keys binary, counts binary").repartition("shard").sortWithinPartitions("shard")
+    sums = stage(dealt.mapInArrow(write_triples, "kind int, id long, x1 long, x2 long, x3 long, keys binary, counts binary"), "triples")
+    model.d_triple = discounts({r.id: r.n for r in sums.filter("kind = 2").groupBy("id").agg(F.sum("x1").alias("n")).collect()})
+    found = sorted((r.x1, r.id) for r in sums.filter("kind = 3").collect())  # one short row per file
+    model.first_triples, model.triple_shards = [x[0] for x in found], [x[1] for x in found]
+    edges = sums.filter("kind = 0").groupBy("id").agg(*[F.sum(f"x{k}").alias(f"x{k}") for k in (1, 2, 3)]).collect()  # two rows per file
+    for k, name in enumerate(after, 1):
+        file = np.memmap(f"{folder}/{name}", np.int32, "r+") if edges else None
+        for r in edges:
+            file[r.id] = r[f"x{k}"]
+        if edges:
+            file.flush()
+
+    def write_before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, keys, counts in _by_shard(batches):
+            low = block << PLACE_BLOCK_BITS
+            whole = np.zeros(min(1 << PLACE_BLOCK_BITS, model.pairs - low), np.int32)
+            for k, c in zip(keys, counts):
+                whole[_unpack(k) - low] += _unpack(c).astype(np.int32)
+            file = np.memmap(f"{folder}/pair-before", np.int32, "r+")
+            file[low:low + len(whole)] = whole
+            file.flush()
+        yield pa.RecordBatch.from_arrays([pa.array([1], pa.int64())], names=["done"])
+
+    stage(sums.filter("kind = 1").select("id", "keys", "counts").repartition("id").sortWithinPartitions("id").mapInArrow(write_before, "done long"), "before-written")
+
+    def sum_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per first word of a file of pairs: the sum of the counts of its level, and how many are 1, 2, more; counts of counts under -k."""
+        before = np.memmap(f"{folder}/pair-before", np.int32, "r")
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                path = f"{folder}/pairs-{model.shards[i]}"
+                v = np.fromfile(f"{path}.keys", np.int64) >> PAIR_BITS
+                n = np.where(v == n_words, np.fromfile(f"{path}.counts", np.int32), before[model.places[i]:ends[i]]).astype(np.int64)
+                at = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
+                xs = [np.add.reduceat(x.astype(np.int64), at) for x in (n, n == 1, n == 2, n >= 3)]
+                levels = np.array([int((n == k).sum()) for k in range(1, 5)])
+                columns = [np.r_[v[at], -np.arange(1, 5)], np.r_[xs[0], levels], *(np.r_[x, np.zeros(4, np.int64)] for x in xs[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "x1", "x2", "x3", "x4"])
+
+    files = spark.range(0, len(model.shards), 1, len(model.shards))
+    both = stage(files.mapInArrow(sum_pairs, "id long, x1 long, x2 long, x3 long, x4 long"), "pair-level")
+    levels = {-r.id: r.n for r in both.filter("id < 0").groupBy("id").agg(F.sum("x1").alias("n")).collect()}
+    return both.filter("id >= 0"), levels
+
+
 def score(df: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: doc_id, n_tokens, n_known, base_score, score (log10 of the probability of the text and its end)."""
     kind = df.schema[id_column].dataType.simpleString()
@@ -347,14 +572,16 @@ def score(df: DataFrame, model: Model, id_column: str = "doc_id", text_column: s
     return given.mapInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
 
 
-def train_and_score(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", folds: int = 5, held: int = 1) -> DataFrame:
+def train_and_score(
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", folds: int = 5, held: int = 1, order: int = ORDER,
+) -> DataFrame:
     """Learn from the rows outside the held-out fold (CRC-32 of the id as text) and score all rows.
 
     Null texts are empty and still end. A null id is an empty text for the fold. Without training rows every token has the
     same probability. ``perplexity`` is 10 ** (-score / n_tokens).
     """
     fold = F.crc32(F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")).cast("binary")) % folds
-    model = fit(df.filter(fold != held), text_column)
+    model = fit(df.filter(fold != held), text_column, order=order)
     id_fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds
     return score(df, model, id_column, text_column).select(
         "doc_id", (id_fold == held).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
