@@ -1,12 +1,11 @@
 """Interpolated modified Kneser-Ney model of words: counted in Spark, stored as sorted arrays, mapped by the workers.
 
 1. Words are counted by 63-bit hashes and written as one sorted array; a word's number is its place there.
-2. Pairs become one integer (number of the first word, number of the second), counted per task and dealt out in key order.
+2. Pairs become one integer (number of the first word, number of the second), counted per task and dealt out in key order as packed blocks.
    The cut between shards follows the words' counts, also inside one frequent first word, so shards have equal work and none
-   depends on a hot word. A task streams its sorted rows into one file per shard, and passes on sums per first word and per
+   depends on a hot word. A task merges the blocks of a shard into one file, and passes on sums per first word and per
    second word, from which discounts, back-off weights and continuation counts come.
-3. Triples become one integer too (place of the pair ahead, number of the word). Tasks pass them on as packed blocks of sorted keys;
-   a task of the other side merges the blocks of a shard into one file, and counts the pair's followers and the distinct words before
+3. Triples become one integer too (place of the pair ahead, number of the word), merged likewise. The task of a shard also counts the pair's followers and the distinct words before
    each pair, which the level of pairs is made of.
 4. Workers map the files and look up whole chunks of texts at a time; nothing of the model is held in memory or broadcast, and
    maps are closed after each lookup, so pages don't add up.
@@ -232,6 +231,14 @@ def _summed(keys: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndar
     return key[first], np.add.reduceat(n, first)
 
 
+def _packed_shards(shard: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """One row per shard (these rise with the keys): its sorted keys and their counts."""
+    cuts = [*np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]), len(key)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(shard[cuts[:-1]]), *(pa.array([_pack(x[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()) for x in (key, n))],
+        names=["shard", "keys", "counts"])
+
+
 def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[bytes]]]:
     """Rows (shard, keys, counts) sorted by shard: what belongs to each shard."""
     current, keys, counts = None, [], []
@@ -322,7 +329,7 @@ def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens
             shard = np.minimum((share / n_tokens * n_shards).astype(np.int64), n_shards - 1)
             start = v == n_words  # first words of texts: a context of its own, cut by the second word
             shard[start] = n_shards + (w[start] * (1 + n_shards // 16) // n_words)
-            return pa.RecordBatch.from_arrays([pa.array(shard), pa.array(key), pa.array(n)], names=["shard", "key", "n"])
+            return _packed_shards(shard, key, n)
 
         for chunk in chunks(batches, CHUNK_BYTES):
             h, starts = tokens(binaries(chunk.column(0)), hashes, end)
@@ -340,17 +347,15 @@ def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens
             yield count()
 
     def write_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted (shard, key, n): files per shard, and rows (kind, id, x1..x4) of what to sum further."""
+        """Packed pairs by shard: files per shard, and rows (kind, id, x1..x4) of what to sum further."""
         def rows(kind: int, ids, *xs) -> pa.RecordBatch:
             full = [np.asarray(x, np.int64) for x in xs] + [np.zeros(len(ids), np.int64)] * (4 - len(xs))
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(ids), kind, np.int32)), pa.array(np.asarray(ids, np.int64)), *map(pa.array, full)],
                 names=["kind", "id", "x1", "x2", "x3", "x4"])
 
-        def finish(shard: int, keys: list[np.ndarray], counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            key, n = np.concatenate(keys), np.concatenate(counts)
-            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            key, n = key[first], np.add.reduceat(n, first)
+        for shard, keys, counts in _by_shard(batches):
+            key, n = _summed(keys, counts)
             _replace(f"{folder}/pairs-{shard}.keys", key)
             _replace(f"{folder}/pairs-{shard}.counts", n.astype(np.int32))
             v = key >> PAIR_BITS
@@ -360,23 +365,7 @@ def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens
             yield rows(2, np.arange(1, 5), [int((n == k).sum()) for k in range(1, 5)])
             yield rows(3, [shard], [len(key)], [int(key[0])], [int(n.sum())])
 
-        current, keys, counts = None, [], []
-        for batch in batches:
-            s, key, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            cuts = [0, *(np.flatnonzero(s[1:] != s[:-1]) + 1), len(s)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if current is not None and int(s[a]) != current:
-                    yield from finish(current, keys, counts)
-                    keys, counts = [], []
-                current = int(s[a])
-                keys.append(key[a:b])
-                counts.append(n[a:b])
-        if current is not None:
-            yield from finish(current, keys, counts)
-
-    dealt = texts.mapInArrow(count_pairs, "shard long, key long, n long").repartition("shard").sortWithinPartitions("key")
+    dealt = texts.mapInArrow(count_pairs, "shard long, keys binary, counts binary").repartition("shard").sortWithinPartitions("shard")
     sums = stage(dealt.mapInArrow(write_pairs, "kind int, id long, x1 long, x2 long, x3 long, x4 long"), "pairs")
     for name, kind, n in (("continuations", np.int64, n_words), ("context", np.int64, n_words + 1), ("back", np.float64, n_words + 1)):
         _fill(f"{folder}/{name}", kind, n)
@@ -441,10 +430,7 @@ def _fit_triples(spark: SparkSession, texts: DataFrame, model: Model, shard_toke
                     at = (key[a:b] >> bits) - model.places[i]
                     share[a:b] = model.mass[i] + (np.cumsum(c) - c)[at] + c[at] * ((key[a:b] & ((1 << bits) - 1)) / n_words)
             shard = np.minimum((share / n_tokens * n_shards).astype(np.int64), n_shards - 1)
-            cuts = [*np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]), len(key)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(shard[cuts[:-1]]), *(pa.array([_pack(x[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()) for x in (key, n))],
-                names=["shard", "keys", "counts"])
+            return _packed_shards(shard, key, n)
 
         for chunk in chunks(batches, CHUNK_BYTES):
             h, starts = tokens(binaries(chunk.column(0)), hashes, end)
