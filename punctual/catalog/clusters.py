@@ -190,7 +190,7 @@ def _(spark, sf_dir):
 
 @query("k_sweep", "K1 K2 K3")
 def _(spark, sf_dir):
-    return cluster.sweep_k(_vectors(spark, sf_dir).drop("cluster"), ks=range(2, 6))
+    return cluster.sweep_k(_vectors(spark, sf_dir).drop("cluster"))
 
 
 @query("w2v_embed", "N11 N7 N8 N10")

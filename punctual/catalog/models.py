@@ -8,9 +8,11 @@ from punctual.functions import HASH_SPACE, stable_hash
 from punctual.operators import regress, selection
 
 _FEATURES = ["DEPARTURE_DELAY", "TAXI_OUT", "DISTANCE", "AIR_TIME", "FLIGHT_NUMBER"]
+# More columns than the selectors keep.
+_CANDIDATES = [
+    *_FEATURES, "MONTH", "DAY", "DAY_OF_WEEK", "SCHEDULED_DEPARTURE", "SCHEDULED_ARRIVAL", "SCHEDULED_TIME", "TAXI_IN", "WHEELS_OFF",
+]
 _LABEL = "ARRIVAL_DELAY"
-# Small settings, so that a check over whole tables stays short; the defaults are larger.
-_FOREST = {"numTrees": 10, "maxDepth": 5}
 _SHARE = 0.8
 
 _BASE = f"""{MOVEMENTS}, base as (select *, cast(l_linenumber % 3 as integer) as cluster,
@@ -140,40 +142,36 @@ def _(spark, sf_dir):
 
 @query("forest_fit", "M5 M9 M11")
 def _(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, "forest", _FEATURES, **_FOREST)[1]
+    return _fit_and_score(spark, sf_dir, "forest", _FEATURES)[1]
 
 
 @query("gbt_fit", "M6 M9 M11")
 def _(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, "boosting", _FEATURES, maxIter=5)[1]
+    return _fit_and_score(spark, sf_dir, "boosting", _FEATURES)[1]
 
 
 @query("forest_importances", "M5 L3")
 def _(spark, sf_dir):
     train = _frames(spark, sf_dir)["train"]
-    models = regress.fit_per_cluster(train, _FEATURES, _LABEL, "forest", **_FOREST)
+    models = regress.fit_per_cluster(train, _FEATURES, _LABEL, "forest")
     return regress.importances(models, _FEATURES, train)
 
 
 @query("gbt_importances", "M6")
 def _(spark, sf_dir):
     train = _frames(spark, sf_dir)["train"]
-    models = regress.fit_per_cluster(train, _FEATURES, _LABEL, "boosting", maxIter=3)
+    models = regress.fit_per_cluster(train, _FEATURES, _LABEL, "boosting")
     return regress.importances(models, _FEATURES, train)
 
 
 @query("tune_forest", "M7 M11")
 def _(spark, sf_dir):
-    grid = {"numTrees": [3, 6], "maxDepth": [3, 5]}
-    return regress.tune_per_cluster(_frames(spark, sf_dir)["train"], _FEATURES, _LABEL, "forest", grid)[1]
+    return regress.tune_per_cluster(_frames(spark, sf_dir)["train"], _FEATURES, _LABEL, "forest", regress.FOREST_GRID)[1]
 
 
 @query("tune_gbt", "M8 M11")
 def _(spark, sf_dir):
-    grid = {"maxIter": [2, 4], "stepSize": [0.1, 0.2]}
-    return regress.tune_per_cluster(
-        _frames(spark, sf_dir)["train"], _FEATURES, _LABEL, "boosting", grid, maxDepth=3
-    )[1]
+    return regress.tune_per_cluster(_frames(spark, sf_dir)["train"], _FEATURES, _LABEL, "boosting", regress.BOOSTING_GRID)[1]
 
 
 @query("model_compare", "M10 M3 M4")
@@ -184,12 +182,12 @@ def _(spark, sf_dir):
 
 @query("forest_top", "L3")
 def _(spark, sf_dir):
-    return selection.forest_importance(_base(spark, sf_dir), _FEATURES, _LABEL, top=3, **_FOREST)
+    return selection.forest_importance(_base(spark, sf_dir), _CANDIDATES, _LABEL)
 
 
 @query("rfe", "L5 L6")
 def _(spark, sf_dir):
-    return selection.recursive_elimination(_base(spark, sf_dir), _FEATURES, _LABEL, keep=3, **_FOREST)
+    return selection.recursive_elimination(_base(spark, sf_dir), _CANDIDATES, _LABEL)
 
 
 @query("lasso_select", "L7 L8")
@@ -199,14 +197,14 @@ def _(spark, sf_dir):
 
 @query("majority_vote", "L10 L3 L5 L7 L9")
 def _(spark, sf_dir):
-    base = _base(spark, sf_dir).select("cluster", *_FEATURES, _LABEL)
-    ranked = selection.spearman_ranking(base, _FEATURES, _LABEL)
+    base = _base(spark, sf_dir).select("cluster", *_CANDIDATES, _LABEL)
+    ranked = selection.spearman_ranking(base, _CANDIDATES, _LABEL)
     votes = selection.vote(
         {
-            "forest": selection.forest_importance(base, _FEATURES, _LABEL, top=3, **_FOREST),
-            "elimination": selection.recursive_elimination(base, _FEATURES, _LABEL, keep=3, **_FOREST),
-            "lasso": selection.lasso_selection(base, _FEATURES, _LABEL),
-            "spearman": ranked.filter(F.col("rank") <= 3),
+            "forest": selection.forest_importance(base, _CANDIDATES, _LABEL),
+            "elimination": selection.recursive_elimination(base, _CANDIDATES, _LABEL),
+            "lasso": selection.lasso_selection(base, _CANDIDATES, _LABEL),
+            "spearman": ranked.filter(F.col("rank") <= selection.TOP),
         }
     )
     return selection.vote_matrix(votes, [0, 1, 2])

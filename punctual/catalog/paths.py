@@ -105,7 +105,7 @@ def _(spark, sf_dir):
 @query("clustered_tables", "K3 K4 N7 N8 N9 N10 N11 E11")
 def _(spark, sf_dir):
     prepared = prepare_splits(_complete(spark, sf_dir), place_pairs(spark, sf_dir), LINE_KEY, _FRACTION)
-    clustered = cluster_splits(prepared.frames, k=4)
+    clustered = cluster_splits(prepared.frames)
     parts = [df.select(F.lit(name).alias("split"), "index", "cluster") for name, df in clustered.frames.items()]
     return reduce(DataFrame.unionByName, parts)
 
@@ -113,11 +113,9 @@ def _(spark, sf_dir):
 @query("regression_path", "J4 L1 L2 L3 L5 L7 L9 L10 M3 M9")
 def _(spark, sf_dir):
     prepared = prepare_splits(_complete(spark, sf_dir), place_pairs(spark, sf_dir), LINE_KEY, _FRACTION)
-    labels = {
-        name: df.select("index", (F.col("l_linenumber") % 2).cast("int").alias("cluster")) for name, df in prepared.frames.items()
-    }
+    clustered = cluster_splits(prepared.frames)
+    labels = {name: df.select("index", "cluster") for name, df in clustered.frames.items()}
     frames, features = prepare_regression(prepared.frames, labels)
-    forest = {"numTrees": 3, "maxDepth": 4}
-    chosen, _ = select_features(frames["train"], features, top=len(features) - 8, forest=forest)
+    chosen, _ = select_features(frames["train"], features)
     models = regress.fit_per_cluster(frames["train"], chosen, "ARRIVAL_DELAY", "linear")
     return regress.score_per_cluster(models, frames, chosen, "ARRIVAL_DELAY")
