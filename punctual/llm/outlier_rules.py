@@ -37,8 +37,8 @@ CHI_MEDIAN, CHI_975 = 4.351, 12.833
 #: Smallest variances: groups may hold texts that all agree in a statistic, and short texts vary more. Those of repeats are so wide
 #: that repeats alone, below what the base rule allows, reject nothing.
 FLOORS = (0.02, 0.0016, 0.0025, 0.01, 0.01)
-#: Groups of fewer texts than this use the estimate of all texts.
-MIN_GROUP = 50
+#: Weights, in texts, of the language's centre in that of a group, and of wider scatter in the scatter of a group or language.
+CENTRE_WEIGHT, SCATTER_WEIGHT = 5.0, 50.0
 BINS = 64
 
 
@@ -186,35 +186,50 @@ def estimates(vectors: DataFrame, group: list[str], support: float = SUPPORT, st
     return _moments(_with(near, middle, group), group, floors, F.col("d2") <= CHI_975 * weight, "mcd-reweighted")
 
 
+def _scatter_sql(i: int, j: int) -> str:
+    """Entry of the covariance (floors included) of a factor."""
+    return " + ".join(f"low_{i}_{k} * low_{j}_{k}" for k in range(j + 1))
+
+
+def judges(vectors: DataFrame) -> DataFrame:
+    """Per language and source of ``vectors`` (written): g_lang, g_source, mean_i and low_i_j.
+
+    Each group has an estimate of its own, whatever its size. Its centre is weighed with that of its language, its scatter with
+    the language's, and the language's with the scatter inside all languages, in proportion to the number of texts, so that no
+    size makes a jump. Nothing is centred on other languages.
+    """
+    p = range(len(FEATURES))
+    entries = [(i, j) for i in p for j in range(i + 1)]
+    level = lambda n, source: vectors.select("g_lang", source.alias("g_source"), F.lit(n).alias("level"), *FEATURES)
+    group = ["g_lang", "g_source", "level"]
+    both = level(0, F.col("g_source")).unionByName(level(1, F.lit(None).cast("string")))
+    sizes = stage(both.groupBy(*group).agg(F.count(F.lit(1)).cast("double").alias("n")), "mcd-sizes")
+    found = _with(sizes, estimates(both, group), group).selectExpr(
+        *group, "n", *[f"mean_{i}" for i in p], *[f"{_scatter_sql(i, j)} as s_{i}_{j}" for i, j in entries])
+    found = stage(found, "mcd-found")
+    inside = found.filter("level = 1").agg(*[(F.sum(F.col("n") * F.col(f"s_{i}_{j}")) / F.sum("n")).alias(f"s_{i}_{j}") for i, j in entries]).first()
+    blend = lambda own, wide, weight: f"(n * {own} + {weight}D * ({wide})) / (n + {weight}D)"
+    languages = found.filter("level = 1").withColumns({f"w_{i}_{j}": F.lit(inside[f"s_{i}_{j}"]).cast("double") for i, j in entries}).selectExpr(
+        "g_lang", *[f"mean_{i} as lang_mean_{i}" for i in p],
+        *[f"{blend(f's_{i}_{j}', f'w_{i}_{j}', SCATTER_WEIGHT)} as lang_s_{i}_{j}" for i, j in entries])
+    mixed = _with(found.filter("level = 0"), languages, ["g_lang"]).selectExpr(
+        "g_lang", "g_source", *[f"{blend(f'mean_{i}', f'lang_mean_{i}', CENTRE_WEIGHT)} as mean_{i}" for i in p],
+        *[f"{blend(f's_{i}_{j}', f'lang_s_{i}_{j}', SCATTER_WEIGHT)} as cov_{i}_{j}" for i, j in entries])
+    return stage(mixed.selectExpr("g_lang", "g_source", *[f"mean_{i}" for i in p], *factor_sql([0.0] * len(FEATURES))), "mcd-judges")
+
+
 def judged(counts: DataFrame, lang: str, source: str, cut: float = CUT) -> DataFrame:
     """``counts`` (written, from ``statistics``) with base_failed, distance and kept.
 
-    Estimates are fitted to texts which pass the base rules. Groups with fewer than ``MIN_GROUP`` of them are judged
-    by the estimate of all texts together. Null languages or sources make groups of their own. With no text at all
-    nothing is estimated and nothing rejected.
+    Estimates (``judges``) are fitted to texts which pass the base rules. Null languages or sources make groups of their own.
+    In a group without such a text the base rule rejects all, and the distance is null.
     """
-    group = ["g_lang", "g_source"]
     vectors = stage(
         counts.filter(~base_failed()).select(F.col(lang).alias("g_lang"), F.col(source).alias("g_source"), *[c.alias(n) for n, c in features().items()]),
         "mcd-vectors",
     )
-    # Every text counts for its own group and for the group of all texts.
-    every = [F.lit(None).cast("string").alias(c) for c in group]
-    sizes = vectors.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    large = stage(sizes.filter(F.col("n") >= MIN_GROUP), "mcd-groups")
-    twice = _with(vectors, large.drop("n"), group).withColumn("every", F.lit(False)).unionByName(
-        vectors.select(*every, *FEATURES).withColumn("every", F.lit(True)))
-    found = estimates(twice, [*group, "every"])
-    # The estimate for each pair of language and source in the table: its own, or that of all texts.
-    names = [c for c in found.columns if c not in (*group, "every")]
-    pairs = counts.select(F.col(lang).alias("g_lang"), F.col(source).alias("g_source")).distinct()
-    own = found.filter(~F.col("every")).select(*[F.col(c).alias(f"o_{c}") for c in group], F.struct(*names).alias("own"))
-    whole = found.filter("every").select(*names).first()  # one row of numbers
-    of_all = F.struct(*[F.lit(float(whole[n]) if whole else None).cast("double").alias(n) for n in names])
-    named = pairs.join(own, [F.col(c).eqNullSafe(F.col(f"o_{c}")) for c in group], "left").withColumn("all", of_all)
-    judges = stage(named.select(*group, F.coalesce("own", "all").alias("judge")).select(*group, "judge.*"), "mcd-judges")
     rows = counts.withColumns({"base_failed": base_failed(), **features()})
-    chosen = rows.join(judges, F.col(lang).eqNullSafe(F.col("g_lang")) & F.col(source).eqNullSafe(F.col("g_source")), "left")
+    chosen = rows.join(judges(vectors), F.col(lang).eqNullSafe(F.col("g_lang")) & F.col(source).eqNullSafe(F.col("g_source")), "left")
     measured = chosen.selectExpr("*", *distance_sql()).withColumn("distance", F.col("d2"))
     return measured.withColumn("kept", ~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cut)).select(
         *counts.columns, "base_failed", "distance", "kept")

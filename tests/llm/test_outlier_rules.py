@@ -1,5 +1,6 @@
 """The statistics of the quality rules against brute force, and verdicts of small groups."""
 
+import random
 import re
 
 from punctual.llm import outlier_rules
@@ -21,3 +22,14 @@ def test_words_at_the_ends_of_a_text(spark):
     df = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
     got = {r.doc_id: (r.n_words, r.word_chars, r.n_repeat_words) for r in outlier_rules.rules(df).collect()}
     assert got == {i: brute(t) for i, t in enumerate(texts)}
+
+
+def test_a_rare_language_is_not_judged_by_another(spark):
+    """49 texts of a language with long words stay as 50 would, and one unlike its language goes from a small group too."""
+    rnd = random.Random(3)
+    text = lambda low, high, n=60: " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(low, high))) for _ in range(n))
+    rows = [(i, text(3, 7), "en", "a") for i in range(300)] + [(1000 + i, text(30, 60), "xx", "b") for i in range(49)]
+    rows += [(2000 + i, text(3, 7), "en", "c") for i in range(4)] + [(3000, text(200, 300), "en", "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in outlier_rules.rules(df).collect()}
+    assert [i for i, k in kept.items() if not k] == [3000]
