@@ -73,7 +73,7 @@ STAGES = [
     ("mixing sources to target weights", source_mix), ("SentencePiece encoding and decoding", tokens),
 ]
 
-#: The estimates, the similarity join and the encoding have no SQL form; tests hold the stages against brute force.
+#: The estimates, the similarity join and the encoding have no SQL form. Tests hold stage 3 against brute force, of the others only parts; ``run`` is not tested.
 ORACLE_SQL = None
 
 
