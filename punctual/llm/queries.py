@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm import apportion, chat, extendible, grace_dedup, jaccard_join, kneser_ney, outlier_rules, pieces, quality_cnn, secrets
+from punctual.llm import (
+    apportion, chat, extendible, grace_dedup, jaccard_join, kneser_ney, language, outlier_rules, pieces, quality_cnn, secrets, spelling, whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -174,3 +176,18 @@ from n
 @query("op10_exact_dedup", SQL_DEDUP)
 def dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grace_dedup.exact_dedup(documents(spark, sf_dir), with_rows=False).members
+
+
+@query("op11_lanczos_whitening")
+def lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op12_compression_language")
+def compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.classify(documents(spark, sf_dir))
+
+
+@query("op13_permuterm_variants")
+def permuterm_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
