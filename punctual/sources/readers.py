@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from punctual.sources.quoted import read_quoted
 from punctual.sources.schemas import as_strings
 
 
@@ -16,13 +17,17 @@ def read_csv(
     sep: str = ",",
     multi_line: bool = False,
     mode: str = "PERMISSIVE",
+    whole_files: bool = False,
 ) -> DataFrame:
     """Quoted CSV with a header. Bad fields become null in the permissive mode.
 
-    With ``multi_line=True`` a quoted field may hold a line break, and then each file is one unit of
-    parallelism. Without it a file is split, and its fields must not hold line breaks.
-    Without a schema the types are inferred, which reads the input twice.
+    With ``multi_line=True`` a quoted field may hold a line break; given a schema and the permissive or the failing mode, files
+    are split all the same (see ``quoted``). ``whole_files=True`` leaves them to Spark's reader, for which each file is one unit of
+    parallelism; that is for files with stray quotes. Without a schema the types are inferred, which reads the input twice, and
+    multi-line files as a whole.
     """
+    if multi_line and schema is not None and not whole_files and mode != "DROPMALFORMED":
+        return read_quoted(spark, path, schema, sep, mode)
     reader = (
         spark.read.option("header", True)
         .option("sep", sep)
