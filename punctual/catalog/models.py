@@ -6,6 +6,7 @@ from punctual.catalog.base import query, sql_hash, sql_round, sql_union
 from punctual.catalog.frames import LINE_KEY, MOVEMENTS, movements
 from punctual.functions import HASH_SPACE, stable_hash
 from punctual.operators import regress, selection
+from punctual.staging import stage
 
 _FEATURES = ["DEPARTURE_DELAY", "TAXI_OUT", "DISTANCE", "AIR_TIME", "FLIGHT_NUMBER"]
 # More columns than the selectors keep.
@@ -180,24 +181,53 @@ def _(spark, sf_dir):
     return regress.compare_models(scores, "rmse")
 
 
+def _train(spark, sf_dir):
+    return _frames(spark, sf_dir)["train"]
+
+
 @query("forest_top", "L3")
 def _(spark, sf_dir):
-    return selection.forest_importance(_base(spark, sf_dir), _CANDIDATES, _LABEL)
+    return selection.forest_importance(_train(spark, sf_dir), _CANDIDATES, _LABEL)
+
+
+@query("forest_matrix", "L3 L4")
+def _(spark, sf_dir):
+    return selection.importance_matrix(selection.forest_importance(_train(spark, sf_dir), _CANDIDATES, _LABEL), [0, 1, 2])
+
+
+@query("rfe", "L5")
+def _(spark, sf_dir):
+    return selection.recursive_elimination(_train(spark, sf_dir), _CANDIDATES, _LABEL)
 
 
-@query("rfe", "L5 L6")
+@query("elimination_matrix", "L5 L6")
 def _(spark, sf_dir):
-    return selection.recursive_elimination(_base(spark, sf_dir), _CANDIDATES, _LABEL)
+    return selection.selected_matrix(selection.recursive_elimination(_train(spark, sf_dir), _CANDIDATES, _LABEL), [0, 1, 2])
 
 
-@query("lasso_select", "L7 L8")
+@query("lasso_select", "L7")
+def _(spark, sf_dir):
+    return selection.lasso_selection(_train(spark, sf_dir), _CANDIDATES, _LABEL)
+
+
+@query("lasso_matrix", "L7 L8")
+def _(spark, sf_dir):
+    return selection.coefficient_matrix(selection.lasso_selection(_train(spark, sf_dir), _CANDIDATES, _LABEL), [0, 1, 2])
+
+
+# The twin holds the conditions of the optimum, which residuals made row by row have to meet.
+@query(
+    "lasso_optimal", "L7",
+    f"{_BASE} select cluster, feature, true as optimal from (select distinct cluster from base where split = 'train'), "
+    f"(select unnest({_CANDIDATES}) as feature)",
+)
 def _(spark, sf_dir):
-    return selection.lasso_selection(_base(spark, sf_dir), _FEATURES, _LABEL)
+    return selection.lasso_conditions(_train(spark, sf_dir), _CANDIDATES, _LABEL)
 
 
 @query("majority_vote", "L10 L3 L5 L7 L9")
 def _(spark, sf_dir):
-    base = _base(spark, sf_dir).select("cluster", *_CANDIDATES, _LABEL)
+    base = stage(_train(spark, sf_dir).select("cluster", *_CANDIDATES, _LABEL), "vote-rows")
     ranked = selection.spearman_ranking(base, _CANDIDATES, _LABEL)
     votes = selection.vote(
         {

@@ -9,46 +9,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctual.operators.encode import assembler
+from punctual.operators.gram import gram
 from punctual.operators.joins import BROADCAST_ROWS, lookup
 from punctual.operators.keys import running_count
+from punctual.staging import stage
 
 
-def correlation(x: str, y: str) -> Column:
-    """Pearson correlation over the rows where both sides are present; null if either side is constant there.
-
-    Unlike the built-in ``corr`` it does not fail on a constant column in ANSI mode, and a spread that is
-    only rounding noise counts as none.
-    """
-    left, right = F.when(F.col(y).isNotNull(), F.col(x)), F.when(F.col(x).isNotNull(), F.col(y))
-    varies = (F.min(left) < F.max(left)) & (F.min(right) < F.max(right))
-    return F.when(varies, F.try_divide(F.covar_pop(x, y), F.stddev_pop(left) * F.stddev_pop(right)))
-
-
-def column_pairs(df: DataFrame, columns: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
-    """Each row's value pairs ``(_i, _j, _x, _y)`` for all column pairs ``_i <= _j``, ready to be aggregated.
-
-    An aggregate over these has the number of pairs as groups and combines them map-side, so its code
-    stays small and its shuffle tiny however many columns there are.
-    """
-    p = len(columns)
-    rows = df.select(*within, F.array(*[F.col(c).cast("double") for c in columns]).alias("_a"))
-    first = rows.select(*within, "_a", F.posexplode("_a").alias("_i", "_x"))
-    rest = F.slice("_a", F.col("_i") + 1, F.lit(p))
-    return first.select(*within, "_i", "_x", F.posexplode(rest).alias("_d", "_y")).select(
-        *within, "_i", (F.col("_i") + F.col("_d")).alias("_j"), "_x", "_y"
-    )
+def correlation() -> Column:
+    """Correlation from a row of ``gram``; null if either side is constant over the pair's rows."""
+    return F.when(F.col("varies"), F.when(F.col("_i") == F.col("_j"), F.col("cxx") / F.col("cxx")).otherwise(
+        F.try_divide("cxy", F.sqrt("cxx") * F.sqrt("cyy"))))
 
 
 def pearson_long(
     df: DataFrame, columns: Sequence[str], names: Sequence[str] | None = None, within: Sequence[str] = (),
     digits: int | None = None,
 ) -> DataFrame:
-    """``(row_feature, column_feature, correlation)`` for every pair, both ways round, from one scan.
+    """``(row_feature, column_feature, correlation)`` for every pair, both ways round.
 
     A pair leaves out the rows where either side is null.
     """
     label = F.array(*[F.lit(n) for n in (names or columns)])
-    cells = column_pairs(df, columns, within).groupBy(*within, "_i", "_j").agg(correlation("_x", "_y").alias("_r"))
+    cells = gram(df, columns, within).select(*within, "_i", "_j", correlation().alias("_r"))
     value = F.col("_r") if digits is None else F.round("_r", digits)
 
     def cell(a: str, b: str) -> Column:
@@ -67,9 +49,9 @@ def correlations_with(
     df: DataFrame, columns: Sequence[str], target: str, within: Sequence[str] = ()
 ) -> DataFrame:
     """``(within..., place, correlation)`` of each column (by its place in the list) with the target."""
-    values = F.array(*[F.col(c).cast("double") for c in columns])
-    long = df.select(*within, F.col(target).cast("double").alias("_y"), F.posexplode(values).alias("place", "_x"))
-    return long.groupBy(*within, "place").agg(correlation("_x", "_y").alias("correlation"))
+    last = len(columns)
+    pairs = gram(df, [*columns, target], within).filter((F.col("_j") == last) & (F.col("_i") < last))
+    return pairs.select(*within, F.col("_i").alias("place"), correlation().alias("correlation"))
 
 
 def pearson_matrix(df: DataFrame, columns: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
@@ -89,35 +71,39 @@ def average_ranks(
 ) -> DataFrame:
     """Add each value's rank among its column (ties share their mean rank), optionally inside groups.
 
-    Values are counted before they are ordered, so a value filling a third of the rows is one row
-    when ranked. The ranks return by a lookup which spreads such values (see ``lookup``).
+    Values are counted before they are ordered, so a value filling a third of the rows is one row when ranked. Columns with few
+    values get their ranks from broadcast tables. The cells of all others look theirs up together, in one lookup which spreads
+    hot values (see ``lookup``), and meet again by row: the number of shuffles does not follow the number of columns.
     """
     group = F.col(within) if within else F.lit(0)
-    cells = F.array(
-        *[F.struct(F.lit(i).alias("f"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]
-    )
-    counts = (
-        df.select(group.alias("_w"), F.inline(cells)).filter(F.col("v").isNotNull() & F.col("_w").isNotNull())
-        .groupBy(F.struct("_w", "f").alias("_g"), "v").agg(F.count(F.lit(1)).alias("n"))
-    ).persist()
-    ranked = running_count(counts, "_g", "v", "n", "_before").select(
+
+    def cells(places: Sequence[int]) -> Column:
+        return F.array(*[F.struct(F.lit(i).alias("f"), F.col(columns[i]).cast("double").alias("v")) for i in places])
+
+    counts = stage(
+        df.select(group.alias("_w"), F.inline(cells(range(len(columns))))).filter(F.col("v").isNotNull() & F.col("_w").isNotNull())
+        .groupBy(F.struct("_w", "f").alias("_g"), "v").agg(F.count(F.lit(1)).alias("n")), "rank-counts")
+    ranked = stage(running_count(counts, "_g", "v", "n", "_before").select(
         F.col("_g.f").alias("f"), F.struct(F.col("_g._w").alias("w"), "v").alias("_key"),
-        (F.col("_before") + (F.col("n") + 1) / 2).alias("_rank"), "n",
-    ).persist()
+        (F.col("_before") + (F.col("n") + 1) / 2).alias("_rank"), "n"), "ranks")
     sizes = {r["f"]: (r["k"], r["n"]) for r in ranked.groupBy("f").agg(F.count("f").alias("k"), F.sum("n").alias("n")).collect()}
+    many = [i for i in range(len(columns)) if sizes.get(i, (0, 0))[0] > broadcast_rows]
     result = df
     for i, c in enumerate(columns):
-        rows, total = sizes.get(i, (0, 1))
-        table = ranked.filter(F.col("f") == i).select(
-            "_key", F.col("_rank").alias(f"{c}{suffix}"), (F.col("n") / F.lit(total)).alias("_share")
-        )
-        key = F.when(F.col(c).isNotNull(), F.struct(group.alias("w"), F.col(c).cast("double").alias("v")))
-        keyed = result.withColumn("_key", key)
-        if rows <= broadcast_rows:
-            joined = keyed.join(F.broadcast(table.drop("_share")), "_key", "left")
-        else:
-            joined = lookup(keyed, table, "_key", weight="_share", max_rows=broadcast_rows)
-        result = joined.drop("_key")
+        if i not in many:
+            key = F.when(F.col(c).isNotNull(), F.struct(group.alias("w"), F.col(c).cast("double").alias("v")))
+            table = ranked.filter(F.col("f") == i).select("_key", F.col("_rank").alias(f"{c}{suffix}"))
+            result = result.withColumn("_key", key).join(F.broadcast(table), "_key", "left").drop("_key")
+    if many:
+        total = sum(sizes[i][1] for i in many)
+        rows = stage(result.withColumn("_row", F.monotonically_increasing_id()), "rank-rows")
+        table = ranked.filter(F.col("f").isin(many)).select(
+            F.struct("f", F.col("_key.w").alias("w"), F.col("_key.v").alias("v")).alias("_key"), "_rank", (F.col("n") / F.lit(total)).alias("_share"))
+        asked = rows.select("_row", group.alias("_w"), F.inline(cells(many))).filter(F.col("v").isNotNull() & F.col("_w").isNotNull()).select(
+            "_row", "f", F.struct("f", F.col("_w").alias("w"), "v").alias("_key"))
+        found = lookup(asked, table, "_key", weight="_share", max_rows=broadcast_rows)
+        by_row = found.groupBy("_row").agg(*[F.max(F.when(F.col("f") == i, F.col("_rank"))).alias(f"{columns[i]}{suffix}") for i in many])
+        result = rows.join(by_row, "_row", "left").drop("_row")
     return result.select(*df.columns, *[f"{c}{suffix}" for c in columns])
 
 

@@ -14,8 +14,8 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.operators.assoc import column_pairs
 from punctual.operators.encode import assembler, cast_stage
+from punctual.operators.gram import gram
 from punctual.staging import stage
 
 # Model settings and tuning grids.
@@ -153,6 +153,23 @@ def importances(models: Mapping[Any, PipelineModel], features: Features, df: Dat
     return df.sparkSession.createDataFrame(rows, "cluster int, feature string, importance double, rank int")
 
 
+def moments(
+    df: DataFrame, features: Sequence[str], label: str, cluster: str = "cluster"
+) -> tuple[dict[Any, np.ndarray], dict[Any, np.ndarray]]:
+    """Means and population covariances of the complete rows of each cluster, the label last."""
+    columns = [*features, label]
+    p = len(columns)
+    mean: dict[Any, np.ndarray] = {}
+    cov: dict[Any, np.ndarray] = {}
+    for r in gram(df.dropna(subset=[cluster, *columns]), columns, [cluster]).collect():
+        matrix = cov.setdefault(r[cluster], np.zeros((p, p)))
+        matrix[r["_i"], r["_j"]] = matrix[r["_j"], r["_i"]] = r["cxy"]
+        if r["_i"] == r["_j"]:
+            mean.setdefault(r[cluster], np.zeros(p))[r["_i"]] = r["mean_x"]
+            matrix[r["_i"], r["_i"]] = r["cxx"] if r["varies"] else 0.0
+    return mean, cov
+
+
 def linear_closed_form(
     df: DataFrame, features: Sequence[str], label: str, cluster: str = "cluster", digits: int = 4
 ) -> DataFrame:
@@ -160,19 +177,8 @@ def linear_closed_form(
 
     Only means and covariances come to the driver: (p + 1)(p + 2) / 2 numbers per cluster.
     """
-    complete = df.dropna(subset=[cluster, *features, label])
-    columns = [*features, label]
+    mean, cov = moments(df, features, label, cluster)
     p = len(features)
-    pairs = column_pairs(complete, columns, [cluster]).groupBy(cluster, "_i", "_j").agg(
-        F.covar_pop("_x", "_y").alias("c"), F.avg("_x").alias("m")
-    )
-    mean: dict[Any, np.ndarray] = {}
-    cov: dict[Any, np.ndarray] = {}
-    for r in pairs.collect():
-        matrix = cov.setdefault(r[cluster], np.zeros((p + 1, p + 1)))
-        matrix[r["_i"], r["_j"]] = matrix[r["_j"], r["_i"]] = r["c"]
-        if r["_i"] == r["_j"]:
-            mean.setdefault(r[cluster], np.zeros(p + 1))[r["_i"]] = r["m"]
     rows = []
     for value in sorted(mean):
         slope = np.linalg.lstsq(cov[value][:p, :p], cov[value][:p, p], rcond=None)[0]

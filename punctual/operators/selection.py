@@ -5,19 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+import numpy as np
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctual.operators.assoc import average_ranks, correlations_with
 from punctual.operators.encode import assembler
-from punctual.operators.regress import by_cluster, cluster_labels, cluster_rows, map_clusters
+from punctual.operators.regress import by_cluster, cluster_labels, cluster_rows, map_clusters, moments
 from punctual.operators.tables import pivot_first
 
 # Settings of the selectors.
 SEED = 42
 RANKING_FOREST = {"numTrees": 50, "maxDepth": 10, "seed": SEED}
 LASSO = {"elasticNetParam": 1.0, "regParam": 0.1}
+#: Rounds of coordinate descent at most; a few dozen are the rule.
+DESCENTS = 10_000
 TOP = 10
 VOTES = 2
 
@@ -65,22 +68,63 @@ def recursive_elimination(
     return df.sparkSession.createDataFrame(rows, "cluster int, feature string")
 
 
+def _descend(cov: np.ndarray, penalty: float) -> np.ndarray:
+    """Coefficients which minimise half the mean squared error and ``penalty`` times the absolute sum of coefficients by deviation.
+
+    Coordinate descent on the covariances, the label last. Deviations divide by the number of rows, and a constant column's coefficient is 0.
+    """
+    p = len(cov) - 1
+    deviation = np.sqrt(np.maximum(np.diag(cov), 0))
+    slope = np.zeros(p)
+    moving = [j for j in range(p) if deviation[j] > 0] if deviation[p] > 0 else []
+    for _ in range(DESCENTS):
+        furthest = 0.0
+        for j in moving:
+            along = cov[j, p] - cov[j, :p] @ slope + cov[j, j] * slope[j]
+            new = np.sign(along) * max(abs(along) - penalty * deviation[j], 0.0) / cov[j, j]
+            furthest = max(furthest, abs(new - slope[j]) * deviation[j])
+            slope[j] = new
+        if furthest <= 1e-13 * deviation[p]:
+            break
+    return slope
+
+
+def lasso_coefficients(
+    df: DataFrame, features: Sequence[str], label: str, cluster: str = "cluster", regParam: float = LASSO["regParam"],
+) -> dict[Any, dict[str, float]]:
+    """The lasso of every cluster, from one aggregate; p squared numbers per cluster come to the driver."""
+    _, cov = moments(df, features, label, cluster)
+    return {value: dict(zip(features, map(float, _descend(cov[value], regParam)))) for value in sorted(cov)}
+
+
 def lasso_selection(
-    df: DataFrame, features: Sequence[str], label: str, cluster: str = "cluster", workers: int = 3, **settings
+    df: DataFrame, features: Sequence[str], label: str, cluster: str = "cluster", regParam: float = LASSO["regParam"],
 ) -> DataFrame:
     """``(cluster, feature, coefficient)`` of the features a lasso keeps."""
-    table = by_cluster(df, features, label, cluster)
+    found = lasso_coefficients(df, features, label, cluster, regParam)
+    rows = [(int(c), f, round(v, 4)) for c, slopes in found.items() for f, v in slopes.items() if v != 0]
+    return df.sparkSession.createDataFrame(rows, "cluster int, feature string, coefficient double")
 
-    def select(value: Any) -> list[tuple[str, float]]:
-        rows = cluster_rows(table, cluster, value, [*features, label])
-        vectors = assembler(features).transform(rows).select("features", label)
-        lasso = LinearRegression(featuresCol="features", labelCol=label, **{**LASSO, **settings})
-        found = zip(features, map(float, lasso.fit(vectors).coefficients.toArray()))
-        return [(f, c) for f, c in found if c != 0]
 
-    kept = map_clusters(cluster_labels(table, cluster), select, workers)
-    rows = [(int(c), f, round(v, 4)) for c, fs in kept.items() for f, v in fs]
-    return df.sparkSession.createDataFrame(rows, "cluster int, feature string, coefficient double")
+def lasso_conditions(
+    df: DataFrame, features: Sequence[str], label: str, cluster: str = "cluster", regParam: float = LASSO["regParam"], slack: float = 1e-6,
+) -> DataFrame:
+    """``(cluster, feature, optimal)``: whether the residuals of the lasso, made row by row, go with each feature as its optimum demands.
+
+    The covariance with a kept feature is the penalty with the sign of its coefficient, that with any other no larger.
+    """
+    found = lasso_coefficients(df, features, label, cluster, regParam)
+    complete = df.dropna(subset=[cluster, *features, label])
+    slopes = F.create_map(*[x for c, by in found.items() for x in (F.lit(c), F.array(*[F.lit(by[f]) for f in features]))]) if found else F.create_map()
+    slope = F.col("_slopes")
+    fitted = sum((slope[i] * F.col(f).cast("double") for i, f in enumerate(features)), F.lit(0.0))
+    rest = complete.withColumn("_slopes", slopes[F.col(cluster)]).withColumn("_rest", F.col(label).cast("double") - fitted)
+    by_feature = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x"), slope[i].alias("slope")) for i, f in enumerate(features)])
+    sums = rest.select(cluster, "_rest", F.inline(by_feature)).groupBy(cluster, "feature", "slope").agg(
+        F.covar_pop("x", "_rest").alias("along"), (F.lit(regParam) * F.stddev_pop("x")).alias("most"))
+    near = F.lit(slack) * (F.col("most") + F.lit(1e-9)) + F.lit(1e-12)
+    kept = F.abs(F.col("along") - F.signum("slope") * F.col("most")) <= near
+    return sums.select(cluster, "feature", F.when(F.col("slope") != 0, kept).otherwise(F.abs("along") <= F.col("most") + near).alias("optimal"))
 
 
 def spearman_ranking(
