@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from punctual.catalog.base import query, sql_hash, sql_round, sql_union
 from punctual.catalog.frames import LINE_KEY, MOVEMENTS, movements
 from punctual.functions import HASH_SPACE, stable_hash
-from punctual.operators import regress, selection
+from punctual.operators import boosting, regress, selection
 from punctual.staging import stage
 
 _FEATURES = ["DEPARTURE_DELAY", "TAXI_OUT", "DISTANCE", "AIR_TIME", "FLIGHT_NUMBER"]
@@ -165,14 +165,18 @@ def _(spark, sf_dir):
     return regress.importances(models, _FEATURES, train)
 
 
-@query("tune_forest", "M7 M11")
+@query("tune_forest", "M7 M9 M11")
 def _(spark, sf_dir):
-    return regress.tune_per_cluster(_frames(spark, sf_dir)["train"], _FEATURES, _LABEL, "forest", regress.FOREST_GRID)[1]
+    frames = _frames(spark, sf_dir)
+    models, report = regress.tune_per_cluster(frames["train"], _FEATURES, _LABEL, "forest", regress.FOREST_GRID)
+    return regress.scored_report(report, regress.score_per_cluster(models, frames, _FEATURES, _LABEL), list(frames))
 
 
-@query("tune_gbt", "M8 M11")
+@query("tune_gbt", "M8 M9")
 def _(spark, sf_dir):
-    return regress.tune_per_cluster(_frames(spark, sf_dir)["train"], _FEATURES, _LABEL, "boosting", regress.BOOSTING_GRID)[1]
+    frames = _frames(spark, sf_dir)
+    tuned = boosting.tune(frames["train"], _FEATURES, _LABEL, regress.BOOSTING_GRID)
+    return boosting.score(tuned, frames, _FEATURES, _LABEL)
 
 
 @query("model_compare", "M10 M3 M4")

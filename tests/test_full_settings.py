@@ -4,7 +4,7 @@ import pytest
 
 from punctual.catalog import REGISTRY
 from punctual.catalog import paths
-from punctual.operators import cluster, regress, selection
+from punctual.operators import boosting, cluster, regress, selection
 
 
 class Called(Exception):
@@ -27,9 +27,10 @@ def test_fits_change_no_setting(monkeypatch, spark, sf_dir, name):
     assert settings_of(monkeypatch, spark, sf_dir, name, regress, "fit_per_cluster")[1] == {}
 
 
-@pytest.mark.parametrize("name,grid", [("tune_forest", regress.FOREST_GRID), ("tune_gbt", regress.BOOSTING_GRID)])
-def test_tuning_takes_the_whole_grid(monkeypatch, spark, sf_dir, name, grid):
-    args, kwargs = settings_of(monkeypatch, spark, sf_dir, name, regress, "tune_per_cluster")
+@pytest.mark.parametrize("name,module,function,grid", [
+    ("tune_forest", regress, "tune_per_cluster", regress.FOREST_GRID), ("tune_gbt", boosting, "tune", regress.BOOSTING_GRID)])
+def test_tuning_takes_the_whole_grid(monkeypatch, spark, sf_dir, name, module, function, grid):
+    args, kwargs = settings_of(monkeypatch, spark, sf_dir, name, module, function)
     assert args[-1] == grid and not kwargs
 
 

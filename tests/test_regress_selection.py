@@ -69,9 +69,13 @@ def test_trees(frame):
 
 def test_tuning_reports_the_best(frame):
     models, report = regress.tune_per_cluster(frame, ["x", "z"], "y", "forest", {"numTrees": [2], "maxDepth": [1, 5]})
-    got = {(r["cluster"], r["parameter"]): r["value"] for r in report.collect()}
-    assert got[0, "maxDepth"] == got[1, "maxDepth"] == 5 and got[0, "numTrees"] == 2
+    got = report.collect()
+    assert len(got) == 4 and {(r["cluster"], r["numTrees"], r["maxDepth"]) for r in got if r["chosen"]} == {(0, 2.0, 5.0), (1, 2.0, 5.0)}
+    assert all(max(got, key=lambda r: (r["cluster"] == c, r["validation_r2"]))["chosen"] for c in (0, 1))
     assert models[0].stages[-1].getMaxDepth() == 5
+    scores = regress.scored_report(report, regress.score_per_cluster(models, {"train": frame, "test": frame}, ["x", "z"], "y"), ["train", "test"])
+    for r in scores.collect():
+        assert (r["test_r2"] is not None) == r["chosen"] and r["train_rmse"] == r["test_rmse"]
 
 
 def test_compare_models(spark, rows):
