@@ -7,7 +7,7 @@ from punctual.catalog.base import query, sql_percent, sql_round, sql_union, tabl
 from punctual.catalog.features import PERIOD_SQL
 from punctual.catalog.frames import MOVEMENTS, movements
 from punctual.functions import day_period
-from punctual.operators import cluster, encode
+from punctual.operators import cluster, kmeans, encode
 
 # Exact profiles take the line number as label; places come from the movements.
 _NUMBERS = ["DEPARTURE_DELAY", "DISTANCE", "AIR_TIME"]
@@ -181,6 +181,21 @@ def _(spark, sf_dir):
     return cluster.assign(cluster.fit_kmeans(vectors), vectors, ["vec_id"])
 
 
+# The twin holds what a settled clustering has to meet: labels of all rows, of the nearest mean, and centres which are the means.
+@query(
+    "kmeans_settled", "K1 K3",
+    "select unnest(range(2, 11))::int as k, (select count(*) from embeddings) as labelled, 0::bigint as nearer_elsewhere, true as centres_are_means",
+)
+def _(spark, sf_dir):
+    vectors = _vectors(spark, sf_dir).select(vector_to_array("features").alias("features"))
+    found = kmeans.fit(vectors, cluster.SWEEP, rounds=300, tolerance=1e-9)
+    result = None
+    for k, fit in found.items():
+        checked = kmeans.settled(fit.transform(vectors), fit).withColumn("k", F.lit(k)).select("k", "labelled", "nearer_elsewhere", "centres_are_means")
+        result = checked if result is None else result.unionByName(checked)
+    return result
+
+
 @query("attach_label", "K4 J4", "select vec_id, label as cluster, cast(vec_id % 3 as bigint) as third from embeddings")
 def _(spark, sf_dir):
     df = table(spark, sf_dir, "embeddings")

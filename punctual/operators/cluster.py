@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from punctual.operators import kmeans
 from punctual.operators.joins import checked_broadcast
+from punctual.operators.kmeans import KMeansFit
 from punctual.operators.profile import percent, stratum_share
 from punctual.operators.quantiles import quantiles
 from punctual.operators.tables import counts_of_top_values, share_inside_group
@@ -39,11 +39,11 @@ def fit_embedding(
     return model.fit(df)
 
 
-def fit_kmeans(df: DataFrame, features: str = "features", k: int = CLUSTERS, label: str = "cluster", **settings) -> KMeansModel:
-    return KMeans(k=k, seed=SEED, featuresCol=features, predictionCol=label, **settings).fit(df)
+def fit_kmeans(df: DataFrame, features: str = "features", k: int = CLUSTERS, label: str = "cluster", **settings) -> KMeansFit:
+    return kmeans.fit(df, [k], features, label, seed=SEED, **settings)[k]
 
 
-def assign(model: KMeansModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+def assign(model: KMeansFit, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """The kept columns with the cluster label: the key travels through the transform, no join needed."""
     return model.transform(df).select(*keep, model.getPredictionCol())
 
@@ -59,19 +59,10 @@ def silhouette(df: DataFrame, features: str = "features", label: str = "cluster"
     ).evaluate(df)
 
 
-def sweep_k(df: DataFrame, features: str = "features", ks: Sequence[int] = SWEEP, workers: int = 3, **settings) -> DataFrame:
-    """``(k, cost, silhouette)`` for each k. The fits share one cached frame and run a few at a time."""
-    cached = df.select(features).persist()
-
-    def one(k: int) -> tuple[int, float, float]:
-        model = fit_kmeans(cached, features, k, **settings)
-        return k, float(model.summary.trainingCost), float(silhouette(model.transform(cached), features))
-
-    try:
-        with ThreadPoolExecutor(workers) as pool:
-            rows = list(pool.map(one, ks))
-    finally:
-        cached.unpersist()
+def sweep_k(df: DataFrame, features: str = "features", ks: Sequence[int] = SWEEP, **settings) -> DataFrame:
+    """``(k, cost, silhouette)`` for each k. All of them move in the same passes over the vectors."""
+    found = kmeans.fit(df, list(ks), features, seed=SEED, silhouettes=True, **settings)
+    rows = [(k, fit.cost, fit.silhouette) for k, fit in found.items()]
     return df.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double")
 
 

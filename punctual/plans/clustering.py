@@ -6,12 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctual.operators import cluster, encode
+from punctual.operators.kmeans import KMeansFit
 from punctual.plans import columns as names
 from punctual.staging import stage
 
@@ -21,7 +21,7 @@ class ClusteredSplits:
     frames: dict[str, DataFrame]
     embedding: Word2VecModel
     scaler: PipelineModel
-    model: KMeansModel
+    model: KMeansFit
     features: DataFrame
 
 
