@@ -36,6 +36,10 @@ def _frames(spark, sf_dir):
     return {name: base.filter(F.col("split") == name) for name in ["train", "test"]}
 
 
+def _train(spark, sf_dir):
+    return _frames(spark, sf_dir)["train"]
+
+
 _LINE = f"""line as (select cluster, regr_slope({_LABEL}, DEPARTURE_DELAY) as slope,
   regr_intercept({_LABEL}, DEPARTURE_DELAY) as intercept from base where split = 'train' group by 1)"""
 
@@ -138,7 +142,43 @@ def _(spark, sf_dir):
 
 @query("tree_fit", "M4 M9 M11")
 def _(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, "tree", _FEATURES)[1]
+    frames = _frames(spark, sf_dir)
+    return boosting.score_models(boosting.fit_trees(frames["train"], _FEATURES, _LABEL), frames, _FEATURES, _LABEL)
+
+
+# Columns with so few values that every value but the greatest is a cut.
+_FEW = ["MONTH", "DAY_OF_WEEK"]
+
+
+def _sql_level(name: str, rows: str) -> str:
+    """Best split of each node of a level: rows (cluster, node, MONTH, DAY_OF_WEEK, y)."""
+    cells = " union all ".join(f"select cluster, node, {i} as f, {c}::double as x, y from {rows}" for i, c in enumerate(_FEW))
+    return f"""{name}_sums as (select cluster, node, f, x, count(*)::double as n, sum(y) as s from ({cells}) group by all),
+    {name}_cuts as (select cluster, node, f, x, sum(n) over below as ln, sum(s) over below as ls, sum(n) over (partition by cluster, node, f) as n,
+      sum(s) over (partition by cluster, node, f) as s from {name}_sums window below as (partition by cluster, node, f order by x)),
+    {name} as (select * from (select *, row_number() over (partition by cluster, node order by ls * ls / ln + (s - ls) * (s - ls) / (n - ln) desc, f, x) as k
+      from {name}_cuts where n > ln) where k = 1)"""
+
+
+_GOES = "case when case b.f when 0 then MONTH else DAY_OF_WEEK end <= b.x then 2 * r.node + 1 else 2 * r.node + 2 end"
+
+
+@query(
+    "tree_nodes", "M4",
+    f"""{_BASE}, rows0 as (select cluster, 0 as node, MONTH, DAY_OF_WEEK, {_LABEL}::double as y from base
+      where split = 'train' and MONTH is not null and DAY_OF_WEEK is not null and {_LABEL} is not null), {_sql_level("best0", "rows0")},
+    rows1 as (select r.cluster, {_GOES} as node, MONTH, DAY_OF_WEEK, y from rows0 r join best0 b on b.cluster = r.cluster and b.node = r.node),
+    {_sql_level("best1", "rows1")}, best as (select * from best0 union all select * from best1),
+    rows2 as (select r.cluster, {_GOES} as node, y from rows1 r join best1 b on b.cluster = r.cluster and b.node = r.node),
+    every as (select cluster, node, y from rows0 union all select cluster, node, y from rows1 union all select cluster, node, y from rows2),
+    means as (select cluster, node, avg(y) as value from every group by 1, 2)
+    select m.cluster, 0::int as tree, m.node::int as node, case b.f when 0 then 'MONTH' when 1 then 'DAY_OF_WEEK' end as feature, b.x as threshold,
+      {sql_round("m.value", 4)} as value
+    from means m left join best b on b.cluster = m.cluster and b.node = m.node""",
+)
+def _(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    return boosting.nodes(boosting.fit_trees(train, _FEW, _LABEL, maxDepth=2, minInstancesPerNode=1), train)
 
 
 @query("forest_fit", "M5 M9 M11")
@@ -185,10 +225,6 @@ def _(spark, sf_dir):
     return regress.compare_models(scores, "rmse")
 
 
-def _train(spark, sf_dir):
-    return _frames(spark, sf_dir)["train"]
-
-
 @query("forest_top", "L3")
 def _(spark, sf_dir):
     return selection.forest_importance(_train(spark, sf_dir), _CANDIDATES, _LABEL)

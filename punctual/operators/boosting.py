@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctual.operators.regress import (
-    BOOSTING_GRID, SEED, TRAIN_RATIO, all_features, cluster_labels, features_of, held_out, regression_scores, scored_report, tuning_report,
+    BOOSTING_GRID, SEED, TRAIN_RATIO, TREE, all_features, cluster_labels, features_of, held_out, regression_scores, scored_report, tuning_report,
 )
 from punctual.staging import staging_root, stage
 
@@ -344,6 +344,43 @@ def predict(models: Mapping[Any, Boosted], df: DataFrame, features: Mapping[Any,
         named.cast(df.schema[cluster].dataType).alias(cluster), F.col("y").alias(label), "prediction")
 
 
+def fit_trees(
+    train: DataFrame, features: Sequence[str] | Mapping[Any, Sequence[str]], label: str, cluster: str = "cluster", maxDepth: int = TREE["maxDepth"],
+    minInstancesPerNode: int = TREE["minInstancesPerNode"],
+) -> dict[Any, Boosted]:
+    """One decision tree for each cluster, all of them grown in one pass a level."""
+    table = stage(train, "trees")
+    by_cluster = {c: features_of(features, c) for c in cluster_labels(table.filter(F.col(cluster).isNotNull()), cluster)}
+    grown = grow(table, by_cluster, label, [Setting(maxDepth, minInstancesPerNode)], 1, cluster)
+    return {c: grown.model(c, 0) for c in grown.clusters}
+
+
+def score_models(
+    models: Mapping[Any, Boosted], frames: Mapping[str, DataFrame], features: Sequence[str] | Mapping[Any, Sequence[str]], label: str, cluster: str = "cluster",
+) -> DataFrame:
+    """``(cluster, split, rmse, mae, r2)`` of every split."""
+    told = None
+    for split, df in frames.items():
+        part = predict(models, df, {c: features_of(features, c) for c in models}, label, cluster).withColumn("split", F.lit(split))
+        told = part if told is None else told.unionByName(part)
+    return regression_scores(told, label, [cluster, "split"])
+
+
+def nodes(models: Mapping[Any, Boosted], df: DataFrame, cluster: str = "cluster", digits: int = 4) -> DataFrame:
+    """``(cluster, tree, node, feature, threshold, value)`` of every node; leaves have no feature. Rows up to the threshold go to node ``2 i + 1``."""
+    rows = []
+    for c, model in models.items():
+        for t, tree in enumerate(model.trees):
+            reached = {0}
+            for i in range(len(tree.feature)):
+                if i in reached:
+                    f = int(tree.feature[i])
+                    rows.append((c, t, i, model.features[f] if f >= 0 else None, float(model.thresholds[f][tree.bin[i]]) if f >= 0 else None, round(float(tree.value[i]), digits)))
+                    reached |= {2 * i + 1, 2 * i + 2} if f >= 0 else set()
+    kind = df.schema[cluster].dataType.simpleString()
+    return df.sparkSession.createDataFrame(rows, f"`{cluster}` {kind}, tree int, node int, feature string, threshold double, value double")
+
+
 @dataclass
 class Tuned:
     """``models`` by cluster; ``report``: a row for each cluster and setting of the grid, with its R² over the held rows and whether it was chosen."""
@@ -380,8 +417,4 @@ def tune(
 
 def score(tuned: Tuned, frames: Mapping[str, DataFrame], features: Sequence[str] | Mapping[Any, Sequence[str]], label: str, cluster: str = "cluster") -> DataFrame:
     """The report with RMSE, MAE and R² of the tuned model in every frame, beside the setting that it has."""
-    told = None
-    for split, df in frames.items():
-        part = predict(tuned.models, df, {c: features_of(features, c) for c in tuned.models}, label, cluster).withColumn("split", F.lit(split))
-        told = part if told is None else told.unionByName(part)
-    return scored_report(tuned.report, regression_scores(told, label, [cluster, "split"]), list(frames), cluster)
+    return scored_report(tuned.report, score_models(tuned.models, frames, features, label, cluster), list(frames), cluster)
