@@ -7,7 +7,7 @@ from punctual.catalog.base import query, sql_percent, sql_round, sql_union, tabl
 from punctual.catalog.features import PERIOD_SQL
 from punctual.catalog.frames import MOVEMENTS, movements
 from punctual.functions import day_period
-from punctual.operators import cluster, kmeans, encode
+from punctual.operators import cluster, embedding, encode, kmeans
 
 # Exact profiles take the line number as label; places come from the movements.
 _NUMBERS = ["DEPARTURE_DELAY", "DISTANCE", "AIR_TIME"]
@@ -208,10 +208,35 @@ def _(spark, sf_dir):
     return cluster.sweep_k(_vectors(spark, sf_dir).drop("cluster"))
 
 
+def _tokens(spark, sf_dir):
+    wanted = ["AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT", "MONTH"]
+    return encode.tokenise(encode.category_document(movements(spark, sf_dir).select(*wanted), wanted)).select("category_doc", "tokens")
+
+
+_TOKENS = f"""{MOVEMENTS}, docs as (select list_filter(string_split(lower(concat_ws(' ', 'AIRLINE_' || AIRLINE, 'ORIGIN_AIRPORT_' || ORIGIN_AIRPORT,
+  'DESTINATION_AIRPORT_' || DESTINATION_AIRPORT, 'MONTH_' || MONTH)), ' '), lambda x: x <> '') as t from movements)"""
+
+
+@query(
+    "token_cooccurrences", "N11 N9 N10",
+    f"""{_TOKENS}, cells as (select row_number() over () as d, t from docs), places as (select d, unnest(t) as w, generate_subscripts(t, 1) as i from cells),
+    known as (select w from places group by 1 having count(*) >= 5)
+    select a.w as word, b.w as context, count(*) as n from places a join places b on a.d = b.d and a.i <> b.i and abs(a.i - b.i) <= 7
+    where a.w in (select w from known) and b.w in (select w from known) group by 1, 2""",
+)
+def _(spark, sf_dir):
+    return embedding.cooccurrences(_tokens(spark, sf_dir), window=7, min_count=5)
+
+
+@query("category_embed", "N11 N7 N8 N10")
+def _(spark, sf_dir):
+    documents = _tokens(spark, sf_dir)
+    embedded = cluster.fit_embedding(documents).transform(documents.distinct())
+    return embedded.select("category_doc", vector_to_array("category_vec").alias("vector"))
+
+
 @query("w2v_embed", "N11 N7 N8 N10")
 def _(spark, sf_dir):
-    wanted = ["AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT", "MONTH"]
-    tokens = encode.tokenise(encode.category_document(movements(spark, sf_dir).select(*wanted), wanted))
-    documents = tokens.select("category_doc", "tokens")
-    embedded = cluster.fit_embedding(documents, maxIter=1).transform(documents.distinct())
+    documents = _tokens(spark, sf_dir)
+    embedded = cluster.fit_word2vec(documents, maxIter=1).transform(documents.distinct())
     return embedded.select("category_doc", vector_to_array("category_vec").alias("vector"))

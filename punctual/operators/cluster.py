@@ -9,7 +9,8 @@ from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctual.operators import kmeans
+from punctual.operators import embedding, kmeans
+from punctual.operators.embedding import WordVectors
 from punctual.operators.joins import checked_broadcast
 from punctual.operators.kmeans import KMeansFit
 from punctual.operators.profile import percent, stratum_share
@@ -25,14 +26,19 @@ SWEEP = range(2, 11)
 # Longitude and latitude limits of the route map, ends excluded.
 MAP_BOX = {"lon": (-130, -60), "lat": (20, 50)}
 
-#: Part of the model's settings, like the seed: another number gives other vectors. Raise it for large frames, for all runs alike.
-TRAINERS = 1
+#: Parts in which Word2Vec trains, one of its settings like the seed: another number gives other vectors. It never follows the size of the data.
+TRAINERS = 32
 
 
-def fit_embedding(
+def fit_embedding(df: DataFrame, tokens: str = "tokens", out: str = "category_vec", **settings) -> WordVectors:
+    """Vectors of category tokens from their co-occurrences (see ``embedding``)."""
+    return embedding.fit(df, tokens, out, seed=SEED, **{**EMBEDDING, **settings})
+
+
+def fit_word2vec(
     df: DataFrame, tokens: str = "tokens", out: str = "category_vec", partitions: int = TRAINERS, **settings
 ) -> Word2VecModel:
-    """Word vectors of category tokens, trained in ``partitions`` parts. The number never follows the size of the data."""
+    """Word vectors of category tokens, trained in ``partitions`` parts."""
     model = Word2Vec(
         inputCol=tokens, outputCol=out, seed=SEED, numPartitions=partitions, **{**EMBEDDING, **settings}
     )

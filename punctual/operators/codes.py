@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctual.functions.text import is_numeric_code
-from punctual.operators.joins import checked_broadcast, join_on_text, rows_of
+from punctual.operators import repeats
+from punctual.operators.joins import checked_broadcast, join_on_text
 
 
 def build_code_map(ids: DataFrame, labels: DataFrame, description: str, code: str, label: str) -> DataFrame:
@@ -86,6 +87,5 @@ def resolve_fanout(df: DataFrame, columns: Sequence[str], suffix: str = "_clean"
 
 
 def rows_of_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All rows whose key occurs more than once."""
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    return rows_of(df, repeated, keys)
+    """All rows whose key occurs more than once (see ``repeats``)."""
+    return repeats.rows(df, keys)

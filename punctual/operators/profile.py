@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from punctual.operators import repeats
+
 ROWS = "_rows"
 FLOATING = (T.DoubleType, T.FloatType)
 
@@ -81,8 +83,8 @@ def all_present(columns: Sequence[str]) -> Column:
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str] | None = None, count: str = "count") -> DataFrame:
-    """Key groups (all columns by default) that hold more than one row, with their size."""
-    return df.groupBy(*(keys or df.columns)).agg(F.count(F.lit(1)).alias(count)).filter(F.col(count) > 1)
+    """Key groups (all columns by default) that hold more than one row, with their size (see ``repeats``)."""
+    return repeats.groups(df, keys, count)
 
 
 def distinct_counts(

@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctual.operators import cluster, encode
+from punctual.operators.embedding import WordVectors
 from punctual.operators.kmeans import KMeansFit
 from punctual.plans import columns as names
 from punctual.staging import stage
@@ -19,7 +19,7 @@ from punctual.staging import stage
 @dataclass(frozen=True)
 class ClusteredSplits:
     frames: dict[str, DataFrame]
-    embedding: Word2VecModel
+    embedding: WordVectors
     scaler: PipelineModel
     model: KMeansFit
     features: DataFrame
