@@ -18,7 +18,7 @@ HEADLINE = [
     "missing_profile", "duplicate_keys", "distinct_counts", "zero_negative_profile", "stratum_share", "top_groups", "worst_routes",
     "group_means", "hourly_mean",
     # samples, splits, indexes
-    "stable_sample", "stable_limit", "stratified_split", "global_index", "semi_rows_of_dup_keys",
+    "stable_sample", "stable_limit", "stratified_split", "global_index", "semi_rows_of_dup_keys", "duplicate_rows",
     # codes, features, outliers, coherence
     "replace_codes", "resolve_fanout", "clock_minutes_wrapped", "known_delay", "exact_quantiles", "quartile_report", "box_stats",
     "clock_diff_histogram", "time_order_rules",
@@ -26,8 +26,8 @@ HEADLINE = [
     "onehot", "freq_encode", "freq_unseen_fill", "standard_scale", "tokens", "pearson_long", "spearman_long", "spearman_rank",
     "category_means",
     # clusters and models
-    "cluster_share", "cluster_top10", "dominant_by_route", "silhouette", "kmeans_assign", "ols_one_feature", "ols_two_features",
-    "regression_metrics", "tree_fit", "lasso_select",
+    "cluster_share", "cluster_top10", "dominant_by_route", "silhouette", "kmeans_assign", "k_sweep", "category_embed", "ols_one_feature", "ols_two_features",
+    "regression_metrics", "tree_fit", "tree_nodes", "lasso_select", "lasso_optimal",
     # whole paths
     "modelling_tables", "graph_prep",
 ]
