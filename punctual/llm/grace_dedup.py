@@ -10,6 +10,9 @@ open addressing on a 64-bit hash and compare complete contents, so no hash colli
    ``table_bytes``; once it is full, equal texts still meet their entry and all other rows are spilled to
    a written table, which the next round deals out by other bits of the hash. Copies never fill a table.
 3. Members get their group by the number of their representative; no group is ever gathered.
+
+Where the rows that stay are wanted, a task takes its rows by hash and id. The first of equal texts is then the one that stays, and
+goes out with its other columns as it is met, so that no text moves a second time.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from punctual.llm.common import binaries, chunks
 from punctual.staging import stage
@@ -84,7 +88,9 @@ def _before(a: tuple, b: tuple) -> bool:
     return (a[0] is None, 0 if a[0] is None else a[0], a[1]) < (b[0] is None, 0 if b[0] is None else b[0], b[1])
 
 
-def _combine(chunk_bytes: int, schema: pa.Schema):
+def _combine(chunk_bytes: int, kind: T.DataType):
+    id_type = to_arrow_type(kind)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << NUMBER_BITS
         for chunk in chunks(batches, chunk_bytes):
@@ -111,7 +117,7 @@ def _combine(chunk_bytes: int, schema: pa.Schema):
             first = [best[e] == i for i, e in enumerate(entries)]
             kinds = pa.array([False] * n + [True] * m)
             numbers = pa.array([number + e for e in entries] + [number + e for e in range(m)], pa.int64())
-            both_ids = pa.array(ids + [ids[i] for i in best], schema.field("id").type)
+            both_ids = pa.array(ids + [ids[i] for i in best], id_type)
             hashes = pa.array([None] * n + [int.from_bytes(d[:8], "big", signed=True) for d in digests], pa.int64())
             sizes = pa.array([None] * n + size, pa.int64())
             shas = pa.array([digests[e].hex() for e in entries] + [None] * m, pa.string())
@@ -126,26 +132,31 @@ def _combine(chunk_bytes: int, schema: pa.Schema):
     return run
 
 
-def _resolve(table_bytes: int, schema: pa.Schema):
-    """Rows of one task: (number, id, hash, size, text) -> groups, and spilled rows as they came."""
+def _resolve(table_bytes: int, schema: pa.Schema, with_rows: bool):
+    """Rows of one task: (number, id, hash, size, text, rest) -> groups, rows that stay, and spilled rows as they came."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = OpenTable()
         numbers, entries = array("q"), array("q")
         best: list[tuple] = []
         total = array("q")
 
-        def out(spilled, number, keep, group, winner, like=None):
+        def out(kind, number, keep, group, winner, like=None):
             n = len(number)
-            cols = [like.column(i) for i in range(1, 5)] if like is not None else [
-                pa.nulls(n, schema.field(k).type) for k in ("id", "hash", "size", "text")]
+            cols = [like.column(i) for i in range(1, 6)] if like is not None else [
+                pa.nulls(n, schema.field(k).type) for k in ("id", "hash", "size", "text", "rest")]
             return pa.RecordBatch.from_arrays(
-                [pa.array([spilled] * n, pa.bool_()), pa.array(number, pa.int64()),
+                [pa.array([kind] * n, pa.string()), pa.array(number, pa.int64()),
                  pa.array(keep, schema.field("id").type), pa.array(group, pa.int64()), pa.array(winner, pa.bool_()), *cols],
-                names=["spilled", "number", "keep_id", "group_size", "winner", "id", "hash", "size", "text"],
+                names=["kind", "number", "keep_id", "group_size", "winner", "id", "hash", "size", "text", "rest"],
             )
 
+        def passed(kind, batch, places):
+            took = batch.take(pa.array(places, pa.int64()))
+            none = [None] * len(places)
+            return out(kind, took.column(0), none, none, none, took)
+
         for batch in chunks(batches, CHUNK_BYTES):
-            spill = []
+            spill, stays = [], []
             number, ids, hashes, sizes = (batch.column(i).to_pylist() for i in range(4))
             for i, text in enumerate(binaries(batch.column(4))):
                 text = normalise(text)
@@ -159,34 +170,35 @@ def _resolve(table_bytes: int, schema: pa.Schema):
                     entry = table.add(h, text, entry)
                     best.append((ids[i], number[i]))
                     total.append(0)
+                    stays.append(i)
                 elif _before((ids[i], number[i]), best[entry]):
                     best[entry] = (ids[i], number[i])
                 total[entry] += sizes[i]
                 numbers.append(number[i])
                 entries.append(entry)
             if spill:
-                took = batch.take(pa.array(spill, pa.int64()))
-                none = [None] * len(spill)
-                yield out(True, took.column(0), none, none, none, took)
+                yield passed("spilled", batch, spill)
+            if stays and with_rows:
+                yield passed("row", batch, stays)
         step = 50_000
         for a in range(0, len(numbers), step):
             part, of = numbers[a:a + step], entries[a:a + step]
-            yield out(False, part, [best[e][0] for e in of], [total[e] for e in of],
+            yield out("group", part, [best[e][0] for e in of], [total[e] for e in of],
                       [best[e][1] == x for x, e in zip(part, of)])
 
     return run
 
 
 class Deduplicated:
-    """``members``: one row per input row (id, keep_id, group_size, kept, text_sha256); ``kept_rows``: the input rows that stay."""
+    """``members``: one row per input row (id, keep_id, group_size, kept, text_sha256); ``kept_rows``: the input rows that stay, if asked for."""
 
-    def __init__(self, members: DataFrame, kept_rows: DataFrame):
+    def __init__(self, members: DataFrame, kept_rows: DataFrame | None):
         self.members, self.kept_rows = members, kept_rows
 
 
 def exact_dedup(
     df: DataFrame, id_column: str = "doc_id", text_column: str = "text", with_rows: bool = True,
-    chunk_bytes: int = CHUNK_BYTES, table_bytes: int = TABLE_BYTES, max_rounds: int = 64,
+    chunk_bytes: int = CHUNK_BYTES, table_bytes: int = TABLE_BYTES,
 ) -> Deduplicated:
     """Find equal texts; the row with the smallest id of each stays.
 
@@ -197,41 +209,45 @@ def exact_dedup(
     """
     kind = df.schema[id_column].dataType
     text = F.col(f"`{text_column}`").cast("string")
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]) if with_rows else F.struct(text.alias("text"))
-    given = df.select(F.col(f"`{id_column}`").alias("id"), text.alias("text"), row.alias("row"))
+    others = [c for c in df.columns if c != text_column] if with_rows else []
+    rest = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(others)])
+    # A null text is told from an empty one by the text itself, which goes along as it is.
+    given = df.select(F.col(f"`{id_column}`").alias("id"), text.alias("text"), F.struct(text.alias("text"), rest.alias("rest")).alias("row"))
     out = T.StructType([
         T.StructField("rep", T.BooleanType()), T.StructField("number", T.LongType()), T.StructField("id", kind),
         T.StructField("hash", T.LongType()), T.StructField("size", T.LongType()), T.StructField("sha", T.StringType()),
         T.StructField("first", T.BooleanType()), T.StructField("row", given.schema["row"].dataType),
     ])
-    arrow = _arrow(kind)
-    combined = stage(given.mapInArrow(_combine(chunk_bytes, arrow), out), "dedup-combined")
+    combined = stage(given.mapInArrow(_combine(chunk_bytes, kind), out), "dedup-combined")
+    rest_kind = combined.schema["row"].dataType["rest"].dataType  # as read again: every field may be null
+    arrow = _arrow(kind, rest_kind)
     reps = combined.filter("rep")
-    waiting = reps.select("number", "id", "hash", "size", F.col("row")[text_column if with_rows else "text"].cast("string").alias("text"))
+    waiting = reps.select("number", "id", "hash", "size", "row.text", "row.rest")
     resolved_type = T.StructType([
-        T.StructField("spilled", T.BooleanType()), T.StructField("number", T.LongType()), T.StructField("keep_id", kind),
+        T.StructField("kind", T.StringType()), T.StructField("number", T.LongType()), T.StructField("keep_id", kind),
         T.StructField("group_size", T.LongType()), T.StructField("winner", T.BooleanType()), T.StructField("id", kind),
         T.StructField("hash", T.LongType()), T.StructField("size", T.LongType()), T.StructField("text", T.StringType()),
+        T.StructField("rest", rest_kind),
     ])
-    groups = None
+    groups = kept = None
     for depth in itertools.count():
         dealt = waiting.repartition(F.xxhash64("hash", F.lit(depth)))
-        level = stage(dealt.mapInArrow(_resolve(table_bytes, arrow), resolved_type), f"dedup-round-{depth}")
-        done = level.filter(~F.col("spilled")).select("number", "keep_id", "group_size", "winner")
-        groups = done if groups is None else groups.unionByName(done)
-        waiting = level.filter("spilled").select("number", "id", "hash", "size", "text")
+        if with_rows:
+            dealt = dealt.sortWithinPartitions("hash", F.asc_nulls_last("id"), "number")
+        level = stage(dealt.mapInArrow(_resolve(table_bytes, arrow, with_rows), resolved_type), f"dedup-round-{depth}")
+        done = level.filter("kind = 'group'").select("number", "keep_id", "group_size", "winner")
+        rows = level.filter("kind = 'row'").select(*[
+            (F.col("text") if c == text_column else F.col(f"rest._{others.index(c)}")).cast(df.schema[c].dataType).alias(c) for c in df.columns]) if with_rows else None
+        groups, kept = (done, rows) if groups is None else (groups.unionByName(done), kept.union(rows) if with_rows else None)
+        waiting = level.filter("kind = 'spilled'").select("number", "id", "hash", "size", "text", "rest")
         if waiting.isEmpty():
             break
     members = combined.filter(~F.col("rep")).select("number", "id", "sha", "first").join(groups, "number").select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", (F.col("first") & F.col("winner")).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
-    # Those that lose to another chunk's row are far fewer than those that stay.
-    kept = reps.select("number", "row").join(groups.filter(~F.col("winner")).select("number"), "number", "left_anti").select("row.*")
     return Deduplicated(members, kept)
 
 
-def _arrow(kind: T.DataType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return pa.schema([("id", to_arrow_type(kind)), ("hash", pa.int64()), ("size", pa.int64()), ("text", pa.string())])
+def _arrow(kind: T.DataType, rest: T.DataType) -> pa.Schema:
+    return pa.schema([("id", to_arrow_type(kind)), ("hash", pa.int64()), ("size", pa.int64()), ("text", pa.string()), ("rest", to_arrow_type(rest))])
