@@ -1,8 +1,10 @@
 """Chat formatting from an event log.
 
-The log of a conversation holds, by sequence number, events of its messages: ``open`` (role, place), ``delta`` (more text),
-``edit`` (the text from now on) and ``regenerate`` (start over). Logs are partitioned by conversation and sorted; a task folds
-one message at a time and renders it, so it holds one message and the digests of one conversation, whatever its length.
+The log of a conversation holds, by a sequence number of the conversation, events of its messages: ``open`` (role, place), ``delta``
+(more text), ``edit`` (the text from now on) and ``regenerate`` (start over). Events of different messages may come between each
+other, and a message may be edited after later turns. The role is the last one that any event of the message names; usually only
+``open`` does. Logs are partitioned by conversation and sorted by turn, message and sequence; a task folds one message at a time and
+renders it, so it holds one message and the digests of one conversation, whatever its length. Messages alone are dealt out one by one.
 
 Template: ``<|im_start|>role`` line break text ``<|im_end|>`` line break. In texts and roles, each ``<`` that is followed by
 backslashes and ``|`` gets one backslash more, which takes every control string apart and can be undone exactly. In roles a
@@ -54,14 +56,15 @@ def event_log(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     """A log which ends in the given messages: conv, turn, message, seq, kind, role, text.
 
     By a hash of the message, its text is streamed in deltas, or streamed as a draft and regenerated, or opened with a draft and
-    edited. Rows tied in conversation and turn are ordered by role and text; repeated rows are counted, and are messages of their own.
+    edited. The messages of a conversation are streamed side by side: its sequence takes the first events of all of them, then the second.
+    Rows tied in conversation and turn are ordered by role and text; repeated rows are counted, and are messages of their own.
     """
     counted = turns.select(
         F.col(f"`{conv}`").cast("long").alias("conv"), F.col(f"`{turn}`").cast("long").alias("turn"),
         F.coalesce(F.col(f"`{role}`").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
     ).groupBy("conv", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
     messages = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).withColumn(
-        "message", F.concat_ws("-", F.sha2(F.concat_ws("\n", "role", "text"), 256), F.lpad("copy", 19, "0")))
+        "message", F.concat("role", F.lit("\n"), F.sha2(F.concat_ws("\n", "role", "text"), 256), F.lit("-"), F.lpad("copy", 19, "0")))
     style = F.pmod(F.xxhash64("conv", "turn", "message"), F.lit(3))
     pieces = F.transform(
         F.sequence(F.lit(0), F.floor((F.greatest(F.length("text"), F.lit(1)) - 1) / DELTA).cast("int")),
@@ -71,8 +74,10 @@ def event_log(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     events = F.when(style == 0, F.concat(one("open", F.lit("")), pieces)) \
         .when(style == 1, F.concat(one("open", F.lit("")), one("delta", draft), one("regenerate", F.lit("")), pieces)) \
         .otherwise(F.concat(one("open", F.lit("")), one("delta", draft), one("edit", F.col("text"))))
-    return messages.select("conv", "turn", "message", "role", F.posexplode(events).alias("seq", "event")).select(
-        "conv", "turn", "message", F.col("seq").cast("long").alias("seq"), "event.kind", "role", "event.text")
+    role_of_open = F.when(F.col("event.kind") == "open", F.col("role"))
+    place = F.col("at").cast("long") * (1 << 31) + F.pmod(F.coalesce("turn", F.lit(0)), F.lit(1 << 31))
+    return messages.select("conv", "turn", "message", "role", F.posexplode(events).alias("at", "event")).select(
+        "conv", "turn", "message", place.alias("seq"), "event.kind", role_of_open.alias("role"), "event.text")
 
 
 class _Conversation:
@@ -99,13 +104,16 @@ def fold(events) -> Iterator[tuple]:
     """Sorted events (conv, turn, message, seq, kind, role, text) -> finished messages (conv, turn, role, text).
 
     An ``edit`` replaces what was streamed, ``regenerate`` drops it, later deltas go on from there. Events before an ``open`` count too.
+    A message whose events name no role has the empty one.
     """
     key, role, parts = None, "", []
     for conv, turn, message, _, kind, who, text in events:
         if (conv, turn, message) != key:
             if key is not None:
                 yield key[0], key[1], role, "".join(parts)
-            key, role, parts = (conv, turn, message), who or "", []
+            key, role, parts = (conv, turn, message), "", []
+        if who is not None:
+            role = who
         if kind == "regenerate":
             parts = []
         elif kind == "edit":
@@ -116,9 +124,9 @@ def fold(events) -> Iterator[tuple]:
         yield key[0], key[1], role, "".join(parts)
 
 
-def _sorted_log(log: DataFrame) -> DataFrame:
-    order = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_last(), F.col("role"), F.col("message"), F.col("seq")]
-    return log.select("conv", "turn", "message", "seq", "kind", "role", "text").repartition("conv").sortWithinPartitions(*order)
+def _sorted_log(log: DataFrame, *together: str) -> DataFrame:
+    order = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_last(), F.col("message"), F.col("seq")]
+    return log.select("conv", "turn", "message", "seq", "kind", "role", "text").repartition(*together).sortWithinPartitions(*order)
 
 
 def _messages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -138,7 +146,7 @@ def format_messages(log: DataFrame, learn: str = "assistant") -> DataFrame:
         if rows:
             yield _batch(rows, _MESSAGE)
 
-    return _sorted_log(log).mapInArrow(run, "conv long, turn long, formatted string, loss_start long, loss_end long")
+    return _sorted_log(log, "conv", "turn", "message").mapInArrow(run, "conv long, turn long, formatted string, loss_start long, loss_end long")
 
 
 def digests(log: DataFrame, learn: str = "assistant") -> DataFrame:
@@ -159,7 +167,7 @@ def digests(log: DataFrame, learn: str = "assistant") -> DataFrame:
         if rows:
             yield _batch(rows, _DIGEST)
 
-    return _sorted_log(log).mapInArrow(
+    return _sorted_log(log, "conv").mapInArrow(
         run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
