@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from punctual.catalog.base import query, sql_percent, sql_round, sql_union, table
 from punctual.catalog.frames import LINE_KEY, LINE_KEY_SQL, MOVEMENTS, movements
-from punctual.operators import outliers
+from punctual.operators import outliers, sketches
 from punctual.operators.quantiles import quantiles
+from punctual.staging import stage
 
 _COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
 
@@ -31,6 +32,20 @@ def _(spark, sf_dir):
     return spark.createDataFrame([(c, p, v) for (c, p), v in found.items()], "column string, p double, value double")
 
 
+# Sketches by line number are merged; the twin holds that every answer's rank is near the one asked for.
+@query(
+    "sketch_quantiles", "A13",
+    "select l_returnflag, \"column\", p, count(*) as rows, true as near from lineitem, "
+    f"(select unnest({_COLUMNS}) as \"column\"), (select unnest([0.01, 0.25, 0.5, 0.9, 0.99]::double[]) as p) group by all",
+)
+def _(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linenumber", *_COLUMNS)
+    fine = stage(sketches.quantile_sketches(df, _COLUMNS, ["l_returnflag", "l_linenumber"]), "sketches")
+    answers = sketches.sketched_quantiles(sketches.merged(fine, ["l_returnflag"]), [0.01, 0.25, 0.5, 0.9, 0.99], ["l_returnflag"])
+    errors = sketches.rank_errors(df, answers, _COLUMNS, ["l_returnflag"])
+    return errors.select("l_returnflag", "column", "p", "rows", (F.col("error") <= sketches.RANK_ERROR).alias("near"))
+
+
 @query(
     "quantile_interp", "A14",
     sql_union(
