@@ -306,21 +306,25 @@ class _Join:
     def _across(self, lists: DataFrame, first: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
         """Pairs of a list that are in different components and aren't ruled out by their distances to a common leader."""
         p = self.percent
-        distance = first.select(
-            F.col("a").alias("leader"), F.col("b").alias("digest"), (F.col("n_a") + F.col("n_b") - 2 * F.col("common")).alias("far"))
-        known = lists.join(labels.withColumnRenamed("node", "digest"), "digest", "left").join(distance, ["leader", "digest"], "left").select(
-            "token", "digest", F.col("size").cast("long").alias("size"), F.col("place").cast("long").alias("place"), "leader",
-            F.coalesce("label", "digest").alias("label"), F.when(F.col("leader") == F.col("digest"), F.lit(0)).otherwise(F.col("far")).alias("far"),
+        # A quarter of the sketch's width is enough here: parities of four slots together are a sketch too.
+        quarter = SKETCH_BITS // 256
+        folded = F.transform(F.sequence(F.lit(0), F.lit(quarter - 1)), lambda i: F.get("sketch", i).bitwiseXOR(
+            F.get("sketch", i + quarter)).bitwiseXOR(F.get("sketch", i + 2 * quarter)).bitwiseXOR(F.get("sketch", i + 3 * quarter)))
+        # What is known of a set (its label, its sketch, its distances to at most ``BEST`` leaders) meets its entries in one join.
+        distances = first.groupBy(F.col("b").alias("digest")).agg(
+            F.collect_list(F.struct(F.col("a").alias("leader"), (F.col("n_a") + F.col("n_b") - 2 * F.col("common")).alias("far"))).alias("far"))
+        of_set = classes.select("digest", folded.alias("sketch")).join(labels.withColumnRenamed("node", "digest"), "digest", "left").join(
+            distances, "digest", "left").select("digest", "sketch", F.coalesce("label", "digest").alias("label"), "far")
+        to_leader = F.filter("far", lambda d: d.leader == F.col("leader"))
+        known = lists.select("token", "digest", "size", "place", "leader").join(of_set, "digest").select(
+            "token", "digest", F.col("size").cast("long").alias("size"), F.col("place").cast("long").alias("place"), "leader", "label", "sketch",
+            F.when(F.col("leader") == F.col("digest"), F.lit(0).cast("long")).otherwise(F.get(to_leader, F.lit(0)).far).alias("far"),
         )
         known = stage(known, "set-known")
         per_label = known.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
         mixed = per_label.groupBy("token").agg(F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("labels")) \
             .filter("labels > 1").select("token", F.col("most.label").alias("most"))
-        # A quarter of the sketch's width is enough here: parities of four slots together are a sketch too.
-        quarter = SKETCH_BITS // 256
-        folded = F.transform(F.sequence(F.lit(0), F.lit(quarter - 1)), lambda i: F.get("sketch", i).bitwiseXOR(
-            F.get("sketch", i + quarter)).bitwiseXOR(F.get("sketch", i + 2 * quarter)).bitwiseXOR(F.get("sketch", i + 3 * quarter)))
-        entries = stage(known.join(mixed, "token").join(classes.select("digest", folded.alias("sketch")), "digest"), "set-mixed")
+        entries = known.join(mixed, "token")
         few, all_ = entries.filter("label <> most").alias("x"), entries.alias("y")
         x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
         need = _needed(x("size"), y("size"), p)
