@@ -5,13 +5,16 @@
    The cut between shards follows the words' counts, also inside one frequent first word, so shards have equal work and none
    depends on a hot word. A task merges the blocks of a shard into one file, and passes on sums per first word and per
    second word, from which discounts, back-off weights and continuation counts come.
-3. Triples become one integer too (place of the pair ahead, number of the word), merged likewise. The task of a shard also counts the pair's followers and the distinct words before
+3. Triples become one integer too (place of the pair ahead, number of the word), merged likewise. A shard's file holds four bytes per
+   triple, the number of its last word, and where the triples of each pair start. Its task also counts the distinct words before
    each pair, which the level of pairs is made of.
-4. Workers map the files and look up whole chunks of texts at a time; nothing of the model is held in memory or broadcast, and
+4. Counts take one byte; those of 255 and more stand in a list beside them, so no count is too large.
+5. Workers map the files and look up whole chunks of texts at a time; nothing of the model is held in memory or broadcast, and
    maps are closed after each lookup, so pages don't add up.
 
 The files lie in the folder of ``spark.checkpoint.dir``, which workers must be able to open as a local or mounted path. Every
-file or part is written by one task and is the same whenever it is written again, so lost executors do no harm.
+file or part is written by one task and is the same whenever it is written again, so lost executors do no harm. Tables between the
+steps are deleted once they have been read; ``delete`` removes the model.
 
 ``ORDER`` is 3: triples of the words themselves, with continuation counts below and a uniform base. Pairs that start a text have
 nothing before them and keep their own counts. Order 2 can be chosen.
@@ -23,6 +26,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 from urllib.parse import urlparse
 
 import numpy as np
@@ -31,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.llm.common import WordHashes, binaries, chunks, lower_words
-from punctual.staging import stage, stage_path
+from punctual.staging import delete_tables, scratch_tables, stage, stage_path
 
 CHUNK_BYTES = 8 << 20
 #: Distinct pairs are counted over about so many tokens at a time.
@@ -40,6 +44,12 @@ SHARD_TOKENS = 2_000_000
 WORD_SHARD_BITS = 6
 PAIR_BITS = 31
 PLACE_BLOCK_BITS = 20
+#: One byte holds counts below this one.
+LARGE = 255
+#: The followers of a pair are summed as they are asked for up to so many; beyond that their sums are kept.
+MANY = 16
+#: Tokens before a pair are kept for every 2 ** so many pairs.
+MASS_BITS = 5
 ORDER = 3
 END = b"\n"  # no word holds white space
 
@@ -103,12 +113,63 @@ class Model:
     d_triple: tuple = (0.5, 0.5, 0.5)
     first_triples: list[int] = field(default_factory=list)
     triple_shards: list[int] = field(default_factory=list)
+    #: Place of the last pair that has triples in each shard.
+    last_places: list[int] = field(default_factory=list)
 
     @property
     def word_bits(self) -> int:
         return self.words.bit_length()
 
 
+def _file(path: str, rows: int = 1) -> np.ndarray:
+    """A file of long numbers in so many rows, mapped."""
+    return np.memmap(path, np.int64, "r").reshape(rows, -1) if os.path.getsize(path) else np.empty((rows, 0), np.int64)
+
+
+class Counts:
+    """Counts of a file: a byte each, and places and values of those that don't fit."""
+
+    def __init__(self, path: str):
+        self.small, self.large = np.memmap(f"{path}.counts", np.uint8, "r"), _file(f"{path}.large", 2)
+
+    def take(self, at: np.ndarray) -> np.ndarray:
+        n = self.small[at].astype(np.int64)
+        large = n == LARGE
+        if large.any():
+            n[large] = self.large[1][np.searchsorted(self.large[0], at[large])]
+        return n
+
+    @staticmethod
+    def write(path: str, n: np.ndarray) -> None:
+        large = np.flatnonzero(n >= LARGE)
+        _replace(f"{path}.large", np.stack([large, n[large]]).astype(np.int64))
+        _replace(f"{path}.counts", np.minimum(n, LARGE).astype(np.uint8))
+
+
+def _inside(values: np.ndarray, low: np.ndarray, high: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """First place in ``[low, high)`` whose value isn't below what is asked, by halving; values rise inside each range."""
+    low, high = low.copy(), high.copy()
+    open_ = np.flatnonzero(low < high)
+    while len(open_):
+        a, b = low[open_], high[open_]
+        middle = (a + b) >> 1
+        below = values[middle] < asked[open_]
+        a, b = np.where(below, middle + 1, a), np.where(below, b, middle)
+        low[open_], high[open_] = a, b
+        open_ = open_[a < b]
+    return low
+
+
+def _before_counts(folder: str, places: np.ndarray) -> np.ndarray:
+    """Distinct words before the pairs at these places (rising); a block without a file has none."""
+    out, block = np.zeros(len(places), np.int64), places >> PLACE_BLOCK_BITS
+    for b in np.unique(block):
+        x, y = np.searchsorted(block, [b, b + 1])
+        if os.path.exists(f"{folder}/before-{b}.counts"):
+            out[x:y] = Counts(f"{folder}/before-{b}").take(places[x:y] - (b << PLACE_BLOCK_BITS))
+    return out
+
+
 class Mapped:
     """The arrays of a model, mapped."""
 
@@ -130,39 +191,82 @@ class Mapped:
         at = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
         return np.where(self.keys[at] == distinct, at, -1)[back]
 
-    def _found(self, distinct: np.ndarray, first_keys: list[int], shards: list[int], name: str) -> Iterator[tuple[int, slice, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per shard that is asked: its index, the part of ``distinct``, whether each key is there, its place in the shard and its count."""
-        cuts = np.searchsorted(distinct, first_keys)
-        for i, shard in enumerate(shards):
-            a, b = cuts[i], cuts[i + 1] if i + 1 < len(cuts) else len(distinct)
+    def _asked(self, distinct: np.ndarray, first_keys: list[int]) -> Iterator[tuple[int, slice]]:
+        """Shards which hold keys of ``distinct`` (rising), with the part of it."""
+        cuts = [*np.searchsorted(distinct, first_keys), len(distinct)]
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
             if a < b:
-                path = f"{self.model.folder}/{name}-{shard}"
-                have = np.memmap(f"{path}.keys", np.int64, "r")
-                n = np.memmap(f"{path}.counts", f"u{os.path.getsize(f'{path}.counts') // len(have)}", "r")
-                at = np.minimum(np.searchsorted(have, distinct[a:b]), len(have) - 1)
-                yield i, slice(a, b), have[at] == distinct[a:b], at, n[at].astype(np.int64)
+                yield i, slice(a, b)
 
     def pairs(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of pairs among all pairs, -1 for those not met in training, and their training counts."""
         distinct, back = np.unique(keys, return_inverse=True)
         place, count = np.full(len(distinct), -1, np.int64), np.zeros(len(distinct), np.int64)
-        for i, part, met, at, n in self._found(distinct, self.model.first_keys, self.model.shards, "pairs"):
-            place[part], count[part] = np.where(met, at + self.model.places[i], -1), np.where(met, n, 0)
+        for i, part in self._asked(distinct, self.model.first_keys):
+            path = f"{self.model.folder}/pairs-{self.model.shards[i]}"
+            have = np.memmap(f"{path}.keys", np.int64, "r")
+            at = np.minimum(np.searchsorted(have, distinct[part]), len(have) - 1)
+            met = have[at] == distinct[part]
+            place[part], count[part] = np.where(met, at + self.model.places[i], -1), np.where(met, Counts(path).take(at), 0)
         return place[back], count[back]
 
+    def _triples(self, i: int) -> tuple[str, int, np.ndarray]:
+        """Path of a shard of triples, the place of its first pair, and where the triples of each pair start and end."""
+        m = self.model
+        path, low = f"{m.folder}/triples-{m.triple_shards[i]}", m.first_triples[i] >> m.word_bits
+        n = m.last_places[i] - low + 2
+        return path, low, np.memmap(f"{path}.starts", f"u{os.path.getsize(f'{path}.starts') // n}", "r")
+
     def triple_counts(self, keys: np.ndarray) -> np.ndarray:
         """Training counts of triples."""
+        m = self.model
         distinct, back = np.unique(keys, return_inverse=True)
         out = np.zeros(len(distinct), np.int64)
-        for _, part, met, _, n in self._found(distinct, self.model.first_triples, self.model.triple_shards, "triples"):
-            out[part] = np.where(met, n, 0)
+        for i, part in self._asked(distinct, m.first_triples):
+            path, low, starts = self._triples(i)
+            words = np.memmap(f"{path}.words", np.uint32, "r")
+            place, w = (distinct[part] >> m.word_bits) - low, distinct[part] & ((1 << m.word_bits) - 1)
+            inside = np.flatnonzero(place < len(starts) - 1)
+            place, w = place[inside], w[inside].astype(np.uint32)
+            end = starts[place + 1].astype(np.int64)
+            at = _inside(words, starts[place].astype(np.int64), end, w)
+            met = np.flatnonzero(at < end)
+            met = met[words[at[met]] == w[met]]
+            out[part.start + inside[met]] = Counts(path).take(at[met])
         return out[back]
 
-    def of_pairs(self, name: str, place: np.ndarray) -> np.ndarray:
-        """Values of a file with one number per pair; 0 at place -1."""
-        distinct, back = np.unique(place, return_inverse=True)
-        file = self._open(name, np.int32, self.model.pairs)
-        return np.where(distinct >= 0, file[np.maximum(distinct, 0)], 0).astype(np.int64)[back]
+    def left(self, places: np.ndarray) -> np.ndarray:
+        """What discounts take from the triples that begin with the pairs at these places; 0 at place -1."""
+        m = self.model
+        distinct, back = np.unique(places, return_inverse=True)
+        out, d = np.zeros(len(distinct)), np.array([0.0, *m.d_triple])
+        firsts = np.array(m.first_triples, np.int64) >> m.word_bits
+        cuts = np.searchsorted(distinct, firsts), np.searchsorted(distinct, np.array(m.last_places, np.int64), side="right")
+        for i, (a, b) in enumerate(zip(*cuts)):  # shards can share the pair at their edge
+            if a >= b:
+                continue
+            path, low, starts = self._triples(i)
+            at = distinct[a:b] - low
+            start = starts[at].astype(np.int64)
+            size = starts[at + 1] - start
+            many = np.flatnonzero(size > MANY)
+            few = np.where(size > MANY, 0, size)
+            owner = np.repeat(np.arange(b - a), few)
+            inside = np.arange(len(owner)) - np.repeat(np.cumsum(few) - few, few) + start[owner]
+            small = np.memmap(f"{path}.counts", np.uint8, "r")
+            out[a:b] += np.bincount(owner, d[np.minimum(small[inside], 3)], b - a)
+            if len(many):
+                sums = _file(f"{path}.many", 4)
+                out[a + many] += d[1:] @ sums[1:][:, np.searchsorted(sums[0], at[many])]
+        return out[back]
+
+    def before_pairs(self, places: np.ndarray) -> np.ndarray:
+        """Distinct words before pairs; 0 at place -1."""
+        distinct, back = np.unique(places, return_inverse=True)
+        out = np.zeros(len(distinct), np.int64)
+        met = distinct >= 0
+        out[met] = _before_counts(self.model.folder, distinct[met])
+        return out[back]
 
     def log_scores(self, h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per token: log10 of the model's probability, of the base's, and whether it is known."""
@@ -184,7 +288,7 @@ class Mapped:
         place[asked], c[asked] = self.pairs((v[asked] << PAIR_BITS) | w[asked])
         met = c
         if m.order > 2:
-            c = np.where(v == m.words, met, self.of_pairs("pair-before", place))
+            c = np.where(v == m.words, met, self.before_pairs(place))
         kept = np.maximum(c - _discount(c, m.d_pair), 0)
         p = np.where(total > 0, kept / np.maximum(total, 1) + np.where(total > 0, self.back[np.maximum(v, 0)], 1.0) * lower, lower)
         if m.order > 2:
@@ -193,7 +297,7 @@ class Mapped:
             c = np.zeros(len(h), np.int64)
             asked = known & (ahead >= 0)
             c[asked] = self.triple_counts((ahead[asked] << m.word_bits) | w[asked])
-            left = sum(d * self.of_pairs(f"pair-after-{k}", ahead) for k, d in enumerate(m.d_triple, 1))
+            left = self.left(ahead)
             kept = np.maximum(c - _discount(c, m.d_triple), 0)
             p = np.where(ahead >= 0, (kept + left * p) / np.maximum(whole, 1), p)
         return np.log10(p), base, known
@@ -278,6 +382,23 @@ def fit(df: DataFrame, text_column: str = "text", shard_tokens: int = SHARD_TOKE
     spark = df.sparkSession
     texts = df.select(F.col(f"`{text_column}`").cast("string").alias("text"))
     folder = shared_folder(spark, "pair-model")
+    with scratch_tables(spark):
+        model = _fit_words(texts, folder, order)
+    if model.words:
+        with scratch_tables(spark):
+            _fit_pairs(spark, texts, model, shard_tokens)
+    if os.path.exists(f"{folder}/before"):
+        os.remove(f"{folder}/before")  # only for dealing out pairs
+    return model
+
+
+def delete(spark: SparkSession, model: Model) -> None:
+    """Remove the files of a model that no DataFrame reads any more."""
+    delete_tables(spark, [model.folder])
+
+
+def _fit_words(texts: DataFrame, folder: str, order: int) -> Model:
+    """Count and number the words."""
     shard = F.shiftright("h", 63 - WORD_SHARD_BITS)
     words = stage(texts.mapInArrow(_count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).withColumn("shard", shard), "words")
     sizes = sorted((r.shard, r.rows, r.n) for r in words.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).collect())
@@ -310,10 +431,11 @@ def fit(df: DataFrame, text_column: str = "text", shard_tokens: int = SHARD_TOKE
         yield pa.RecordBatch.from_arrays([pa.array([1], pa.int64())], names=["done"])
 
     stage(words.select("shard", "h", "n").repartition("shard").sortWithinPartitions("h").mapInArrow(write_words, "done long"), "words-written")
-    return _fit_pairs(spark, texts, model, shard_tokens)
+    return model
 
 
-def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens: int) -> Model:
+def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens: int) -> None:
+    """Count pairs, and triples if the order asks for them, write their files, and fill in the model."""
     folder, n_words, n_tokens = model.folder, model.words, model.tokens
     n_shards = n_tokens // shard_tokens + 1
 
@@ -357,7 +479,8 @@ def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens
         for shard, keys, counts in _by_shard(batches):
             key, n = _summed(keys, counts)
             _replace(f"{folder}/pairs-{shard}.keys", key)
-            _replace(f"{folder}/pairs-{shard}.counts", n.astype(np.int32))
+            Counts.write(f"{folder}/pairs-{shard}", n)
+            _replace(f"{folder}/pairs-{shard}.mass", (np.cumsum(n) - n)[::1 << MASS_BITS])
             v = key >> PAIR_BITS
             at = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
             yield rows(0, v[at], np.add.reduceat(n, at), *(np.add.reduceat(x.astype(np.int64), at) for x in (n == 1, n == 2, n >= 3)))
@@ -373,10 +496,11 @@ def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens
     model.d_pair = d = discounts(of_counts)
     shards = sorted((r.x2, r.id, r.x1, r.x3) for r in sums.filter("kind = 3").collect())  # one short row per file
     model.first_keys, model.shards, model.pairs = [x[0] for x in shards], [x[1] for x in shards], sum(x[2] for x in shards)
-    model.places, model.mass = ([sum(x[k] for x in shards[:i]) for i in range(len(shards))] for k in (2, 3))
+    model.places, model.mass = ([0, *accumulate(x[k] for x in shards)][:-1] for k in (2, 3))
     of_words = sums.filter("kind = 0")
     if model.order > 2:
-        of_words, of_counts = _fit_triples(spark, texts, model, shard_tokens)
+        with scratch_tables(spark):
+            of_words, of_counts = _fit_triples(spark, texts, model, shard_tokens)
         model.d_pair = d = discounts(of_counts)
 
     def write_by_number(*names: str):
@@ -403,7 +527,6 @@ def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens
     model.d_word = e = discounts(levels)
     more = sum(n for k, n in levels.items() if k >= 3)
     model.word_back = (e[0] * levels.get(1, 0) + e[1] * levels.get(2, 0) + e[2] * more) / model.pairs
-    return model
 
 
 def _fit_triples(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens: int) -> tuple[DataFrame, dict[int, int]]:
@@ -412,9 +535,6 @@ def _fit_triples(spark: SparkSession, texts: DataFrame, model: Model, shard_toke
     n_shards = n_tokens // shard_tokens + 1
     if model.pairs.bit_length() + bits > 63:
         raise ValueError(f"{model.pairs} pairs and {n_words} words don't fit 63 bits")
-    after = [f"pair-after-{k}" for k in (1, 2, 3)]
-    for name in (*after, "pair-before"):
-        _fill(f"{folder}/{name}", np.int32, model.pairs)
     ends = [*model.places[1:], model.pairs]
 
     def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -426,9 +546,13 @@ def _fit_triples(spark: SparkSession, texts: DataFrame, model: Model, shard_toke
             cuts = np.searchsorted(key, np.array([*model.places, model.pairs], np.int64) << bits)
             for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 if a < b:  # tokens before the pair, and of the pair's own the share before the word
-                    c = np.fromfile(f"{folder}/pairs-{model.shards[i]}.counts", np.int32).astype(np.int64)
-                    at = (key[a:b] >> bits) - model.places[i]
-                    share[a:b] = model.mass[i] + (np.cumsum(c) - c)[at] + c[at] * ((key[a:b] & ((1 << bits) - 1)) / n_words)
+                    path, at = f"{folder}/pairs-{model.shards[i]}", (key[a:b] >> bits) - model.places[i]
+                    blocks, row = np.unique(at >> MASS_BITS, return_inverse=True)
+                    inside = (blocks[:, None] << MASS_BITS) + np.arange(1 << MASS_BITS)
+                    c = Counts(path).take(np.minimum(inside, ends[i] - model.places[i] - 1))
+                    column = at & ((1 << MASS_BITS) - 1)
+                    own, ahead = c[row, column], (np.cumsum(c, 1) - c)[row, column]
+                    share[a:b] = model.mass[i] + _file(f"{path}.mass")[0][blocks][row] + ahead + own * ((key[a:b] & ((1 << bits) - 1)) / n_words)
             shard = np.minimum((share / n_tokens * n_shards).astype(np.int64), n_shards - 1)
             return _packed_shards(shard, key, n)
 
@@ -450,34 +574,28 @@ def _fit_triples(spark: SparkSession, texts: DataFrame, model: Model, shard_toke
             yield count()
 
     def write_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A file per shard; rows of the pairs at its edges (kind 0), counts of counts (2), the file (3), and packed pairs with the words before them (1)."""
+        """Files per shard; rows of counts of counts (kind 2), the file (3), and packed pairs with the words before them (1)."""
         def rows(kind: int, ids, *xs, keys=None, counts=None) -> pa.RecordBatch:
-            full = [np.asarray(x, np.int64) for x in xs] + [np.zeros(len(ids), np.int64)] * (3 - len(xs))
+            full = [np.asarray(x, np.int64) for x in xs] + [np.zeros(len(ids), np.int64)] * (2 - len(xs))
             none = [None] * len(ids)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(ids), kind, np.int32)), pa.array(np.asarray(ids, np.int64)), *map(pa.array, full),
                  pa.array(keys or none, pa.binary()), pa.array(counts or none, pa.binary())],
-                names=["kind", "id", "x1", "x2", "x3", "keys", "counts"])
+                names=["kind", "id", "x1", "x2", "keys", "counts"])
 
         mapped = Mapped(model)
         for shard, keys, counts in _by_shard(batches):
             key, n = _summed(keys, counts)
-            _replace(f"{folder}/triples-{shard}.keys", key)
-            _replace(f"{folder}/triples-{shard}.counts", n.astype(np.min_scalar_type(int(n.max()))))
             place, w = key >> bits, key & ((1 << bits) - 1)
             at = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-            low, high = int(place[0]), int(place[-1])
-            edges = [low, high][:1 + (high > low)]
-            of_edges = []
-            for name, x in zip(after, (n == 1, n == 2, n >= 3)):
-                whole = np.zeros(high - low + 1, np.int32)
-                whole[place[at] - low] = np.add.reduceat(x.astype(np.int32), at)
-                if high - low > 1:  # pairs inside are in no other shard
-                    file = np.memmap(f"{folder}/{name}", np.int32, "r+")
-                    file[low + 1:high] = whole[1:-1]
-                    file.flush()
-                of_edges.append([int(whole[e - low]) for e in edges])
-            yield rows(0, edges, *of_edges)
+            low, high, path = int(place[0]), int(place[-1]), f"{folder}/triples-{shard}"
+            size = np.zeros(high - low + 2, np.int64)  # pairs without triples have an empty range
+            size[place[at] - low + 1] = np.diff(np.r_[at, len(key)])
+            _replace(f"{path}.starts", np.cumsum(size).astype(np.min_scalar_type(len(key))))
+            _replace(f"{path}.words", w.astype(np.uint32))
+            Counts.write(path, n)
+            sums = np.stack([place[at] - low, *(np.add.reduceat(x.astype(np.int64), at) for x in (n == 1, n == 2, n >= 3))])
+            _replace(f"{path}.many", sums[:, sums[1:].sum(0) > MANY])
             second = np.empty(len(at), np.int64)
             cuts = np.searchsorted(place[at], [*model.places, model.pairs])
             for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
@@ -490,42 +608,32 @@ def _fit_triples(spark: SparkSession, texts: DataFrame, model: Model, shard_toke
             for a, b in zip(cuts, cuts[1:]):
                 yield rows(1, [block[a]], keys=[_pack(pair[a:b])], counts=[_pack(times[a:b])])
             yield rows(2, np.arange(1, 5), [int((n == k).sum()) for k in range(1, 5)])
-            yield rows(3, [shard], [int(key[0])])
+            yield rows(3, [shard], [int(key[0])], [high])
 
     dealt = texts.mapInArrow(count_triples, "shard long, keys binary, counts binary").repartition("shard").sortWithinPartitions("shard")
-    sums = stage(dealt.mapInArrow(write_triples, "kind int, id long, x1 long, x2 long, x3 long, keys binary, counts binary"), "triples")
+    sums = stage(dealt.mapInArrow(write_triples, "kind int, id long, x1 long, x2 long, keys binary, counts binary"), "triples")
     model.d_triple = discounts({r.id: r.n for r in sums.filter("kind = 2").groupBy("id").agg(F.sum("x1").alias("n")).collect()})
-    found = sorted((r.x1, r.id) for r in sums.filter("kind = 3").collect())  # one short row per file
-    model.first_triples, model.triple_shards = [x[0] for x in found], [x[1] for x in found]
-    edges = sums.filter("kind = 0").groupBy("id").agg(*[F.sum(f"x{k}").alias(f"x{k}") for k in (1, 2, 3)]).collect()  # two rows per file
-    for k, name in enumerate(after, 1):
-        file = np.memmap(f"{folder}/{name}", np.int32, "r+") if edges else None
-        for r in edges:
-            file[r.id] = r[f"x{k}"]
-        if edges:
-            file.flush()
+    found = sorted((r.x1, r.id, r.x2) for r in sums.filter("kind = 3").collect())  # one short row per file
+    model.first_triples, model.triple_shards, model.last_places = ([x[k] for x in found] for k in range(3))
 
     def write_before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, keys, counts in _by_shard(batches):
             low = block << PLACE_BLOCK_BITS
-            whole = np.zeros(min(1 << PLACE_BLOCK_BITS, model.pairs - low), np.int32)
+            whole = np.zeros(min(1 << PLACE_BLOCK_BITS, model.pairs - low), np.int64)
             for k, c in zip(keys, counts):
-                whole[_unpack(k) - low] += _unpack(c).astype(np.int32)
-            file = np.memmap(f"{folder}/pair-before", np.int32, "r+")
-            file[low:low + len(whole)] = whole
-            file.flush()
+                whole[_unpack(k) - low] += _unpack(c)
+            Counts.write(f"{folder}/before-{block}", whole)
         yield pa.RecordBatch.from_arrays([pa.array([1], pa.int64())], names=["done"])
 
     stage(sums.filter("kind = 1").select("id", "keys", "counts").repartition("id").sortWithinPartitions("id").mapInArrow(write_before, "done long"), "before-written")
 
     def sum_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per first word of a file of pairs: the sum of the counts of its level, and how many are 1, 2, more; counts of counts under -k."""
-        before = np.memmap(f"{folder}/pair-before", np.int32, "r")
         for batch in batches:
             for i in batch.column(0).to_pylist():
                 path = f"{folder}/pairs-{model.shards[i]}"
                 v = np.fromfile(f"{path}.keys", np.int64) >> PAIR_BITS
-                n = np.where(v == n_words, np.fromfile(f"{path}.counts", np.int32), before[model.places[i]:ends[i]]).astype(np.int64)
+                n = np.where(v == n_words, Counts(path).take(np.arange(len(v))), _before_counts(folder, np.arange(model.places[i], ends[i])))
                 at = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
                 xs = [np.add.reduceat(x.astype(np.int64), at) for x in (n, n == 1, n == 2, n >= 3)]
                 levels = np.array([int((n == k).sum()) for k in range(1, 5)])
@@ -533,7 +641,7 @@ def _fit_triples(spark: SparkSession, texts: DataFrame, model: Model, shard_toke
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "x1", "x2", "x3", "x4"])
 
     files = spark.range(0, len(model.shards), 1, len(model.shards))
-    both = stage(files.mapInArrow(sum_pairs, "id long, x1 long, x2 long, x3 long, x4 long"), "pair-level")
+    both = stage(files.mapInArrow(sum_pairs, "id long, x1 long, x2 long, x3 long, x4 long"), "pair-level", outlives=True)
     levels = {-r.id: r.n for r in both.filter("id < 0").groupBy("id").agg(F.sum("x1").alias("n")).collect()}
     return both.filter("id >= 0"), levels
 
