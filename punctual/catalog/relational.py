@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from punctual.catalog.base import query, sql_round, sql_union, table
 from punctual.catalog.frames import LINE_KEY, LINE_KEY_SQL, MOVEMENTS, movements
 from punctual.functions import route
-from punctual.operators import features, tables
+from punctual.operators import features, heavy, tables
 from punctual.plans.explore import filter_complete, overview
 
 
@@ -40,6 +40,23 @@ def _(spark, sf_dir):
     return overview(movements(spark, sf_dir))["top_routes"]
 
 
+@query(
+    "heavy_parts", "O3 A2",
+    """select l_partkey, count(*) as "count" from lineitem group by l_partkey order by 2 desc, 1 limit 20""",
+)
+def _(spark, sf_dir):
+    return heavy.top_values(table(spark, sf_dir, "lineitem"), ["l_partkey"], 20)
+
+
+@query(
+    "heavy_pairs", "O3 O5 A2",
+    f"""{MOVEMENTS} select ORIGIN_AIRPORT, DESTINATION_AIRPORT, count(*) as "count" from movements
+    group by 1, 2 order by 3 desc, 1, 2 limit 25""",
+)
+def _(spark, sf_dir):
+    return heavy.top_values(movements(spark, sf_dir), ["ORIGIN_AIRPORT", "DESTINATION_AIRPORT"], 25)
+
+
 @query(
     "worst_routes", "O3 V4 A3 E5",
     f"""{MOVEMENTS} select ROUTE, "count", {sql_round('mean', 6)} as avg_delay from (
