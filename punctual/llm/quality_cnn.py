@@ -3,7 +3,8 @@
 Filters of ``WIDTH`` bytes slide over the whole text in steps of two bytes. Their largest answers in each of the overlapping
 chunks are combined by a hidden layer, whose units are max-pooled over all chunks of the text and combined into one
 probability. Inputs are the bytes of the text, nothing else. The network is trained on the driver, from a sample of labelled
-texts whose size is bounded by ``PER_CLASS`` and ``SAMPLE_BYTES`` per text; scoring is a narrow pass over all texts.
+texts which is bounded by ``PER_CLASS`` texts of a label and ``SAMPLE_BYTES`` in all. Texts of the sample are whole, and
+the number of steps is the same for every sample. Scoring is a narrow pass over all texts.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctual.llm.common import binaries, chunks
@@ -21,11 +22,9 @@ from punctual.llm.common import binaries, chunks
 WIDTH, FILTERS, HIDDEN = 6, 24, 16
 #: Positions per chunk, and between the starts of chunks.
 CHUNK, HOP = 128, 64
-#: Bounds of the training sample: texts per label, and bytes of a text (cut from evenly spread places if it is longer).
-PER_CLASS, SAMPLE_BYTES = 1500, 8192
-EPOCHS, RATE, BATCH, SEED = 12, 0.004, 16, 3
-#: A small sample is gone through more often, for at least so many steps.
-MIN_STEPS = 1500
+#: Bounds of the training sample: texts per label, and bytes of all its texts together. A text longer than one in ``SHARE`` of these bytes isn't sampled.
+PER_CLASS, SAMPLE_BYTES, SHARE = 1500, 24 << 20, 32
+STEPS, RATE, BATCH, SEED = 2250, 0.004, 16, 3
 SEGMENT = 1 << 16
 THRESHOLD = 0.3
 
@@ -103,25 +102,28 @@ def probability(text: bytes, net: Network, tables: list[np.ndarray]) -> float:
     return float(1 / (1 + np.exp(-np.clip(pooled @ net.out + net.out_bias[0], -30, 30))))
 
 
-def train(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int = SEED) -> Network:
-    """Adam on the log loss, both labels with equal weight. Gradients flow through the two maxima only, so they touch few rows of the filters."""
+def train(texts: list[bytes], labels: list[int], steps: int = STEPS, seed: int = SEED) -> Network:
+    """Adam on the log loss, both labels with equal weight. Gradients flow through the two maxima only, so they touch few rows of the filters.
+
+    The texts are gone through in new orders, one after the other, until the steps are done.
+    """
     net, r = start_network(seed), np.random.default_rng(seed)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.params()]
     raw = [pair_codes(t).view(np.uint8) for t in texts]
-    step, epochs = 0, max(epochs, -(-MIN_STEPS * BATCH // len(texts)))
     weight = [len(labels) / (2 * max(1, labels.count(k))) for k in (0, 1)]
-    for epoch in range(epochs):
-        rate = RATE * (1 - epoch / epochs)
-        order = r.permutation(len(texts))
-        for a in range(0, len(order), BATCH):
-            grads = [np.zeros_like(p) for p in net.params()]
-            for i in order[a:a + BATCH]:
-                _backward(raw[i], labels[i], net, grads, weight[labels[i]] / min(BATCH, len(order) - a))
-            step += 1
-            for p, g, (m, v) in zip(net.params(), grads, moments):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                p -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-7)
+    ahead: list[int] = []
+    for step in range(1, steps + 1):
+        rate = RATE * (1 - (step - 1) / steps)
+        while len(ahead) < BATCH:
+            ahead.extend(r.permutation(len(texts)))
+        batch, ahead = ahead[:BATCH], ahead[BATCH:]
+        grads = [np.zeros_like(p) for p in net.params()]
+        for i in batch:
+            _backward(raw[i], labels[i], net, grads, weight[labels[i]] / BATCH)
+        for p, g, (m, v) in zip(net.params(), grads, moments):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            p -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-7)
     return net
 
 
@@ -154,32 +156,22 @@ def _backward(raw: np.ndarray, label: int, net: Network, grads: list[np.ndarray]
         np.add.at(grads[0][k], (raw[2 * at + k], filters), values)
 
 
-def spread(text: bytes, most: int) -> bytes:
-    """A text, or four parts of it from evenly spread places if it is longer than ``most``."""
-    if len(text) <= most:
-        return text
-    part = most // 4
-    return b"".join(text[a:a + part] for a in np.linspace(0, len(text) - part, 4).astype(int))
-
-
 def sample(df: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most: int = SAMPLE_BYTES) -> tuple[list[bytes], list[int]]:
-    """At most ``per_class`` labelled texts of each label, smallest hashes of the id first. df: doc_id, text; labels: doc_id, label."""
+    """Whole labelled texts, smallest hashes of the id first: at most ``per_class`` of each label and ``most`` bytes in all. df: doc_id, text; labels: doc_id, label."""
     chosen = None
     for label in (0, 1):
         some = labels.filter(F.col("label") == label).select("doc_id", "label").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
-    texts = df.join(F.broadcast(chosen), "doc_id")  # 2 * per_class short rows
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, 8 << 20):
-            yield pa.RecordBatch.from_arrays(
-                [chunk.column(0), chunk.column(1), pa.array([spread(t, most) for t in binaries(chunk.column(2))], pa.binary())],
-                names=["doc_id", "label", "text"])
-
-    kind = df.schema["doc_id"].dataType.simpleString()
-    rows = texts.select("doc_id", "label", "text").mapInArrow(cut, f"doc_id {kind}, label int, text binary") \
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * per_class).collect()
-    return [bytes(r.text) for r in rows], [r.label for r in rows]
+    size = F.octet_length(F.coalesce("text", F.lit("")))
+    texts = df.join(F.broadcast(chosen), "doc_id").withColumn("size", size).filter(F.col("size") <= most // SHARE) \
+        .withColumn("print", F.xxhash64("text"))  # 2 * per_class short rows are broadcast
+    short = texts.select("doc_id", "label", "print", "size").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "print").limit(2 * per_class)
+    so_far = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "print", "label"))
+    taken = short.withColumn("so_far", so_far).filter(F.col("so_far") <= most).select("doc_id", "label", "print")
+    rows = texts.join(F.broadcast(taken), ["doc_id", "label", "print"], "left_semi") \
+        .groupBy("doc_id", "label", "print").agg(F.min("text").alias("text")).collect()  # bounded by ``most``
+    ordered = sorted(((r.doc_id, r.print, r.label, (r.text or "").encode()) for r in rows), key=lambda r: (r[1], str(r[0]), r[2]))
+    return [r[3] for r in ordered], [r[2] for r in ordered]
 
 
 def classify(
