@@ -4,16 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A lookup of a few short columns and this many rows stays in the tens of megabytes.
-BROADCAST_ROWS = 500_000
+# What is broadcast has at most so many rows and bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 
 
-def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count the rows, per task and then in sum, to see whether the frame may be broadcast."""
-    return small.count() <= max_rows
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row in a broadcast table: 16 for each column, and what its value holds beyond that."""
+    out = F.lit(16 * len(df.columns)).cast("long")
+    for field in df.schema.fields:
+        value = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            out = out + F.coalesce(F.octet_length(value), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            out = out + F.coalesce(F.octet_length(F.to_json(F.struct(value.alias("value")))), F.lit(0))
+    return out
+
+
+def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Count the rows and their bytes, per task and then in sum, to see whether the frame may be broadcast."""
+    size = small.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(small)).alias("bytes")).first()
+    return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
 
 def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, keep: bool = False) -> DataFrame:

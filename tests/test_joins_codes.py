@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from punctual.operators import codes, encode
+from punctual.operators import codes, encode, joins
 from punctual.operators.joins import lookup
 
 
@@ -65,3 +65,13 @@ def test_map_from_descriptions(spark, rows):
 def test_rows_of_duplicate_keys(spark, rows):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
     assert rows(codes.rows_of_duplicate_keys(df, ["k"])) == [(1, "a"), (1, "b")]
+
+
+def test_few_wide_rows_are_not_broadcast(spark):
+    """Size is rows and bytes: a few long texts don't fit where many short rows do."""
+    schema = "k int, t string, b binary, a array<string>, `odd``name` string"
+    short = spark.createDataFrame([(i, "x", b"y", ["z"], None) for i in range(100)], schema)
+    assert joins.fits_broadcast(short, max_bytes=12_000) and not joins.fits_broadcast(short, max_rows=99)
+    for wide in [(1, "x" * 20_000, None, None, None), (1, None, b"y" * 20_000, None, None), (1, None, None, ["z" * 50] * 400, None), (1, None, None, None, "o" * 20_000)]:
+        assert not joins.fits_broadcast(spark.createDataFrame([wide], schema), max_bytes=12_000)
+    assert joins.fits_broadcast(spark.createDataFrame([], schema), max_bytes=0)
