@@ -36,8 +36,9 @@ def _months(spark, sf_dir):
 
 @query("rank_in_stratum", "W1 W2", f"with {_MONTHS} select {LINE_KEY_SQL}, month, cast(rn as integer) as rn, n from ranked")
 def _(spark, sf_dir):
-    df = _months(spark, sf_dir)
-    ranked = keys.rank_in_stratum(df, ["month"], [keys.stable_hash(*LINE_KEY), *LINE_KEY], "rn", "n")
+    # The hash is a column: as an expression of the order every comparison of two rows would make it again.
+    df = _months(spark, sf_dir).withColumn("_hash", keys.stable_hash(*LINE_KEY))
+    ranked = keys.rank_in_stratum(df, ["month"], ["_hash", *LINE_KEY], "rn", "n").drop("_hash")
     return ranked.withColumn("rn", F.col("rn").cast("int"))
 
 
