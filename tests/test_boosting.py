@@ -125,3 +125,26 @@ def test_features_may_differ_and_flat_ones_never_split(frame):
 def test_empty_frames(frame):
     grown = boosting.grow(frame.limit(0), {0: FEATURES}, "y", [boosting.Setting()], 2)
     assert grown.clusters == [] and grown.trees == {}
+
+
+def test_fits_are_the_librarys(frame):
+    from pyspark.ml.regression import GBTRegressor
+
+    models = regress.fit_per_cluster(frame, FEATURES, "y", "boosting", maxIter=4)
+    for c, model in models.items():
+        rows = regress.cluster_rows(frame, "cluster", c, [*FEATURES, "y"])
+        theirs = regress.model_pipeline(FEATURES, GBTRegressor(featuresCol="features", labelCol="y", **{**regress.BOOSTING, "maxIter": 4})).fit(rows)
+        told = [np.array([r["prediction"] for r in m.transform(rows).orderBy(*FEATURES, "y").collect()]) for m in (model, theirs)]
+        assert told[0] == pytest.approx(told[1], rel=1e-9)
+        assert model.featureImportances.toArray() == pytest.approx(theirs.stages[-1].featureImportances.toArray(), abs=1e-4)  # equal splits by two features may differ
+
+
+def test_tasks_follow_the_cores(frame, monkeypatch):
+    # Every task sends the sums of its models, so their number must not follow the rows.
+    monkeypatch.setattr(boosting, "TASK_ROWS", 1)
+    counts = []
+    spread = boosting._spread
+    monkeypatch.setattr(boosting, "_spread", lambda packed, tasks: counts.append(tasks) or spread(packed, tasks))
+    grown = boosting.grow(frame, {c: FEATURES for c in range(3)}, "y", [boosting.Setting(2, 1, 0.1)], 2)
+    assert len(grown.trees[0, 0]) == 2
+    assert counts == [2 * frame.sparkSession.sparkContext.defaultParallelism]
