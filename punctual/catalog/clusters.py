@@ -8,6 +8,7 @@ from punctual.catalog.features import PERIOD_SQL
 from punctual.catalog.frames import MOVEMENTS, movements
 from punctual.functions import day_period
 from punctual.operators import cluster, embedding, encode, kmeans
+from punctual.staging import stage
 
 # Exact profiles take the line number as label; places come from the movements.
 _NUMBERS = ["DEPARTURE_DELAY", "DISTANCE", "AIR_TIME"]
@@ -237,6 +238,7 @@ def _(spark, sf_dir):
 
 @query("w2v_embed", "N11 N7 N8 N10")
 def _(spark, sf_dir):
-    documents = _tokens(spark, sf_dir)
+    # Written: the vocabulary, the training and the result each read the documents.
+    documents = stage(_tokens(spark, sf_dir), "documents")
     embedded = cluster.fit_word2vec(documents, maxIter=1).transform(documents.distinct())
     return embedded.select("category_doc", vector_to_array("category_vec").alias("vector"))
