@@ -42,6 +42,8 @@ COUNT_CHUNK = 2_000_000
 RANKS_PER_DOUBLING = 8
 LEADERS, LIKELY, BEST = 24, 6, 3
 SKETCH_BITS = 2048
+#: Smallest tokens of a set in lists of several components, by which a pair met in several lists is told once.
+EARLY = 16
 
 
 def shingle_set(text: bytes, hashes: WordHashes, words: int = WORDS) -> np.ndarray:
@@ -305,26 +307,33 @@ class _Join:
 
     def _across(self, lists: DataFrame, first: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
         """Pairs of a list that are in different components and aren't ruled out by their distances to a common leader."""
+        return self._listed_pairs(lists, first, labels, classes).distinct()
+
+    def _listed_pairs(self, lists: DataFrame, first: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+        """These pairs as the lists give them: a pair comes from its first common token, and from later ones only where ``EARLY`` tokens don't tell."""
         p = self.percent
-        # A quarter of the sketch's width is enough here: parities of four slots together are a sketch too.
-        quarter = SKETCH_BITS // 256
-        folded = F.transform(F.sequence(F.lit(0), F.lit(quarter - 1)), lambda i: F.get("sketch", i).bitwiseXOR(
-            F.get("sketch", i + quarter)).bitwiseXOR(F.get("sketch", i + 2 * quarter)).bitwiseXOR(F.get("sketch", i + 3 * quarter)))
-        # What is known of a set (its label, its sketch, its distances to at most ``BEST`` leaders) meets its entries in one join.
+        known = stage(
+            lists.select("token", "digest", "size", "place", "leader").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
+            .select("token", "digest", F.col("size").cast("long").alias("size"), F.col("place").cast("long").alias("place"), "leader",
+                    F.coalesce("label", "digest").alias("label")), "set-known")
+        per_label = known.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
+        mixed = per_label.groupBy("token").agg(F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("labels")) \
+            .filter("labels > 1").select("token", F.col("most.label").alias("most"))
+        listed = stage(known.join(mixed, "token"), "set-mixed")
+        # Half of the sketch's width is enough here: parities of two slots together are a sketch too.
+        half = SKETCH_BITS // 128
+        folded = F.transform(F.sequence(F.lit(0), F.lit(half - 1)), lambda i: F.get("sketch", i).bitwiseXOR(F.get("sketch", i + half)))
+        # What is known of a set (its sketch, its first tokens, its distances to at most ``BEST`` leaders) meets its entries in one join.
         distances = first.groupBy(F.col("b").alias("digest")).agg(
             F.collect_list(F.struct(F.col("a").alias("leader"), (F.col("n_a") + F.col("n_b") - 2 * F.col("common")).alias("far"))).alias("far"))
-        of_set = classes.select("digest", folded.alias("sketch")).join(labels.withColumnRenamed("node", "digest"), "digest", "left").join(
-            distances, "digest", "left").select("digest", "sketch", F.coalesce("label", "digest").alias("label"), "far")
+        early = listed.groupBy("digest").agg(F.slice(F.array_sort(
+            F.collect_list(F.struct("token", (F.col("size") - F.col("place")).alias("room")))), 1, EARLY).alias("early"))
+        of_set = early.join(classes.select("digest", folded.alias("sketch")), "digest").join(distances, "digest", "left")
         to_leader = F.filter("far", lambda d: d.leader == F.col("leader"))
-        known = lists.select("token", "digest", "size", "place", "leader").join(of_set, "digest").select(
-            "token", "digest", F.col("size").cast("long").alias("size"), F.col("place").cast("long").alias("place"), "leader", "label", "sketch",
+        entries = listed.join(of_set, "digest").select(
+            *listed.columns, "sketch", "early",
             F.when(F.col("leader") == F.col("digest"), F.lit(0).cast("long")).otherwise(F.get(to_leader, F.lit(0)).far).alias("far"),
         )
-        known = stage(known, "set-known")
-        per_label = known.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
-        mixed = per_label.groupBy("token").agg(F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("labels")) \
-            .filter("labels > 1").select("token", F.col("most.label").alias("most"))
-        entries = known.join(mixed, "token")
         few, all_ = entries.filter("label <> most").alias("x"), entries.alias("y")
         x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
         need = _needed(x("size"), y("size"), p)
@@ -332,10 +341,13 @@ class _Join:
         ruled_out = F.coalesce(
             (x("leader") == y("leader")) & (F.abs(x("far") - y("far")) > x("size") + y("size") - 2 * need), F.lit(False))
         low = _differing(x("sketch"), y("sketch"))
+        # The bound asks for the same of every token, so the least of those that meet it tells the pair; linked sets have one.
+        roomy = lambda c: F.transform(F.filter(c("early"), lambda e: (e.token < x("token")) & (e.room >= need)), lambda e: e.token)
+        told = F.arrays_overlap(roomy(x), roomy(y))
         once = (y("label") == y("most")) | (x("digest") < y("digest"))
-        pairs = few.join(all_, (x("token") == y("token")) & (x("label") != y("label")) & once & (bound >= need) & ~ruled_out
-                         & (low <= x("size") + y("size") - 2 * need))
-        return pairs.select(F.least(x("digest"), y("digest")).alias("a"), F.greatest(x("digest"), y("digest")).alias("b")).distinct()
+        fits = once & (bound >= need) & ~ruled_out & (low <= x("size") + y("size") - 2 * need)
+        pairs = few.join(all_, (x("token") == y("token")) & (x("label") != y("label")) & fits & ~told)
+        return pairs.select(F.least(x("digest"), y("digest")).alias("a"), F.greatest(x("digest"), y("digest")).alias("b"))
 
 
 def set_join(

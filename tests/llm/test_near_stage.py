@@ -1,8 +1,10 @@
 """The near-duplicate stage of the pipeline against brute force."""
 
+import random
 from itertools import combinations
 
 import corpus_pipeline
+from punctual.llm import jaccard_join
 
 
 def shingles(text, words=5):
@@ -25,3 +27,32 @@ def test_near_stage_takes_five_words_and_eighty_percent(spark):
     assert label[1] == 0 and label[3] == 3
     near = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
     assert sorted(r.doc_id for r in near(spark, df, "").collect()) == sorted(set(label.values()))
+
+
+def test_unlinked_relatives_are_told_once_by_their_lists(spark, monkeypatch):
+    # Sixty texts off one text, each with about one word in 80 changed: few link, but all share listed shingles.
+    random.seed(3)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(f"{n}x{i}" if random.random() < 0.013 else w for i, w in enumerate(words)) for n in range(60)]
+    sets = [shingles(t) for t in texts]
+    linked = {(i, j) for i, j in combinations(range(60), 2) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    label = list(range(60))
+    for _ in texts:
+        for i, j in linked:
+            label[i] = label[j] = min(label[i], label[j])
+    seen = []
+    rows_of = jaccard_join._Join._listed_pairs
+
+    def listed(*args):
+        out = rows_of(*args)
+        seen.append((out.count(), out.distinct().count()))
+        return out
+
+    monkeypatch.setattr(jaccard_join._Join, "_listed_pairs", listed)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = jaccard_join.near_components(jaccard_join.set_join(df, words=5, percent=80))
+    assert {r.doc_id: r.component_id for r in found.collect()} == dict(enumerate(label))
+    assert 1 < len(set(label)) < 60
+    (rows, pairs), = seen
+    # Lists of sixty sets hold 1770 pairs each; most are ruled out, and none comes from every list.
+    assert rows <= 1.2 * pairs + 5 and pairs < 400
