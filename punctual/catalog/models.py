@@ -194,7 +194,7 @@ def _(spark, sf_dir):
 
 @query("gbt_fit", "M6 M9 M11")
 def _(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, "boosting", _FEATURES)[1]
+    return _fit_and_score(spark, sf_dir, "boosting", _FEATURES, _frames(spark, sf_dir))[1]
 
 
 @query("forest_importances", "M5 L3")
@@ -206,7 +206,7 @@ def _(spark, sf_dir):
 
 @query("gbt_importances", "M6")
 def _(spark, sf_dir):
-    train = _written_frames(spark, sf_dir)["train"]
+    train = _frames(spark, sf_dir)["train"]
     models = regress.fit_per_cluster(train, _FEATURES, _LABEL, "boosting")
     return regress.importances(models, _FEATURES, train)
 

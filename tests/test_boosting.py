@@ -130,7 +130,7 @@ def test_empty_frames(frame):
 def test_fits_are_the_librarys(frame):
     from pyspark.ml.regression import GBTRegressor
 
-    models = regress.fit_per_cluster(frame, FEATURES, "y", "boosting", maxIter=4)
+    models = boosting.fit_boosted(frame, FEATURES, "y", maxIter=4)
     for c, model in models.items():
         rows = regress.cluster_rows(frame, "cluster", c, [*FEATURES, "y"])
         theirs = regress.model_pipeline(FEATURES, GBTRegressor(featuresCol="features", labelCol="y", **{**regress.BOOSTING, "maxIter": 4})).fit(rows)
