@@ -34,6 +34,10 @@ from punctual.staging import stage
 
 CHUNK_BYTES = 32 << 20
 TABLE_BYTES = 64 << 20
+#: Rows with their texts go out of a task in parts of this size.
+PART_BYTES = 4 << 20
+#: Texts that are made Python objects at a time.
+TEXT_ROWS = 256
 NUMBER_BITS = 36
 _SPACES = frozenset(b" \t\n\x0b\x0c\r")
 
@@ -47,6 +51,11 @@ def normalise(text: bytes) -> bytes:
     return (b" " if text[0] in _SPACES else b"") + body + (b" " if text[-1] in _SPACES else b"")
 
 
+def _texts(column: pa.Array) -> Iterator[bytes]:
+    for start in range(0, len(column), TEXT_ROWS):
+        yield from binaries(column.slice(start, TEXT_ROWS))
+
+
 class OpenTable:
     """Open addressing with linear probing; entries are numbered in the order in which they came."""
 
@@ -90,16 +99,18 @@ def _before(a: tuple, b: tuple) -> bool:
 
 def _combine(chunk_bytes: int, kind: T.DataType):
     id_type = to_arrow_type(kind)
+    names = ["rep", "number", "id", "hash", "size", "sha", "first", "row"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << NUMBER_BITS
         for chunk in chunks(batches, chunk_bytes):
-            table, ids, texts = OpenTable(), chunk.column(0).to_pylist(), binaries(chunk.column(1))
+            row = chunk.column(1)
+            table, ids = OpenTable(), chunk.column(0).to_pylist()
             best: list[int] = []
             size: list[int] = []
             digests: list[bytes] = []
             entries = []
-            for i, text in enumerate(texts):
+            for i, text in enumerate(_texts(row.field("text"))):
                 text = normalise(text)
                 digest = hashlib.sha256(text).digest()
                 h = int.from_bytes(digest[:8], "big")
@@ -113,20 +124,24 @@ def _combine(chunk_bytes: int, kind: T.DataType):
                     best[entry] = i
                 size[entry] += 1
                 entries.append(entry)
+            del table  # what goes out is taken from the rows
             n, m = len(ids), len(best)
             first = [best[e] == i for i, e in enumerate(entries)]
-            kinds = pa.array([False] * n + [True] * m)
-            numbers = pa.array([number + e for e in entries] + [number + e for e in range(m)], pa.int64())
-            both_ids = pa.array(ids + [ids[i] for i in best], id_type)
-            hashes = pa.array([None] * n + [int.from_bytes(d[:8], "big", signed=True) for d in digests], pa.int64())
-            sizes = pa.array([None] * n + size, pa.int64())
-            shas = pa.array([digests[e].hex() for e in entries] + [None] * m, pa.string())
-            row = chunk.column(2)
-            rows = pa.concat_arrays([pa.nulls(n, row.type), row.take(pa.array(best, pa.int64()))])
             yield pa.RecordBatch.from_arrays(
-                [kinds, numbers, both_ids, hashes, sizes, shas, pa.array(first + [None] * m, pa.bool_()),
-                 rows], names=["rep", "number", "id", "hash", "size", "sha", "first", "row"],
+                [pa.array([False] * n), pa.array([number + e for e in entries], pa.int64()), chunk.column(0), pa.nulls(n, pa.int64()),
+                 pa.nulls(n, pa.int64()), pa.array([digests[e].hex() for e in entries], pa.string()), pa.array(first, pa.bool_()),
+                 pa.nulls(n, row.type)], names=names,
             )
+            step = max(1, m * PART_BYTES // max(1, chunk.nbytes))
+            for a in range(0, m, step):
+                at = best[a:a + step]
+                k = len(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([True] * k), pa.array(range(number + a, number + a + k), pa.int64()), pa.array([ids[i] for i in at], id_type),
+                     pa.array([int.from_bytes(d[:8], "big", signed=True) for d in digests[a:a + k]], pa.int64()),
+                     pa.array(size[a:a + k], pa.int64()), pa.nulls(k, pa.string()), pa.nulls(k, pa.bool_()),
+                     row.take(pa.array(at, pa.int64()))], names=names,
+                )
             number += m
 
     return run
@@ -155,7 +170,7 @@ def _resolve(table_bytes: int, schema: pa.Schema, with_rows: bool):
             none = [None] * len(places)
             return out(kind, took.column(0), none, none, none, took)
 
-        for batch in chunks(batches, CHUNK_BYTES):
+        for batch in chunks(batches, PART_BYTES):
             spill, stays = [], []
             number, ids, hashes, sizes = (batch.column(i).to_pylist() for i in range(4))
             for i, text in enumerate(binaries(batch.column(4))):
@@ -211,8 +226,8 @@ def exact_dedup(
     text = F.col(f"`{text_column}`").cast("string")
     others = [c for c in df.columns if c != text_column] if with_rows else []
     rest = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(others)])
-    # A null text is told from an empty one by the text itself, which goes along as it is.
-    given = df.select(F.col(f"`{id_column}`").alias("id"), text.alias("text"), F.struct(text.alias("text"), rest.alias("rest")).alias("row"))
+    # A null text is told from an empty one by the text itself, which goes along as it is, and once: batches of texts fill a task's memory.
+    given = df.select(F.col(f"`{id_column}`").alias("id"), F.struct(text.alias("text"), rest.alias("rest")).alias("row"))
     out = T.StructType([
         T.StructField("rep", T.BooleanType()), T.StructField("number", T.LongType()), T.StructField("id", kind),
         T.StructField("hash", T.LongType()), T.StructField("size", T.LongType()), T.StructField("sha", T.StringType()),

@@ -33,7 +33,8 @@ DROPOUT = 0.1
 SEED = 7
 #: Documents are dealt over so many keys; the same word is segmented alike under one key.
 VARIANTS = 8
-CACHE_WORDS = 800_000
+#: Words that a worker keeps, about 250 bytes each. Workers outlive their tasks, so later stages of a pipeline run beside them.
+CACHE_WORDS = 200_000
 CHUNK_BYTES = 4 << 20
 #: Words up to these lengths share an array, ``BLOCK_WORDS`` at a time.
 WIDTHS = (6, 9, 12, 16, 24, 48)
