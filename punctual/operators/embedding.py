@@ -1,6 +1,6 @@
 """Vectors of category tokens from their co-occurrences.
 
-How often two tokens stand within ``window`` places of each other is one aggregate over the distinct token lists. The counts, as positive
+How often two tokens stand within ``window`` places of each other is counted by each task over its token lists and summed. The counts, as positive
 pointwise mutual information, form a sparse symmetric matrix M with a row for each pair that occurs. Its leading eigenvectors come from a
 randomised projection: M times a few random columns, orthonormalised, and M again, each product a join and an aggregate. The random
 numbers are hashes of the tokens, so neither the number of partitions nor their order changes a vector beyond rounding.
@@ -11,9 +11,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,25 +26,73 @@ from punctual.staging import stage
 
 #: Random columns beyond the wanted ones, and products with M before the last.
 MORE_COLUMNS, PRODUCTS = 10, 3
-#: Vectors up to this size go to every executor; beyond it token lists look theirs up.
-BROADCAST_BYTES = 32 << 20
+#: Vectors up to this size go to every Python worker, as one matrix; beyond it token lists look theirs up.
+BROADCAST_BYTES = 128 << 20
 ZERO = 1e-12
+#: Different pairs that a task holds before it sends their counts, and the rows of a batch of these.
+HELD_PAIRS, SENT_PAIRS = 1 << 20, 1 << 16
 
 
-def token_counts(df: DataFrame, tokens: str = "tokens", min_count: int = 5) -> DataFrame:
-    """``word``, ``n`` of the tokens that occur ``min_count`` times or more."""
-    words = df.select(F.explode(tokens).alias("word")).filter(F.col("word").isNotNull())
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
+def _counted(window: int):
+    """Token lists -> ``word``, ``context``, ``n``: how often the context stands at most ``window`` places after the word; a word's own number has no context."""
+
+    def sent(held: list[tuple[np.ndarray, np.ndarray]], places: dict[str, int]) -> Iterator[pa.RecordBatch]:
+        words, (pairs, n) = pa.array(places, pa.string()), _merged(held)
+        for start in range(0, len(pairs), SENT_PAIRS):
+            part = pairs[start:start + SENT_PAIRS]
+            context = part & 0xFFFFFFFF
+            yield pa.RecordBatch.from_arrays(
+                [words.take(pa.array(part >> 32)), words.take(pa.array(context - 1, mask=context == 0)), pa.array(n[start:start + SENT_PAIRS])],
+                names=["word", "context", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places: dict[str, int] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            code, lengths, words = _codes(batch.column(0))
+            code = np.array([places.setdefault(w, len(places)) for w in words] + [-1], np.int64)[code]
+            of = np.repeat(np.arange(len(lengths)), lengths)
+            pairs = [code[code >= 0] << 32]
+            for apart in range(1, min(window, int(lengths.max(initial=0)) - 1) + 1):
+                word, context = code[:-apart], code[apart:]
+                there = (of[apart:] == of[:-apart]) & (word >= 0) & (context >= 0)
+                pairs.append(word[there] << 32 | context[there] + 1)
+            held.append(np.unique(np.concatenate(pairs), return_counts=True))
+            if sum(len(p) for p, _ in held) > HELD_PAIRS:
+                held = [_merged(held)]
+                if 2 * len(held[0][0]) > HELD_PAIRS:
+                    yield from sent(held, places)
+                    held, places = [], {}
+        if held:
+            yield from sent(held, places)
+
+    return run
+
+
+def _codes(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The place of each token among the words, -1 for null; the length of each list, 0 for null; the words."""
+    flat = lists.flatten().dictionary_encode()
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return pc.fill_null(flat.indices, -1).to_numpy(zero_copy_only=False), lengths, flat.dictionary.to_pylist()
+
+
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    pairs, at = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
+    n = np.zeros(len(pairs), np.int64)
+    np.add.at(n, at, np.concatenate([n for _, n in held]))
+    return pairs, n
 
 
 def cooccurrences(df: DataFrame, tokens: str = "tokens", window: int = 7, min_count: int = 5) -> DataFrame:
-    """``word``, ``context``, ``n``: how often the two stand at most ``window`` places apart, both ways round. Rare tokens keep their place but have no row."""
-    lists = df.filter(F.size(tokens) > 1).groupBy(F.col(tokens).alias("t")).agg(F.count(F.lit(1)).alias("copies"))
-    first = lists.select("t", "copies", F.posexplode("t").alias("i", "word"))
-    later = first.select("copies", "word", F.explode(F.slice("t", F.col("i") + 2, F.lit(window))).alias("context"))
-    counted = later.groupBy("word", "context").agg(F.sum("copies").alias("n"))
-    both = counted.unionByName(counted.select(F.col("context").alias("word"), F.col("word").alias("context"), "n"))
-    known = token_counts(df, tokens, min_count).select("word")
+    """``word``, ``context``, ``n``: how often the two stand at most ``window`` places apart, both ways round. Rare tokens keep their place but have no row.
+
+    The lists are read once. A task counts the pairs of its lists and sends the sums, so neither lists nor single pairs are shuffled.
+    """
+    found = df.select(F.col(tokens).cast("array<string>").alias("t")).mapInArrow(_counted(window), "word string, context string, n long")
+    counted = stage(found.groupBy("word", "context").agg(F.sum("n").alias("n")), "token-pairs")
+    first = counted.filter(F.col("context").isNotNull())
+    both = first.unionByName(first.select(F.col("context").alias("word"), F.col("word").alias("context"), "n"))
+    known = counted.filter(F.col("context").isNull() & (F.col("n") >= min_count)).select("word")
     return (
         both.groupBy("word", "context").agg(F.sum("n").alias("n")).join(known, "word", "left_semi")
         .join(known.withColumnRenamed("word", "context"), "context", "left_semi").select("word", "context", "n")
@@ -151,16 +202,30 @@ class WordVectors:
         joined = df.join(sums, df[self.tokens].eqNullSafe(sums["_t"]), "left")
         return joined.select(*[df[c] for c in df.columns], array_to_vector(mean).alias(self.out))
 
+    @cached_property
+    def _known(self) -> Broadcast:
+        """The place of each word and the vectors by place, with zeros at the end."""
+        found = self.vectors.select("word", "vector").toArrow()
+        values = [c.flatten().to_numpy(zero_copy_only=False) for c in found.column("vector").chunks]
+        vectors = np.concatenate([*values, np.zeros(self.dims)]).reshape(-1, self.dims)
+        places = {w: i for i, w in enumerate(found.column("word").to_pylist())}
+        return self.vectors.sparkSession.sparkContext.broadcast((places, vectors))
+
     def _told(self):
-        dims, table = self.dims, {r["word"]: np.array(r["vector"]) for r in self.vectors.collect()}
+        dims, known = self.dims, self._known
 
         @F.arrow_udf("array<double>")
         def told(lists: pa.Array) -> pa.Array:
-            rows = []
-            for tokens in lists.to_pylist():
-                known = [table[t] for t in tokens or () if t in table]
-                rows.append((np.sum(known, axis=0) / len(tokens)).tolist() if known else [0.0] * dims)
-            return pa.array(rows, pa.list_(pa.float64()))
+            places, vectors = known.value
+            code, lengths, words = _codes(lists)
+            code = np.array([places.get(w, -1) for w in words] + [-1], np.int64)[code]
+            start = np.cumsum(lengths) - lengths
+            sums = np.zeros((len(lists), dims))
+            for i in range(int(lengths.max(initial=0))):
+                there = np.flatnonzero(lengths > i)
+                sums[there] += vectors[code[start[there] + i]]
+            mean = sums / np.maximum(lengths, 1)[:, None]
+            return pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * dims), pa.array(mean.ravel()))
 
         return told
 
