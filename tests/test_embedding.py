@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -41,6 +42,37 @@ def test_counts(frame, lists):
     assert got == dict(plain(lists))
 
 
+def test_lists_are_read_once_and_counted_in_parts(spark, frame, lists, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    more = [[None, "x", None, "x"], None, [None]]
+    df = frame.union(spark.createDataFrame([(t,) for t in more] * 5, "tokens array<string>")).mapInArrow(told, "tokens array<string>")
+    want = dict(plain([t for t in lists + more * 5 if t]))
+    want = {pair: n for pair, n in want.items() if None not in pair}
+    assert {(r["word"], r["context"]): r["n"] for r in embedding.cooccurrences(df).collect()} == want
+    assert read.value == len(lists) + 15
+    monkeypatch.setattr(embedding, "HELD_PAIRS", 50)
+    monkeypatch.setattr(embedding, "SENT_PAIRS", 7)
+    rows = pa.array([*lists, *more * 5], pa.list_(pa.string()))
+    batches = [pa.RecordBatch.from_arrays([rows.slice(i, 40)], names=["t"]) for i in range(0, len(rows), 40)]
+    found = Counter()
+    for batch in embedding._counted(7)(iter(batches)):
+        assert batch.num_rows <= 7
+        for r in batch.to_pylist():
+            found[r["word"], r["context"]] += r["n"]
+    both = Counter()
+    for (a, b), n in found.items():
+        if b is not None:
+            both[a, b] += n
+            both[b, a] += n
+    assert {k: n for k, n in both.items() if min(found[w, None] for w in k) >= 5} == want
+
+
 def test_vectors_are_the_leading_eigenvectors(frame, lists):
     counts = plain(lists)
     words = sorted({a for a, _ in counts})
