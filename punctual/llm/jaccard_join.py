@@ -5,7 +5,8 @@ never meet each other. Classes are joined by prefix filtering: in an order of sh
 last, two sets that link share one of their first ``n - ceil(t n) + 1`` shingles.
 
 Skips in the lists. The entries of a list are sorted by set size and cut into blocks whose sizes can still link with
-the first entry, the leader; position and size bound the overlap, and entries beyond the bound are skipped.
+the first entry, the leader; position and size bound the overlap, and entries beyond the bound are skipped. Most sets of a short
+list share that shingle by chance; an entry that no other set of its list could link with is left out before anything is looked up for it.
 
 Derived answers. Members of a block are compared with its first ``LEADERS`` sets only: by sketches with the ``LIKELY`` of them
 that share most listed shingles, and by full sets with the ``BEST`` of these. That gives links, and a distance (size of the symmetric difference) from a member to its leader. Members linked with
@@ -41,6 +42,8 @@ CHUNK_BYTES = 8 << 20
 COUNT_CHUNK = 2_000_000
 RANKS_PER_DOUBLING = 8
 LEADERS, LIKELY, BEST = 24, 6, 3
+#: Rows behind an entry of a list with which it is compared before it is kept.
+NEIGHBOURS = 8
 SKETCH_BITS = 2048
 #: Smallest tokens of a set in lists of several components, by which a pair met in several lists is told once.
 EARLY = 16
@@ -128,90 +131,107 @@ def shingle_ranks(df: DataFrame, text: str, words: int, bits: int) -> np.ndarray
     return dense_bytes(slots, bits)
 
 
-def _digests(words: int, percent: int, ranks, bits: int, postings: bool):
-    """Digest and size of each row's set; with ``postings`` its prefix, once per distinct set of a chunk."""
+def _sets(words: int, percent: int, ranks, bits: int):
+    """Digest, size and sketch of each row's set; its prefix too, once per distinct set of a chunk."""
+    width = SKETCH_BITS // 64
+
+    def lists(parts: list[np.ndarray | None]) -> pa.Array:
+        ends = np.cumsum([0, *(0 if x is None else len(x) for x in parts)], dtype=np.int32)
+        offsets = pa.array(ends, mask=np.array([*(x is None for x in parts), False]))
+        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int64), *(x for x in parts if x is not None)])))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for chunk in chunks(batches, CHUNK_BYTES):
-            seen, digests, sizes, sketches = set(), [], [], []
-            tokens, owners, lengths, places = [], [], [], []
-            for text in binaries(chunk.column(0 if postings else 1)):
+            seen, digests, sizes, sketches, prefixes = set(), [], [], [], []
+            for text in binaries(chunk.column(1)):
                 s = shingle_set(text, hashes, words)
                 digest = xxhash.xxh3_128_digest(s.tobytes())
                 digests.append(digest)
                 sizes.append(len(s))
-                if not postings:
-                    sketches.append(sketch(s))
-                if postings and len(s) and digest not in seen:
+                sketches.append(sketch(s))
+                if len(s) and digest not in seen:
                     seen.add(digest)
-                    length = prefix_length(len(s), percent)
-                    order = np.lexsort((s, ranks.value[_slot(s, bits)]))[:length]
-                    tokens.append(s[order].view(np.int64))
-                    owners.extend([digest] * length)
-                    lengths.append(np.full(length, len(s), np.int32))
-                    places.append(np.arange(length, dtype=np.int32))
-            if not postings:
-                width = SKETCH_BITS // 64
-                packed = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(sketches) + 1, dtype=np.int32) * width), pa.array(np.concatenate(sketches) if sketches else [], pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [chunk.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), packed], names=["id", "digest", "n", "sketch"])
-            elif tokens:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(tokens)), pa.array(owners, pa.binary()), pa.array(np.concatenate(lengths)),
-                     pa.array(np.concatenate(places))], names=["token", "digest", "size", "place"])
+                    order = np.lexsort((s, ranks.value[_slot(s, bits)]))[:prefix_length(len(s), percent)]
+                    prefixes.append(s[order].view(np.int64))
+                else:
+                    prefixes.append(None)
+            packed = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(sketches) + 1, dtype=np.int32) * width), pa.array(np.concatenate(sketches) if sketches else [], pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [chunk.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), packed, lists(prefixes)],
+                names=["id", "digest", "n", "sketch", "prefix"])
 
     return run
 
 
+def _partners(token: np.ndarray, size: np.ndarray, room: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows in order of token and size: whether a set has another in its list that could link by size; by size and place.
+
+    Sizes rise in a list, so a set that can't link with its neighbour can't link beyond it. Places are compared up to
+    ``NEIGHBOURS`` rows away; where sizes could link at that distance, places are left out.
+    """
+    by_size, by_place = np.zeros(len(token), bool), np.zeros(len(token), bool)
+    for k in range(1, min(NEIGHBOURS, len(token) - 1) + 1):
+        a, b = size[:-k], size[k:]
+        fits = (token[k:] == token[:-k]) & (percent * b <= 100 * a)
+        if k == 1:
+            by_size[:-1] |= fits
+            by_size[1:] |= fits
+        if k < NEIGHBOURS:
+            fits &= np.minimum(room[:-k], room[k:]) >= needed(a, b, percent)
+        by_place[:-k] |= fits
+        by_place[k:] |= fits
+    return by_size, by_place
+
+
 def _lists(percent: int):
-    """Sorted postings -> entries of lists with two or more sets, each with the leaders of its block which the bound lets through."""
+    """Sorted postings -> entries that another set of their list could link with, each with the leaders of its block which the bound lets through."""
     emit = _Emitter(["token", "digest", "size", "place", "leader", "leaders"],
                     [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, held = None, None  # the last row's token and digest; the last row, until the next one is known
+        held, before = None, np.zeros((2, 0), bool)  # the last rows, until those behind them are known; what is known of them
         leader: tuple = (None, [])  # token and leaders of the block
         for batch in batches:
+            if not batch.num_rows:
+                continue
             if held is not None:
                 batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            held = batch.slice(batch.num_rows - 1, 1)
-            rows, leader, before = _entries(batch, batch.num_rows - 1, before, leader, percent)
-            if rows:
-                yield emit(*zip(*rows))
+            token, size, place = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 2, 3))
+            digest = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(-1, 2)
+            # The same set from another chunk stands beside itself.
+            rows = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (digest[1:] != digest[:-1]).any(1)])
+            known = np.stack(_partners(token[rows], size[rows], (size - place)[rows], percent))
+            known[:, :before.shape[1]] |= before
+            n = max(0, len(rows) - NEIGHBOURS)
+            held, before = batch.take(pa.array(rows[n:])), known[:, n:]
+            entries, leader = _entries(batch, rows[:n], known[:, :n], leader, percent)
+            if entries:
+                yield emit(*zip(*entries))
         if held is not None:
-            rows, _, _ = _entries(held, 1, before, leader, percent)
-            if rows:
-                yield emit(*zip(*rows))
+            entries, _ = _entries(held, np.arange(held.num_rows), before, leader, percent)
+            if entries:
+                yield emit(*zip(*entries))
 
     return run
 
 
-def _entries(batch: pa.RecordBatch, n: int, before, leader, percent: int):
-    """Entries of the first ``n`` rows. ``before``: token of the row ahead of them."""
-    token = batch.column(0).to_numpy(zero_copy_only=False)
-    if not len(token):
-        return [], leader, before
-    same = token[1:] == token[:-1]
-    first = before is not None and token[0] == before
-    listed = np.r_[same, False] | np.r_[first, same]
-    picked = np.flatnonzero(listed[:n])
-    rows = []
-    take = batch.take(pa.array(picked))
-    for t, digest, size, place in zip(*(c.to_pylist() for c in take.columns)):
+def _entries(batch: pa.RecordBatch, rows: np.ndarray, known: np.ndarray, leader, percent: int):
+    """Rows with a partner by size make up blocks and their leaders; those with a partner by place too are entries."""
+    by_size, by_place = known
+    entries, take = [], batch.take(pa.array(rows[by_size]))
+    for t, digest, size, place, wanted in zip(*(c.to_pylist() for c in take.columns), by_place[by_size].tolist()):
         heads = leader[1] if t == leader[0] else []
         if heads and percent * size > 100 * heads[0][1]:
             heads = []
-        if not heads:
-            leader = (t, heads)
-        elif leader[2] == digest:
-            continue  # the same set from another chunk
-        near = [h for h, s, at in heads if 1 + min(s - at - 1, size - place - 1) >= needed(s, size, percent)]
+        near = [h for h, s, at in heads if 1 + min(s - at - 1, size - place - 1) >= needed(s, size, percent)] if wanted else []
         if len(heads) < LEADERS:
             heads.append((digest, size, place))
-        rows.append((t, digest, size, place, heads[0][0], near))
-        leader = (t, heads, digest)
-    return rows, leader, (int(token[n - 1]) if n else before)
+        if wanted:
+            entries.append((t, digest, size, place, heads[0][0], near))
+        leader = (t, heads)
+    return entries, leader
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,13 +298,14 @@ class _Join:
         p = self.percent
         ranks = self.sc.broadcast(shingle_ranks(self.docs, "text", self.words, self.bits))
         kind = self.docs.schema["id"].dataType.simpleString()
-        rows = stage(
+        made = stage(
             self.docs.select("id", "text").mapInArrow(
-                _digests(self.words, p, ranks, self.bits, False), f"id {kind}, digest binary, n long, sketch array<long>"), "set-rows")
-        classes = stage(rows.filter("n > 0").groupBy("digest").agg(
+                _sets(self.words, p, ranks, self.bits), f"id {kind}, digest binary, n long, sketch array<long>, prefix array<long>"), "set-rows")
+        rows = made.select("id", "digest", "n")
+        classes = stage(made.filter("n > 0").groupBy("digest").agg(
             F.first("n").alias("n"), F.min("id").alias("class_id"), F.first("sketch").alias("sketch")), "set-classes")
-        postings = self.docs.select("text").mapInArrow(
-            _digests(self.words, p, ranks, self.bits, True), "token long, digest binary, size int, place int")
+        postings = made.filter(F.col("prefix").isNotNull()).select(
+            F.posexplode("prefix").alias("place", "token"), "digest", F.col("n").cast("int").alias("size")).select("token", "digest", "size", "place")
         lists = stage(
             postings.repartition("token").sortWithinPartitions("token", "size", "digest")
             .mapInArrow(_lists(p), "token long, digest binary, size int, place int, leader binary, leaders array<binary>"), "set-lists",

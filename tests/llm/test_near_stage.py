@@ -3,6 +3,8 @@
 import random
 from itertools import combinations
 
+import pyarrow as pa
+
 import corpus_pipeline
 from punctual.llm import jaccard_join
 
@@ -56,3 +58,29 @@ def test_unlinked_relatives_are_told_by_few_of_their_lists(spark, monkeypatch):
     (rows, pairs), = seen
     # Lists of sixty sets hold 1770 pairs each; most are ruled out, and a pair comes from few of its lists.
     assert rows <= 16 * pairs and pairs < 400
+
+
+def test_lists_keep_only_entries_with_a_partner():
+    random.seed(5)
+    rows = []
+    for token in range(60):
+        for _ in range(random.choice([1, 2, 3, 5, 30])):
+            size = random.choice([20, 21, 22, 40, 43, 100, 104, 110, 300])
+            place, digest = random.randrange(jaccard_join.prefix_length(size, 90)), random.randbytes(16)
+            rows += [(token, digest, size, place)] * random.choice([1, 1, 2])  # the same set from two chunks
+    rows.sort(key=lambda r: (r[0], r[2], r[1]))
+    lists, rows_of = {}, {}
+    for r in rows:
+        lists.setdefault(r[0], set()).add(r)
+    fits = lambda a, b: min(a[2] - a[3], b[2] - b[3]) >= jaccard_join.needed(a[2], b[2], 90)
+    wanted = {a for of_token in lists.values() for a in of_token if any(a != b and fits(a, b) for b in of_token)}
+    table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.binary(), pa.int32(), pa.int32()])], names=["token", "digest", "size", "place"])
+    for step in (1, 3, 7, len(rows)):
+        found = [r for b in jaccard_join._lists(90)(iter(table.to_batches(max_chunksize=step))) for r in b.to_pylist()]
+        rows_of[step] = [(r["token"], r["digest"], r["size"], r["place"]) for r in found]
+        kept = set(rows_of[step])
+        assert len(kept) == len(found) and wanted <= kept
+        # Long lists may keep more: beyond the rows that are compared, an entry stays for its size alone.
+        assert {r for r in kept if len(lists[r[0]]) <= 5} == {r for r in wanted if len(lists[r[0]]) <= 5}
+        assert all(not any(h == r["digest"] for h in r["leaders"]) for r in found)
+    assert all(x == rows_of[1] for x in rows_of.values())
