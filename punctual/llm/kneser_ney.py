@@ -31,10 +31,12 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm.common import WordHashes, binaries, chunks, lower_words
+from punctual.llm.common import chunks
 from punctual.staging import delete_tables, scratch_tables, stage, stage_path
 
 CHUNK_BYTES = 8 << 20
@@ -63,20 +65,26 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return place.path
 
 
-def tokens(texts: list[bytes], hashes: WordHashes, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """63-bit hashes of the words of all texts, each text closed by the end; and where each text starts."""
-    out, starts, at = [], [], 0
-    for text in texts:
-        h = hashes.of(lower_words(text)) >> np.uint64(1)
-        starts.append(at)
-        at += len(h) + 1
-        out.append(h)
-        out.append(np.array([end], np.uint64))
-    return (np.concatenate(out).astype(np.int64) if out else np.empty(0, np.int64)), np.array(starts, np.int64)
-
-
-def end_hash() -> int:
-    return WordHashes()[END] >> 1
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of all texts as 63-bit hashes, the places there of all tokens, each text closed by the end, and where each text starts."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    flat, lengths = words.flatten(), words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    full = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0  # white space at an edge leaves an empty word
+    if not full.all():
+        lengths = np.bincount(np.repeat(np.arange(len(lengths)), lengths)[full], minlength=len(lengths))
+        flat = flat.filter(pa.array(full))
+    encoded = flat.dictionary_encode()
+    # Joined by what no word holds, words become Python's in one call.
+    n = len(encoded.dictionary)
+    joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array([0, n], pa.int64()), encoded.dictionary.cast(pa.large_binary())), pa.scalar(END, pa.large_binary()))
+    distinct = [*(joined[0].as_buffer().to_pybytes().split(END) if n else ()), END]
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct)) >> np.uint64(1)
+    starts = np.cumsum(lengths + 1) - lengths - 1
+    place = np.full(len(flat) + len(lengths), len(distinct) - 1, np.int64)
+    inner = np.ones(len(place), bool)
+    inner[starts + lengths] = False
+    place[inner] = encoded.indices.to_numpy(zero_copy_only=False)
+    return h.astype(np.int64), place, starts
 
 
 def discounts(counts: dict[int, int]) -> tuple[float, float, float]:
@@ -198,17 +206,23 @@ class Mapped:
             if a < b:
                 yield i, slice(a, b)
 
-    def pairs(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of pairs among all pairs, -1 for those not met in training, and their training counts."""
-        distinct, back = np.unique(keys, return_inverse=True)
-        place, count = np.full(len(distinct), -1, np.int64), np.zeros(len(distinct), np.int64)
+    def pairs(self, distinct: np.ndarray, counted: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Places of distinct pairs (rising) among all pairs, -1 for those not met in training, and their training counts if asked for."""
+        place, count = np.full(len(distinct), -1, np.int64), np.zeros(len(distinct) if counted else 0, np.int64)
         for i, part in self._asked(distinct, self.model.first_keys):
             path = f"{self.model.folder}/pairs-{self.model.shards[i]}"
             have = np.memmap(f"{path}.keys", np.int64, "r")
             at = np.minimum(np.searchsorted(have, distinct[part]), len(have) - 1)
             met = have[at] == distinct[part]
-            place[part], count[part] = np.where(met, at + self.model.places[i], -1), np.where(met, Counts(path).take(at), 0)
-        return place[back], count[back]
+            place[part] = np.where(met, at + self.model.places[i], -1)
+            if counted:
+                count[part] = np.where(met, Counts(path).take(at), 0)
+        return place, count
+
+    def pair_places(self, keys: np.ndarray) -> np.ndarray:
+        """Places of pairs in any order."""
+        distinct, back = np.unique(keys, return_inverse=True)
+        return self.pairs(distinct, False)[0][back]
 
     def _triples(self, i: int) -> tuple[str, int, np.ndarray]:
         """Path of a shard of triples, the place of its first pair, and where the triples of each pair start and end."""
@@ -235,10 +249,9 @@ class Mapped:
             out[part.start + inside[met]] = Counts(path).take(at[met])
         return out[back]
 
-    def left(self, places: np.ndarray) -> np.ndarray:
-        """What discounts take from the triples that begin with the pairs at these places; 0 at place -1."""
+    def left(self, distinct: np.ndarray) -> np.ndarray:
+        """What discounts take from the triples that begin with the pairs at these distinct places (rising)."""
         m = self.model
-        distinct, back = np.unique(places, return_inverse=True)
         out, d = np.zeros(len(distinct)), np.array([0.0, *m.d_triple])
         firsts = np.array(m.first_triples, np.int64) >> m.word_bits
         cuts = np.searchsorted(distinct, firsts), np.searchsorted(distinct, np.array(m.last_places, np.int64), side="right")
@@ -258,48 +271,46 @@ class Mapped:
             if len(many):
                 sums = _file(f"{path}.many", 4)
                 out[a + many] += d[1:] @ sums[1:][:, np.searchsorted(sums[0], at[many])]
-        return out[back]
+        return out
 
-    def before_pairs(self, places: np.ndarray) -> np.ndarray:
-        """Distinct words before pairs; 0 at place -1."""
-        distinct, back = np.unique(places, return_inverse=True)
-        out = np.zeros(len(distinct), np.int64)
-        met = distinct >= 0
-        out[met] = _before_counts(self.model.folder, distinct[met])
-        return out[back]
-
-    def log_scores(self, h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per token: log10 of the model's probability, of the base's, and whether it is known."""
+    def log_scores(self, w: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per token, given by its number: log10 of the model's probability, of the base's, and whether it is known."""
         m = self.model
-        w = self.numbers(h)
         known = w >= 0
         safe = np.where(known, w, 0)
-        count = np.where(known, self.counts[safe], 0) if m.words else np.zeros(len(h), np.int64)
+        count = np.where(known, self.counts[safe], 0) if m.words else np.zeros(len(w), np.int64)
         base = np.log10((count + 0.5) / (m.tokens + 0.5 * (m.words + 1)))
         if not m.pairs:
-            return np.full(len(h), -np.log10(m.words + 1)), base, known
+            return np.full(len(w), -np.log10(m.words + 1)), base, known
         a = np.where(known, self.continuations[safe], 0)
         lower = np.maximum(a - _discount(a, m.d_word), 0) / m.pairs + m.word_back / (m.words + 1)
         v = np.r_[-1, w[:-1]]
         v[starts] = m.words
         total = np.where(v >= 0, self.context[np.maximum(v, 0)], 0)
-        place, c = np.full(len(h), -1, np.int64), np.zeros(len(h), np.int64)
+        # What is known of a pair is looked up once per distinct pair; the last one stands for a token without a pair.
         asked = known & (total > 0)
-        place[asked], c[asked] = self.pairs((v[asked] << PAIR_BITS) | w[asked])
-        met = c
+        distinct, back = np.unique((v[asked] << PAIR_BITS) | w[asked], return_inverse=True)
+        pair = np.full(len(w), len(distinct), np.int64)
+        pair[asked] = back
+        places, counts = (np.r_[x, y] for x, y in zip(self.pairs(distinct), (-1, 0)))
+        place, met = places[pair], counts[pair]
+        c, found = met, np.flatnonzero(places >= 0)
         if m.order > 2:
-            c = np.where(v == m.words, met, self.before_pairs(place))
+            before = np.zeros(len(places), np.int64)
+            before[found] = _before_counts(m.folder, places[found])
+            c = np.where(v == m.words, met, before[pair])
         kept = np.maximum(c - _discount(c, m.d_pair), 0)
         p = np.where(total > 0, kept / np.maximum(total, 1) + np.where(total > 0, self.back[np.maximum(v, 0)], 1.0) * lower, lower)
         if m.order > 2:
             ahead, whole = np.r_[-1, place[:-1]], np.r_[0, met[:-1]]
             ahead[starts], whole[starts] = -1, 0
-            c = np.zeros(len(h), np.int64)
+            c = np.zeros(len(w), np.int64)
             asked = known & (ahead >= 0)
             c[asked] = self.triple_counts((ahead[asked] << m.word_bits) | w[asked])
-            left = self.left(ahead)
+            left = np.zeros(len(places))
+            left[found] = self.left(places[found])
             kept = np.maximum(c - _discount(c, m.d_triple), 0)
-            p = np.where(ahead >= 0, (kept + left * p) / np.maximum(whole, 1), p)
+            p = np.where(ahead >= 0, (kept + np.r_[0.0, left[pair[:-1]]] * p) / np.maximum(whole, 1), p)
         return np.log10(p), base, known
 
 
@@ -359,15 +370,19 @@ def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[byt
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, end, parts, held = WordHashes(), end_hash(), [], 0
+    parts, held = [], 0
 
     def count() -> pa.RecordBatch:
-        h, n = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], names=["h", "n"])
+        h, n = (np.concatenate(x) for x in zip(*parts))
+        distinct, back = np.unique(h, return_inverse=True)
+        summed = np.zeros(len(distinct), np.int64)
+        np.add.at(summed, back, n)
+        return pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(summed)], names=["h", "n"])
 
     for chunk in chunks(batches, CHUNK_BYTES):
-        parts.append(tokens(binaries(chunk.column(0)), hashes, end)[0])
-        held += len(parts[-1])
+        h, place, _ = tokens(chunk.column(0))
+        parts.append((h, np.bincount(place, minlength=len(h))))
+        held += len(place)
         if held >= COUNT_TOKENS:
             yield count()
             parts, held = [], 0
@@ -440,7 +455,7 @@ def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens
     n_shards = n_tokens // shard_tokens + 1
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, end, mapped, parts, held = WordHashes(), end_hash(), Mapped(model), [], 0
+        mapped, parts, held = Mapped(model), [], 0
 
         def count() -> pa.RecordBatch:
             key, n = np.unique(np.concatenate(parts), return_counts=True)
@@ -454,10 +469,10 @@ def _fit_pairs(spark: SparkSession, texts: DataFrame, model: Model, shard_tokens
             return _packed_shards(shard, key, n)
 
         for chunk in chunks(batches, CHUNK_BYTES):
-            h, starts = tokens(binaries(chunk.column(0)), hashes, end)
-            if not len(h):
+            h, place, starts = tokens(chunk.column(0))
+            if not len(place):
                 continue
-            w = mapped.numbers(h)
+            w = mapped.numbers(h)[place]
             v = np.r_[0, w[:-1]]
             v[starts] = n_words
             parts.append((v << PAIR_BITS) | w)
@@ -538,7 +553,7 @@ def _fit_triples(spark: SparkSession, texts: DataFrame, model: Model, shard_toke
     ends = [*model.places[1:], model.pairs]
 
     def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, end, mapped, parts, held = WordHashes(), end_hash(), Mapped(model), [], 0
+        mapped, parts, held = Mapped(model), [], 0
 
         def count() -> pa.RecordBatch:
             key, n = np.unique(np.concatenate(parts), return_counts=True)
@@ -557,13 +572,13 @@ def _fit_triples(spark: SparkSession, texts: DataFrame, model: Model, shard_toke
             return _packed_shards(shard, key, n)
 
         for chunk in chunks(batches, CHUNK_BYTES):
-            h, starts = tokens(binaries(chunk.column(0)), hashes, end)
-            if not len(h):
+            h, place, starts = tokens(chunk.column(0))
+            if not len(place):
                 continue
-            w = mapped.numbers(h)
+            w = mapped.numbers(h)[place]
             v = np.r_[0, w[:-1]]
             v[starts] = n_words
-            place, _ = mapped.pairs((v << PAIR_BITS) | w)
+            place = mapped.pair_places((v << PAIR_BITS) | w)
             key = (np.r_[0, place[:-1]] << bits) | w
             parts.append(np.delete(key, starts))
             held += len(parts[-1])
@@ -602,7 +617,7 @@ def _fit_triples(spark: SparkSession, texts: DataFrame, model: Model, shard_toke
                 if a < b:
                     second[a:b] = np.memmap(f"{folder}/pairs-{model.shards[i]}.keys", np.int64, "r")[place[at][a:b] - model.places[i]]
             v = np.repeat(second & ((1 << PAIR_BITS) - 1), np.diff(np.r_[at, len(key)]))
-            pair, times = np.unique(mapped.pairs((v << PAIR_BITS) | w)[0], return_counts=True)
+            pair, times = np.unique(mapped.pair_places((v << PAIR_BITS) | w), return_counts=True)
             block = pair >> PLACE_BLOCK_BITS
             cuts = [*np.flatnonzero(np.r_[True, block[1:] != block[:-1]]), len(pair)]
             for a, b in zip(cuts, cuts[1:]):
@@ -652,13 +667,13 @@ def score(df: DataFrame, model: Model, id_column: str = "doc_id", text_column: s
     given = df.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, end, mapped = WordHashes(), end_hash(), Mapped(model)
+        mapped = Mapped(model)
         for chunk in chunks(batches, CHUNK_BYTES // 2):
             if not chunk.num_rows:
                 continue
-            h, starts = tokens(binaries(chunk.column(1)), hashes, end)
-            p, base, known = mapped.log_scores(h, starts)
-            n = np.diff(np.r_[starts, len(h)])
+            h, place, starts = tokens(chunk.column(1))
+            p, base, known = mapped.log_scores(mapped.numbers(h)[place], starts)
+            n = np.diff(np.r_[starts, len(place)])
             yield pa.RecordBatch.from_arrays(
                 [chunk.column(0), pa.array(n), *(pa.array(np.add.reduceat(x, starts)) for x in (known.astype(np.int64), base, p))],
                 names=["doc_id", "n_tokens", "n_known", "base_score", "score"])

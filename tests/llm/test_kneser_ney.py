@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from punctual.llm import kneser_ney
@@ -65,3 +66,24 @@ def test_third_word_tells_more(spark):
     ask = spark.createDataFrame([(0, "a b c"), (1, "a b e")], "doc_id long, text string")
     score = {r.doc_id: r.score for r in kneser_ney.score(ask, model).collect()}
     assert score[0] > score[1] + 0.5
+
+
+def test_tokens_hash_each_distinct_word_once(monkeypatch):
+    random.seed(2)
+    signs = " \t\n\x0b\x0c\r\x1c\x1f\x85 aAzZÄİéb.\x00"
+    texts = [None, "", " ", "a", " a "] + ["".join(random.choice(signs) for _ in range(random.randrange(40))) for _ in range(500)]
+    words = [(t or "").encode().lower().split() + [kneser_ney.END] for t in texts]
+    hash_of, asked = kneser_ney.xxhash.xxh3_64_intdigest, []
+
+    def counted(word):
+        asked.append(word)
+        return hash_of(word)
+
+    monkeypatch.setattr(kneser_ney.xxhash, "xxh3_64_intdigest", counted)
+    for column in (pa.array(texts), pa.array(texts, pa.large_string()), pa.array(["x", *texts])[1:], pa.array([], pa.string())):
+        asked.clear()
+        h, place, starts = kneser_ney.tokens(column)
+        mine = words[:len(column)]
+        assert h[place].tolist() == [hash_of(w) >> 1 for ws in mine for w in ws]
+        assert starts.tolist() == [sum(map(len, mine[:i])) for i in range(len(mine))]
+        assert len(asked) == len(set(asked)) and set(asked) == {w for ws in mine for w in ws} | {kneser_ney.END}
