@@ -34,8 +34,10 @@ from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from punctual.operators.encode import assembler, cast_stage
 from punctual.operators.regress import (
-    BOOSTING, BOOSTING_GRID, SEED, TRAIN_RATIO, TREE, all_features, cluster_labels, features_of, held_out, regression_scores, scored_report, tuning_report,
+    BOOSTING, BOOSTING_GRID, SEED, TRAIN_RATIO, TREE, all_features, by_cluster, cluster_labels, cluster_rows, estimator, features_of, held_out, map_clusters,
+    regression_scores, scored_report, tuning_report,
 )
 from punctual.staging import staging_root, stage
 
@@ -52,8 +54,6 @@ BYTE_LEVELS = 5
 HERE_BYTES, HERE_ROWS = 512 << 20, 4_000_000
 #: Tasks for each core where models or trees grow whole.
 SHARES_PER_CORE = 4
-#: Rows of a cluster that the library looks at for its thresholds.
-LIBRARY_SAMPLE = 10_000
 BLOCK_ROWS = 65_536
 #: Rounds after which the rows' predictions are written, so that a lost executor costs no more than these.
 WRITTEN_AFTER = 25
@@ -82,6 +82,10 @@ class Tree:
         size = 2 ** (depth + 1) - 1
         return cls(np.full(size, -1, np.int16), np.zeros(size, np.uint8), np.zeros(size))
 
+    @property
+    def depth(self) -> int:
+        return len(self.feature).bit_length() - 1
+
     def reached(self, level: int) -> np.ndarray:
         """What is told of rows at each place of a level; those at a leaf above go on to the left with its value."""
         value = self.value[:1]
@@ -193,9 +197,12 @@ class Boosted:
 
     def predict(self, values: np.ndarray, rounds: int | None = None) -> np.ndarray:
         bins = binned(values, self.thresholds)
+        columns, flat, start = np.ascontiguousarray(bins.T), bins.reshape(-1), np.arange(len(bins)) * bins.shape[1]
         out = np.zeros(len(bins))
         for i, tree in enumerate(self.trees[:rounds]):
-            out += (self.step if i else 1.0) * tree.value[tree.nodes(bins)]
+            added = np.zeros((1, len(bins)))
+            _add_told(added, tree, columns, flat, start, [tree.depth])
+            out += (self.step if i else 1.0) * added[0]
         return out
 
 
@@ -219,9 +226,9 @@ def best_splits(counts: np.ndarray, sums: np.ndarray, least: int) -> tuple[np.nd
     return np.where(enough, feature, -1), cut, left_n[rows, feature, cut], left_s[rows, feature, cut], n, s
 
 
-def _parted(total: np.ndarray) -> np.ndarray:
+def _parted(total: np.ndarray, cells: int = BINS) -> np.ndarray:
     """Numbers and sums by node, feature seen and bin."""
-    by_node = total.reshape(len(total), -1, BINS).transpose(1, 0, 2)
+    by_node = total.reshape(len(total), -1, cells).transpose(1, 0, 2)
     return np.stack([by_node.real, by_node.imag])
 
 
@@ -301,72 +308,59 @@ def _thresholds(rows: DataFrame, p: int) -> dict[int, list[np.ndarray]]:
     return {r["_place"]: [np.unique([v for v in r[f"_{i}"] if v < r[f"m{i}"]]) for i in range(p)] for r in quantiles.collect()}
 
 
-def library_cuts(values: np.ndarray, bins: int = BINS) -> np.ndarray:
-    """The thresholds that the library puts between values: the middles of neighbours, or of those nearest to even shares."""
-    value, count = np.unique(values, return_counts=True)
-    middles, splits = (value[1:] + value[:-1]) / 2, min(bins, len(values)) - 1
-    if len(middles) <= splits:
-        return middles
-    stride, upto = len(values) / (splits + 1), count.cumsum()
-    cuts, target = [], stride
-    for i, middle in enumerate(middles):
-        if abs(upto[i] - target) < abs(upto[i + 1] - target):
-            cuts.append(middle)
-            target += stride
-    return np.array(cuts)
-
-
-def library_thresholds(rows: DataFrame, p: int) -> dict[int, list[np.ndarray]]:
-    """Thresholds as the library finds them: from all rows of a cluster, or about ``LIBRARY_SAMPLE`` of them."""
-    sizes = {r["_place"]: r["n"] for r in rows.filter(~F.col("_held")).groupBy("_place").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes or not p:
-        return {c: [] for c in sizes}
-    share = F.create_map(*itertools.chain.from_iterable((F.lit(c), F.lit(min(1.0, LIBRARY_SAMPLE / n))) for c, n in sizes.items()))[F.col("_place")]
-    sample = rows.filter(~F.col("_held")).filter((share >= 1) | (F.rand(SEED) < share))
-    cells = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"_{i}").alias("v")) for i in range(p)])
+def library_thresholds(rows: DataFrame, features: Sequence[str], label: str, seed: int, **settings) -> list[np.ndarray]:
+    """The thresholds by feature that the library's fit to these rows would find, from the rows that it draws."""
+    jvm, model = rows.sparkSession.sparkContext._jvm, estimator("boosting", label, seed=seed, **settings)
+    prepared = assembler([f"{f}_double" for f in features]).transform(cast_stage(features).transform(rows))
+    model._transfer_params_to_java()
+    trees = jvm.org.apache.spark.ml.tree.impl
+    instances = getattr(getattr(jvm.org.apache.spark.ml.util, "DatasetUtils$"), "MODULE$").extractInstances(model._java_obj, prepared._jdf, jvm.scala.Option.empty())
+    if instances.isEmpty():
+        return []
+    strategy = model._java_obj.getOldBoostingStrategy(jvm.PythonUtils.toScalaMap({}), jvm.org.apache.spark.mllib.tree.configuration.Algo.Regression()).treeStrategy()
+    found = getattr(getattr(trees, "RandomForest$"), "MODULE$").findSplits(instances, trees.DecisionTreeMetadata.buildMetadata(instances, strategy, 1, "all"), seed)
+    return [np.array([split.threshold() for split in of], float) for of in found]
 
-    def cut(key: tuple, cell: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"place": [key[0]], "f": [key[1]], "cuts": [library_cuts(cell["v"].to_numpy()).tolist()]})
 
-    found = {(r["place"], r["f"]): np.array(r["cuts"], float) for r in sample.select("_place", F.inline(cells)).groupBy("_place", "f").applyInPandas(
-        cut, "place int, f int, cuts array<double>").collect()}
-    return {c: [found.get((c, i), np.zeros(0)) for i in range(p)] for c in sizes}
-
-
-def _histograms(trees: dict[tuple[int, int], Tree], level: int, first: bool, settings: list[Setting], p: int):
+def _histograms(trees: dict[tuple[int, int], Tree], level: int, first: bool, settings: list[Setting], p: int, cells: int = BINS):
     """((place, setting), sums by node, feature and bin) of a task, and with ``level`` 0 the held rows' errors under ("e", place)."""
 
     def run(blocks: Iterator[_Block]) -> Iterator[tuple]:
         total: dict[tuple, np.ndarray] = {}
-
-        def add(key: tuple, value: np.ndarray) -> None:
-            total[key] = total[key] + value if key in total else value
-
+        walks = {key: _Walk(tree) for key, tree in trees.items()}
         for b in blocks:
             if b.held:
                 if level == 0:
-                    add(("e", b.place), np.r_[np.square(b.y[:, None] - b.told).sum(axis=0), len(b.y), b.y.sum(), np.square(b.y).sum()])
+                    errors = np.r_[np.square(b.y[:, None] - b.told).sum(axis=0), len(b.y), b.y.sum(), np.square(b.y).sum()]
+                    total["e", b.place] = total.get(("e", b.place), 0) + errors
                 continue
-            columns = np.ascontiguousarray(b.bins.T)
+            columns, flat, start = np.ascontiguousarray(b.bins.T), np.ascontiguousarray(b.bins).reshape(-1), np.arange(SUM_ROWS) * p
             for m, setting in enumerate(settings):
-                if level >= setting.maxDepth or (b.place, m) not in trees:
+                key = b.place, m
+                if level >= setting.maxDepth or key not in trees:
                     continue
-                node = trees[b.place, m].nodes(b.bins, level) - (2 ** level - 1)
-                at = node >= 0
-                target = b.y if first else 2 * (b.y - b.told[:, m])
-                node, target, bins = (node, target, columns) if at.all() else (node[at], target[at], columns[:, at])
-                size, node = 2 ** level * BINS, node * BINS
-                sums = np.empty((2, 2 ** level, p, BINS))
-                for f in range(p):
-                    slot = node + bins[f]
-                    sums[0, :, f] = np.bincount(slot, minlength=size).reshape(-1, BINS)
-                    sums[1, :, f] = np.bincount(slot, target, size).reshape(-1, BINS)
-                add((b.place, m), sums)
-        yield from total.items()
+                sums = total.setdefault(key, np.zeros((p, 2 ** level * cells), complex))
+                for i in range(0, len(b.y), SUM_ROWS):
+                    part = slice(i, min(i + SUM_ROWS, len(b.y)))
+                    both = np.ones(part.stop - i, complex)
+                    both.imag = b.y[part] if first else 2 * (b.y[part] - b.told[part, m])
+                    base = walks[key].all(columns[:, part], flat[i * p:part.stop * p], start[:part.stop - i], level) * cells
+                    for f in range(p):
+                        np.add.at(sums[f], base + columns[f, part], both)
+        for key, sums in total.items():
+            if key[0] != "e":
+                sums = _parted(sums, cells)
+                sums[:, ~_grown_nodes(trees[key], level)] = 0
+            yield key, sums
 
     return run
 
 
+def _grown_nodes(tree: Tree, level: int) -> np.ndarray:
+    """Which places of a level are nodes of the tree."""
+    return np.repeat(tree.feature[2 ** (level - 1) - 1:2 ** level - 1] >= 0, 2) if level else np.ones(1, bool)
+
+
 def _decided(settings: list[Setting]):
     def run(item: tuple) -> tuple:
         key, sums = item
@@ -380,10 +374,12 @@ def _told(trees: dict[tuple[int, int], Tree], weights: list[float]):
 
     def run(b: _Block) -> _Block:
         told = b.told.copy()
+        columns, flat, start = np.ascontiguousarray(b.bins.T), np.ascontiguousarray(b.bins).reshape(-1), np.arange(len(b.y)) * b.bins.shape[1]
         for m, weight in enumerate(weights):
             if (b.place, m) in trees:
-                tree = trees[b.place, m]
-                told[:, m] += weight * tree.value[tree.nodes(b.bins)]
+                tree, added = trees[b.place, m], np.zeros((1, len(b.y)))
+                _add_told(added, tree, columns, flat, start, [tree.depth])
+                told[:, m] += weight * added[0]
         return _Block(b.place, b.held, b.bins, b.y, told)
 
     return run
@@ -430,20 +426,21 @@ def grow(
     packed = stage(
         rows.filter(F.col("_place").isin(list(thresholds))).coalesce(tasks).mapInArrow(_packer(p, thresholds), "place int, held boolean, bins binary, y binary"), "boosting-blocks").withColumn("block", F.xxhash64("held", "bins", "y"))
     goes = _spread(packed, tasks)
+    cells = max([BINS, *(len(t) + 1 for ts in thresholds.values() for t in ts)])
     present = sorted(thresholds)
     keys = [(c, i) for c in present for i in range(m) if pairs is None or (clusters[c], i) in pairs]
     sizes = {r["place"]: r["bytes"] // 8 for r in packed.groupBy("place").agg(F.sum(F.length("y")).alias("bytes")).collect()}
     many = len(keys) >= sc.defaultParallelism
     fits = {c for c, n in sizes.items() if n * (2 * p + 34) <= HERE_BYTES and (many or n <= HERE_ROWS) and rounds > 1}
-    models = _boosted_here(packed, [key for key in keys if key[0] in fits], settings, rounds, p) if fits else {}
+    models = _boosted_here(packed, [key for key in keys if key[0] in fits], settings, rounds, p, cells) if fits else {}
     if beyond := [key for key in keys if key[0] not in fits]:
-        models.update(_boosted_by_passes(packed.filter(F.col("place").isin([c for c, _ in beyond])), goes, tasks, beyond, settings, rounds, p))
+        models.update(_boosted_by_passes(packed.filter(F.col("place").isin([c for c, _ in beyond])), goes, tasks, beyond, settings, rounds, p, cells))
     return Grown(
         [clusters[c] for c in present], {c: every for c in clusters}, {clusters[c]: t for c, t in thresholds.items()}, settings,
         *({(clusters[c], i): told[k] for (c, i), told in models.items()} for k in range(3)))
 
 
-def _boosted_here(packed: DataFrame, keys: list[tuple[int, int]], settings: list[Setting], rounds: int, p: int) -> dict[tuple[int, int], tuple]:
+def _boosted_here(packed: DataFrame, keys: list[tuple[int, int]], settings: list[Setting], rounds: int, p: int, cells: int) -> dict[tuple[int, int], tuple]:
     """Trees, R² after each round and what the splits by each feature lower the squared error by, from tasks that each have all rows of a cluster."""
     sc = packed.sparkSession.sparkContext
     of: dict[int, list[int]] = {}
@@ -468,7 +465,7 @@ def _boosted_here(packed: DataFrame, keys: list[tuple[int, int]], settings: list
         blocks = sorted(blocks, key=lambda b: b[3])
         rows, held = (_Rows(part, p) for part in ([b for b in blocks if not b[4]], [b for b in blocks if b[4]]))
         for i in some:
-            yield (place, i), _boosted(rows, held, settings[i], rounds)
+            yield (place, i), _boosted(rows, held, settings[i], rounds, cells)
 
     return dict(_dealt(packed.rdd.map(block), [c for c, *_ in tasks]).mapPartitionsWithIndex(run).collect())
 
@@ -486,7 +483,7 @@ class _Rows:
         return self.columns[:, part], self.bins[part].reshape(-1), self.start[:part.stop - part.start]
 
 
-def _boosted(rows: _Rows, held: _Rows, setting: Setting, rounds: int) -> tuple[list[Tree], list[float | None], np.ndarray]:
+def _boosted(rows: _Rows, held: _Rows, setting: Setting, rounds: int, cells: int) -> tuple[list[Tree], list[float | None], np.ndarray]:
     p, n, depth = len(rows.columns), len(rows.y), setting.maxDepth
     told, held_told, both = np.zeros(n), np.zeros(len(held.y)), np.ones(n, complex)
     labels = len(held.y), held.y.sum(), np.square(held.y).sum()
@@ -496,13 +493,13 @@ def _boosted(rows: _Rows, held: _Rows, setting: Setting, rounds: int) -> tuple[l
         tree, level, grows = Tree.empty(depth), 0, np.ones(1, bool)
         places = np.zeros(n, np.uint8 if depth <= 8 else np.int64)
         while level < depth and grows.any():
-            total = np.zeros((p, 2 ** level * BINS), complex)
+            total = np.zeros((p, 2 ** level * cells), complex)
             for part in rows.parts:
                 base = places[part].astype(np.int64)
-                base *= BINS
+                base *= cells
                 for f in range(p):
                     np.add.at(total[f], base + rows.columns[f, part], both[part])
-            sums = _parted(total)
+            sums = _parted(total, cells)
             sums[:, ~grows] = 0
             _place_splits(tree, level, best_splits(*sums, setting.minInstancesPerNode), lowered)
             grows, walk = np.repeat(tree.feature[2 ** level - 1:2 ** (level + 1) - 1] >= 0, 2), _Walk(tree)
@@ -521,7 +518,7 @@ def _boosted(rows: _Rows, held: _Rows, setting: Setting, rounds: int) -> tuple[l
 
 
 def _boosted_by_passes(
-    packed: DataFrame, goes: Mapping[tuple[int, int], int], tasks: int, keys: list[tuple[int, int]], settings: list[Setting], rounds: int, p: int,
+    packed: DataFrame, goes: Mapping[tuple[int, int], int], tasks: int, keys: list[tuple[int, int]], settings: list[Setting], rounds: int, p: int, cells: int,
 ) -> dict[tuple[int, int], tuple]:
     """As ``_boosted_here``, from a pass over all rows for each level of each round."""
     spark, m, present = packed.sparkSession, len(settings), sorted({c for c, _ in keys})
@@ -544,8 +541,8 @@ def _boosted_by_passes(
         new = {(c, i): Tree.empty(settings[i].maxDepth) for c, i in trees} if r < rounds else {}
         growing = dict(new)
         for level in range(max(s.maxDepth for s in settings) if new else 1):
-            sums = state.mapPartitions(_histograms(growing, level, r == 0, settings, p))
-            if sum(tasks_of[c] for c, _ in growing) * 2 ** level * p * BINS * 16 <= DIRECT_BYTES:
+            sums = state.mapPartitions(_histograms(growing, level, r == 0, settings, p, cells))
+            if sum(tasks_of[c] for c, _ in growing) * 2 ** level * p * cells * 16 <= DIRECT_BYTES:
                 total: dict[tuple, np.ndarray] = {}
                 for key, value in sums.collect():
                     total[key] = total[key] + value if key in total else value
@@ -607,8 +604,8 @@ def fit_trees(
 ) -> dict[Any, Boosted]:
     """One decision tree for each cluster, all of them grown in one pass a level."""
     table = stage(train, "trees")
-    by_cluster = {c: features_of(features, c) for c in cluster_labels(table.filter(F.col(cluster).isNotNull()), cluster)}
-    grown = grow(table, by_cluster, label, [Setting(maxDepth, minInstancesPerNode)], 1, cluster)
+    wanted = {c: features_of(features, c) for c in cluster_labels(table.filter(F.col(cluster).isNotNull()), cluster)}
+    grown = grow(table, wanted, label, [Setting(maxDepth, minInstancesPerNode)], 1, cluster)
     return {c: grown.model(c, 0) for c in grown.clusters}
 
 
@@ -616,12 +613,19 @@ def fit_boosted(
     train: DataFrame, features: Sequence[str] | Mapping[Any, Sequence[str]], label: str, cluster: str = "cluster", maxIter: int = BOOSTING["maxIter"],
     maxDepth: int = BOOSTING["maxDepth"], stepSize: float = BOOSTING["stepSize"], minInstancesPerNode: int = 1, seed: int = SEED,
 ) -> dict[Any, Boosted]:
-    """Boosted trees of each cluster with the library's thresholds and importances; all clusters grow in the same passes. Nothing is drawn, so ``seed`` changes nothing."""
-    table = stage(train.select(*dict.fromkeys([*all_features(features), label, cluster])).filter(F.col(cluster).isNotNull()), "boosting-table")
+    """Boosted trees of each cluster with the library's thresholds and importances; all clusters grow in the same passes. The seed draws the rows that give the thresholds."""
+    table = by_cluster(train, features, label, cluster)
     wanted = {c: features_of(features, c) for c in cluster_labels(table, cluster)}
     if not wanted:
         return {}
-    grown = grow(table, wanted, label, [Setting(maxDepth, minInstancesPerNode, stepSize)], maxIter, cluster, cuts=library_thresholds)
+    places, every = list(wanted), list(dict.fromkeys(f for fs in wanted.values() for f in fs))
+
+    def found(c: Any) -> dict[str, np.ndarray]:
+        rows = cluster_rows(table, cluster, c, [*wanted[c], label])
+        return dict(zip(wanted[c], library_thresholds(rows, wanted[c], label, seed)))
+
+    cuts = {places.index(c): [of.get(f, np.zeros(0)) for f in every] for c, of in map_clusters(places, found).items() if of}
+    grown = grow(table, wanted, label, [Setting(maxDepth, minInstancesPerNode, stepSize)], maxIter, cluster, cuts=lambda rows, p: cuts)
     return {c: _of_own(grown, c, wanted[c]) for c in grown.clusters}
 
 
@@ -676,12 +680,12 @@ def tune(
     """Grid search per cluster on an 80/20 division by R²; the best setting (the first of equals) is fitted again to all rows."""
     grid = dict(grid or BOOSTING_GRID)
     table = stage(train, "tuning")
-    by_cluster = {c: features_of(features, c) for c in cluster_labels(table.filter(F.col(cluster).isNotNull()), cluster)}
+    wanted = {c: features_of(features, c) for c in cluster_labels(table.filter(F.col(cluster).isNotNull()), cluster)}
     every = all_features(features)
     names = [n for n in grid if n != "maxIter"]
     settings = [Setting(**dict(zip(names, values))) for values in itertools.product(*(grid[n] for n in names))]
     held = held_out([cluster, *every, label], 1 - TRAIN_RATIO, SEED)
-    grown = grow(table, by_cluster, label, settings, max(grid["maxIter"]), cluster, held)
+    grown = grow(table, wanted, label, settings, max(grid["maxIter"]), cluster, held)
     rows, best = [], {}
     for c in grown.clusters:
         told = []
@@ -692,7 +696,7 @@ def tune(
         k = max(range(len(told)), key=lambda j: (-math.inf if told[j][0] is None else told[j][0], -j))
         best[c] = told[k][1:]
         rows += [(c, *(float(v) for v in of.values()), score, j == k) for j, (score, _, of) in enumerate(told)]
-    again = grow(table, by_cluster, label, settings, max((of["maxIter"] for _, of in best.values()), default=0), cluster, pairs={(c, i) for c, (i, _) in best.items()})
+    again = grow(table, wanted, label, settings, max((of["maxIter"] for _, of in best.values()), default=0), cluster, pairs={(c, i) for c, (i, _) in best.items()})
     return Tuned({c: again.model(c, i, of["maxIter"]) for c, (i, of) in best.items()}, tuning_report(train, cluster, grid, rows))
 
 

@@ -84,9 +84,13 @@ def cluster_rows(table: DataFrame, cluster: str, value: Any, required: Sequence[
 def fit_per_cluster(
     train: DataFrame, features: Features, label: str, kind: str, cluster: str = "cluster", workers: int = 3, **settings
 ) -> dict[Any, PipelineModel]:
-    """One model per cluster. Rows with a missing feature or label are left out. The forests of all clusters grow together."""
+    """One model per cluster. Rows with a missing feature or label are left out. The forests, and the boosted trees, of all clusters grow together."""
     if kind == "forest":
         return _forests(train, features, label, cluster, **settings)
+    if kind == "boosting" and {*settings} <= {*BOOSTING, "minInstancesPerNode"}:
+        from punctual.operators.boosting import fit_boosted
+
+        return fit_boosted(train, features, label, cluster, **{**BOOSTING, **settings})
     table = by_cluster(train, features, label, cluster)
 
     def fit(value: Any) -> PipelineModel:

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from punctual.operators import boosting, regress
 
@@ -43,3 +44,21 @@ def test_tuning_of_small_clusters_takes_no_job_a_level(frame, monkeypatch):
     monkeypatch.setattr(boosting, "_boosted_by_passes", lambda *a: pytest.fail("a job for each level"))
     tuned = boosting.tune(frame, FEATURES, "y", {"maxIter": [2, 5], "maxDepth": [2, 4], "minInstancesPerNode": [1, 2], "stepSize": [0.1, 0.3]})
     assert tuned.report.count() == 2 * 16 and all(len(m.trees) == 5 for m in tuned.models.values())
+
+
+def test_fits_draw_the_rows_that_the_library_draws(spark, monkeypatch):
+    # Above 10000 rows the thresholds come from a sample, and may be more than 31 (gbt_fit, gbt_importances).
+    rows = spark.range(26_000).select(
+        (F.col("id") % 2).cast("int").alias("cluster"), F.rand(1).alias("x"), F.floor(F.rand(2) * 7).alias("z"), F.randn(3).alias("u"))
+    rows = rows.withColumn("y", F.col("x") * F.col("z") + F.when(F.col("u") > 0.5, 2.0).otherwise(F.col("u")) + F.col("cluster"))
+    for here in (boosting.HERE_BYTES, 0):
+        monkeypatch.setattr(boosting, "HERE_BYTES", here)
+        models = regress.fit_per_cluster(rows, FEATURES, "y", "boosting", maxIter=3)
+        table = regress.by_cluster(rows, FEATURES, "y", "cluster")
+        for c in (0, 1):
+            mine = regress.cluster_rows(table, "cluster", c, [*FEATURES, "y"])
+            theirs = regress.model_pipeline(FEATURES, regress.estimator("boosting", "y", maxIter=3)).fit(mine)
+            assert isinstance(models[c], boosting.Boosted)
+            told = [[r["prediction"] for r in m.transform(mine).orderBy(*FEATURES, "y").collect()] for m in (models[c], theirs)]
+            assert told[0] == pytest.approx(told[1], rel=1e-9)
+            assert models[c].featureImportances.toArray() == pytest.approx(theirs.stages[-1].featureImportances.toArray(), abs=1e-6)
