@@ -615,7 +615,14 @@ def fit_boosted(
 ) -> dict[Any, Boosted]:
     """Boosted trees of each cluster with the library's thresholds and importances; all clusters grow in the same passes. The seed draws the rows that give the thresholds."""
     table = by_cluster(train, features, label, cluster)
-    wanted = {c: features_of(features, c) for c in cluster_labels(table, cluster)}
+    return boost_clusters(table, {c: features_of(features, c) for c in cluster_labels(table, cluster)}, label, cluster, maxIter, maxDepth, stepSize, minInstancesPerNode, seed)
+
+
+def boost_clusters(
+    table: DataFrame, wanted: Mapping[Any, Sequence[str]], label: str, cluster: str, maxIter: int, maxDepth: int, stepSize: float, minInstancesPerNode: int = 1,
+    seed: int = SEED,
+) -> dict[Any, Boosted]:
+    """As ``fit_boosted``, for these clusters of a table written by cluster."""
     if not wanted:
         return {}
     places, every = list(wanted), list(dict.fromkeys(f for fs in wanted.values() for f in fs))

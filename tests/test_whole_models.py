@@ -51,6 +51,8 @@ def test_fits_draw_the_rows_that_the_library_draws(spark, monkeypatch):
     rows = spark.range(26_000).select(
         (F.col("id") % 2).cast("int").alias("cluster"), F.rand(1).alias("x"), F.floor(F.rand(2) * 7).alias("z"), F.randn(3).alias("u"))
     rows = rows.withColumn("y", F.col("x") * F.col("z") + F.when(F.col("u") > 0.5, 2.0).otherwise(F.col("u")) + F.col("cluster"))
+    assert all(not isinstance(m, boosting.Boosted) for m in regress.fit_per_cluster(rows, FEATURES, "y", "boosting", maxIter=1).values())
+    monkeypatch.setattr(regress, "LIBRARY_ROWS", 10_000)
     for here in (boosting.HERE_BYTES, 0):
         monkeypatch.setattr(boosting, "HERE_BYTES", here)
         models = regress.fit_per_cluster(rows, FEATURES, "y", "boosting", maxIter=3)
