@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from punctual.operators import boosting, forest, regress
+from punctual.operators import boosting, forest, regress, selection
 
 FEATURES = ["x", "z", "u"]
 
@@ -75,3 +75,23 @@ def test_values_of_a_level_are_those_of_its_leaves():
         forest._add_told(told, tree, np.ascontiguousarray(bins.T), bins.reshape(-1), np.arange(500) * 3, depths)
         for i, depth in enumerate(depths):
             assert (told[i] == tree.value[tree.nodes(bins, depth)]).all()
+
+
+def test_selectors_share_rows_and_forests(frame, monkeypatch):
+    # The elimination's first forest is the one that ranks the features (majority_vote, regression_path).
+    fits, built = [], []
+    fit, init = forest.ForestRows.fit, forest.ForestRows.__init__
+    monkeypatch.setattr(forest.ForestRows, "fit", lambda self, features, **s: fits.append(features) or fit(self, features, **s))
+    monkeypatch.setattr(forest.ForestRows, "__init__", lambda self, *a, **k: built.append(a) or init(self, *a, **k))
+
+    def both():
+        ranked = selection.forest_importance(frame, FEATURES, "y", numTrees=5, maxDepth=4)
+        left = selection.recursive_elimination(frame, FEATURES, "y", keep=1, numTrees=5, maxDepth=4)
+        return sorted(map(tuple, ranked.collect())), sorted(map(tuple, left.collect()))
+
+    alone = both()
+    assert (len(fits), len(built)) == (3, 2)
+    with selection.shared_forests():
+        assert both() == alone
+        assert (len(fits), len(built)) == (5, 3)
+    assert both() == alone and len(built) == 5
