@@ -95,3 +95,11 @@ def test_selectors_share_rows_and_forests(frame, monkeypatch):
         assert both() == alone
         assert (len(fits), len(built)) == (5, 3)
     assert both() == alone and len(built) == 5
+
+
+def test_elimination_of_small_clusters_sends_no_sums(frame, monkeypatch):
+    # Where the sums of a pass outweigh the rows, the rows are sent, once for each refit (rfe, elimination_matrix).
+    monkeypatch.setattr(forest.ForestRows, "_splits", lambda *a: pytest.fail("a pass over sums"))
+    monkeypatch.setattr(forest, "PASS_BYTES", 1 << 16)
+    left = selection.recursive_elimination(frame, FEATURES, "y", keep=2, numTrees=20, maxDepth=8)
+    assert sorted(map(tuple, left.collect())) == [(0, "x"), (0, "z"), (1, "x"), (1, "z")]
